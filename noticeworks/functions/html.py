@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from noticeworks import config
 from noticeworks.functions import urls
-from noticeworks.functions.text import any_of, squeeze, strip, words_found
+from noticeworks.functions.text import any_of, let, squeeze, strip, words_found
 
 # The replacements that turn markup into text, in order.
 _INVISIBLE = tuple(rf"(?i)<{tag}[\s\S]*?</{tag}>" for tag in ("script", "style", "svg"))
@@ -79,22 +79,21 @@ def anchors(html: Column) -> Column:
             squeeze(F.regexp_replace(F.regexp_extract(a, _ANCHOR, 2), "<[^>]+>", " ")).alias("text"),
         ),
     )
-    return F.filter(
-        found,
-        lambda a: (a["href"] != "")
-        & ~a["href"].startswith("#")
-        & ~a["href"].startswith("javascript:"),
-    )
+    return F.filter(found, lambda a: (a["href"] != "") & ~a["href"].rlike("^(#|javascript:)"))
+
+
+def absolute_anchors(html: Column, url: Column) -> Column:
+    """As ``anchors`` with the links resolved against the page's address."""
+    return F.transform(
+        anchors(html),
+        lambda a: F.struct(urls.resolve(a["href"], url).alias("href"), a["text"].alias("text")))
 
 
 def extract_links(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """One row per link: the page's other columns, ``pos``, absolute ``href``, ``text``."""
     rest = [c for c in pages.columns if c != html]
-    found = pages.select(*rest, F.posexplode(anchors(F.col(html))).alias("pos", "link"))
-    return found.select(
-        *rest, "pos", urls.resolve(F.col("link.href"), F.col(url)).alias("href"),
-        F.col("link.text").alias("text"),
-    )
+    links = absolute_anchors(F.col(html), F.col(url))
+    return pages.select(*rest, F.posexplode(links).alias("pos", "link")).select(*rest, "pos", "link.*")
 
 
 def selector_hints(selector: Column) -> Column:
@@ -110,17 +109,19 @@ def href_matches_hints(href: Column, selector: Column) -> Column:
 
 
 def has_keyword(c: Column, keywords: Iterable[str]) -> Column:
-    return any_of(F.lower(c), keywords)
+    return let(F.lower(c), lambda t: any_of(t, keywords))
 
 
 def detect_platform(html: Column, signatures: dict[str, Iterable[str]] | None = None) -> Column:
     """First platform one of whose signatures occurs in the page, else unknown."""
-    low = F.lower(html)
-    found = None
-    for name, words in (signatures or config.PLATFORM_SIGNATURES).items():
-        test = any_of(low, [w.lower() for w in words])
-        found = F.when(test, name) if found is None else found.when(test, name)
-    return found.otherwise("unknown")
+    def first(low: Column) -> Column:
+        found = None
+        for name, words in (signatures or config.PLATFORM_SIGNATURES).items():
+            test = any_of(low, [w.lower() for w in words])
+            found = F.when(test, name) if found is None else found.when(test, name)
+        return found.otherwise("unknown")
+
+    return let(F.lower(html), first)
 
 
 def matched_terms(c: Column, terms: Iterable[str]) -> Column:
@@ -129,11 +130,8 @@ def matched_terms(c: Column, terms: Iterable[str]) -> Column:
 
 def link_terms(text: Column, href: Column, terms: Iterable[str]) -> Column:
     """Search terms that occur in the text or in the address of a link."""
-    low_text, low_href = F.lower(text), F.lower(href)
-    return F.filter(
-        F.array(*[F.lit(t) for t in terms]),
-        lambda t: F.contains(low_text, F.lower(t)) | F.contains(low_href, F.lower(t)),
-    )
+    both = F.concat(F.lower(text), F.lit("\n"), F.lower(href))
+    return words_found(both, terms)
 
 
 def match_confidence(hits: Column) -> Column:
@@ -141,7 +139,7 @@ def match_confidence(hits: Column) -> Column:
 
 
 def is_meetingplus_page(html: Column) -> Column:
-    return any_of(F.lower(html), config.PLATFORM_SIGNATURES["meetingsplus"])
+    return has_keyword(html, config.PLATFORM_SIGNATURES["meetingsplus"])
 
 
 def sitemap_urls(xml: Column) -> Column:

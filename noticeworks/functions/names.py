@@ -7,16 +7,17 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from noticeworks import config
-from noticeworks.functions.text import SPACE, any_of, compose, fold, lookup, strip
+from noticeworks.functions.text import SPACE, any_of, compose, fold, let, lookup, strip
 
 
 def nfc(c: Column) -> Column:
     return compose(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc_any_script(values: pd.Series) -> pd.Series:
     """Canonical composition beyond the letters ``nfc`` knows."""
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
@@ -111,9 +112,9 @@ def candidate_hostnames(c: Column) -> Column:
 def page_mentions_name(name: Column, page: Column) -> Column:
     """Does the page contain a part of the name of at least three letters?"""
     parts = F.filter(F.split(F.lower(name), r"[\s-]+"), lambda p: F.length(p) >= 3)
-    return F.exists(parts, lambda p: F.contains(F.lower(page), p))
+    return let(F.lower(page), lambda text: F.exists(parts, lambda p: F.contains(text, p)))
 
 
 def name_in_list(c: Column, wanted: str) -> Column:
     """Case-insensitive "contains any" against a comma separated list."""
-    return any_of(F.lower(c), [w.strip().lower() for w in wanted.split(",")])
+    return let(F.lower(c), lambda t: any_of(t, [w.strip().lower() for w in wanted.split(",")]))

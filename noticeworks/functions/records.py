@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeworks import config
 from noticeworks.functions.html import decode_entities
-from noticeworks.functions.text import any_of, blank_to_null, extract, fold, lookup, round_half_up, strip
+from noticeworks.functions.text import any_of, blank_to_null, extract, fold, let, lookup, round_half_up, strip
 
 # Patterns the parsed fields follow.
 _PROPERTY = r"([A-ZÅÄÖ][a-zåäöé-]+(?:[\s-]+\d+:\d+)?(?:\s+m\.?\s*fl\.?)?)"
@@ -94,19 +94,20 @@ def first_class(c: Column, rules) -> Column:
 
 
 def classify_permit_type(c: Column) -> Column:
-    t = F.lower(c)
+    def first(t: Column) -> Column:
+        def has(*words: str) -> Column:
+            return any_of(t, words)
 
-    def has(*words: str) -> Column:
-        return any_of(t, words)
+        return (
+            F.when(has("rivningslov") | (has("rivning") & ~has("bygglov")), "rivningslov")
+            .when(has("marklov"), "marklov")
+            .when(has("förhandsbesked"), "förhandsbesked")
+            .when(has("strandskydd"), "strandskyddsdispens")
+            .when(has("anmälan"), "anmälan")
+            .when(has("bygglov", "nybyggnad", "tillbyggnad", "ombyggnad", "fasadändring"), "bygglov")
+        )
 
-    return (
-        F.when(has("rivningslov") | (has("rivning") & ~has("bygglov")), "rivningslov")
-        .when(has("marklov"), "marklov")
-        .when(has("förhandsbesked"), "förhandsbesked")
-        .when(has("strandskydd"), "strandskyddsdispens")
-        .when(has("anmälan"), "anmälan")
-        .when(has("bygglov", "nybyggnad", "tillbyggnad", "ombyggnad", "fasadändring"), "bygglov")
-    )
+    return let(F.lower(c), first)
 
 
 def status_from_type_name(c: Column) -> Column:
@@ -126,16 +127,16 @@ def status_from_text(c: Column) -> Column:
         ("startbesked", ("startbesked",)),
         ("slutbesked", ("slutbesked",)),
     )
-    return F.coalesce(first_class(F.lower(c), rules), F.lit("beviljat"))
+    return F.coalesce(let(F.lower(c), lambda t: first_class(t, rules)), F.lit("beviljat"))
 
 
 def phrase_type(c: Column) -> Column:
-    t = fold(c)
-    return F.coalesce(first_class(t, EXPLICIT_TYPES), first_class(t, IMPLIED_TYPES))
+    return let(
+        fold(c), lambda t: F.coalesce(first_class(t, EXPLICIT_TYPES), first_class(t, IMPLIED_TYPES)))
 
 
 def phrase_status(c: Column) -> Column:
-    return first_class(fold(c), STATUS_PHRASES)
+    return let(fold(c), lambda t: first_class(t, STATUS_PHRASES))
 
 
 def parse_billboard_title(title: Column) -> Column:
@@ -235,7 +236,7 @@ def parse_sek(c: Column) -> Column:
 
 def progress_to_maturity(done_pct: Column, text: Column, stages=REPORT_STAGES,
                          default: str | None = None) -> Column:
-    by_word = F.coalesce(first_class(fold(text), stages), F.lit(default))
+    by_word = F.coalesce(let(fold(text), lambda t: first_class(t, stages)), F.lit(default))
     return (
         F.when(done_pct < 10, "planned")
         .when(done_pct <= 90, "tender")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # White space as the sources' own tooling sees it: ASCII plus no-break space and BOM.
@@ -17,6 +17,23 @@ COMPOSED = {
 }
 
 
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` evaluated once however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def with_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds costly columns that later filters must not evaluate a second time.
+
+    Filters on plain columns are pushed below the projection with the expression
+    copied into them; they stop at a generator.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    rest = [c for c in df.columns if c not in columns]
+    return df.select("*", F.explode(F.array(made)).alias("_made")).select(
+        *rest, *[F.col(f"_made.{name}").alias(name) for name in columns])
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
 
@@ -55,10 +72,10 @@ def any_of(c: Column, words: Iterable[str]) -> Column:
 
 
 def words_found(c: Column, words: Iterable[str]) -> Column:
-    """The words the string contains, in the order they were given."""
-    return F.filter(
-        F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, F.lower(w))
-    )
+    """The words whose lower-case form the string contains, in the order given."""
+    listed = [F.struct(F.lit(w).alias("w"), F.lit(w.lower()).alias("low")) for w in words]
+    found = let(c, lambda t: F.filter(F.array(*listed), lambda x: F.contains(t, x["low"])))
+    return F.transform(found, lambda x: x["w"])
 
 
 def round_half_up(c: Column) -> Column:

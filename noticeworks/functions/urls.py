@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from noticeworks.functions.text import blank_to_null, extract
+from noticeworks.functions.text import blank_to_null, extract, let
 
 _SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:"
 _BINARY = r"(?i)\.(pdf|doc|docx|xlsx|xls|zip|png|jpg|jpeg|gif)\z"
@@ -89,14 +89,15 @@ def resolve(href: Column, base: Column) -> Column:
         tidy(path(href)),
         tail,
     )
-    return _percent_encoded(
+    return let(
         F.when(href.rlike("(?i)^https?://"), absolute)
         .when(href.rlike(_SCHEME), href)
         .when(href.startswith("//"), F.concat(scheme(base), F.lit(":"), href))
         .when(href.startswith("/"), F.concat(site, tidy(own_path), tail))
         .when(href.startswith("?"), F.concat(site, base_path, href))
         .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"#.*\z", ""), href))
-        .otherwise(F.concat(site, tidy(F.concat(folder, own_path)), tail))
+        .otherwise(F.concat(site, tidy(F.concat(folder, own_path)), tail)),
+        _percent_encoded,
     )
 
 

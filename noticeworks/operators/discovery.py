@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from noticeworks import config
 from noticeworks.functions import html, urls
 from noticeworks.functions.names import name_in_list, page_mentions_name
+from noticeworks.functions.text import with_once
 from noticeworks.operators.ordering import top_per_group
 
 METHODS = ("url_variants", "crawl_homepage", "sitemap")
@@ -23,18 +24,18 @@ def candidate_union(places: DataFrame, homepage: str = "homepage", platform: str
 
 
 def score_page_terms(pages: DataFrame, terms: Sequence[str], page: str = "html") -> DataFrame:
-    found = html.matched_terms(F.col(page), [t.lower() for t in terms])
-    return pages.withColumn("matched_terms", found).withColumn("hits", F.size("matched_terms"))
+    found = with_once(pages, matched_terms=html.matched_terms(F.col(page), terms))
+    return found.withColumn("hits", F.size("matched_terms"))
 
 
 def score_links(links: DataFrame, terms: Sequence[str]) -> DataFrame:
     """Links with at least one search term in text or address."""
-    scored = links.withColumn("matched_terms", html.link_terms(F.col("text"), F.col("href"), terms))
+    scored = with_once(links, matched_terms=html.link_terms(F.col("text"), F.col("href"), terms))
     return scored.withColumn("hits", F.size("matched_terms")).where(F.col("hits") > 0)
 
 
 def score_sitemap_urls(found: DataFrame, terms: Sequence[str], url: str = "url") -> DataFrame:
-    scored = found.withColumn("matched_terms", html.matched_terms(F.col(url), [t.lower() for t in terms]))
+    scored = with_once(found, matched_terms=html.matched_terms(F.col(url), terms))
     return scored.withColumn("hits", F.size("matched_terms")).where(F.col("hits") > 0)
 
 

@@ -204,8 +204,8 @@ def labelled_fields(pages: DataFrame, source_html: str = "html") -> DataFrame:
     """One record per notice block of a page: a heading, table row or list item with a case number."""
     rest = [c for c in pages.columns if c != source_html]
     blocks = F.split(F.col(source_html), r"(?i)(?=<(?:h[1-6]|tr|li)[\s>])")
-    parsed = pages.select(*rest, F.posexplode(blocks).alias("pos", "block")).select(
-        *rest, "pos", records.labelled_block(html.to_text(F.col("block"))).alias("r"))
+    texts = F.transform(blocks, html.to_text)
+    parsed = pages.select(*rest, F.posexplode(F.transform(texts, records.labelled_block)).alias("pos", "r"))
     return parsed.where(F.col("r.case_number").isNotNull()).select(*rest, "pos", "r.*")
 
 

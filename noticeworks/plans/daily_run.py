@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.config import Vertical
-from noticeworks.functions import html
+from noticeworks.functions import html, urls
+from noticeworks.functions.text import with_once
 from noticeworks.operators import loading, lookups, shaping
 
 
@@ -25,11 +26,8 @@ class DailyRun:
 
 def page_extract(pages: DataFrame) -> DataFrame:
     """Text, hash, host and number of links of every page big enough to be read."""
-    from noticeworks.functions import urls
-
-    read = pages.withColumns({
-        "content": html.to_text(F.col("html")), "links": F.size(html.anchors(F.col("html"))),
-        "host": urls.host(F.col("url"))})
+    read = with_once(pages, content=html.to_text(F.col("html"))).withColumns({
+        "links": F.size(html.anchors(F.col("html"))), "host": urls.host(F.col("url"))})
     return shaping.min_content_gate(read).select(
         *[c for c in pages.columns if c != "html"], "host", "links",
         F.length("content").alias("text_chars"), html.content_hash(F.col("content")).alias("content_hash"))
@@ -37,7 +35,7 @@ def page_extract(pages: DataFrame) -> DataFrame:
 
 def pages_to_read(pages: DataFrame, stored_hashes: DataFrame, force: bool = False) -> DataFrame:
     """Stripped pages with hash and error, flagged where unchanged since the last run."""
-    stripped = pages.withColumn("content", html.strip_non_content(F.col("html"))).drop("html")
+    stripped = with_once(pages, content=html.strip_non_content(F.col("html"))).drop("html")
     return shaping.flag_unchanged(shaping.gate_and_hash(stripped), stored_hashes, force)
 
 
