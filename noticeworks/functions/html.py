@@ -31,13 +31,17 @@ def _drop(c: Column, patterns: Iterable[str], by: str = "") -> Column:
     return c
 
 
+def _plain_entities(c: Column) -> Column:
+    for entity, char in _ENTITIES.items():
+        c = F.regexp_replace(c, f"(?i){entity}", char)
+    return F.regexp_replace(c, r"&#\d+;", "")
+
+
 def to_text(html: Column) -> Column:
     c = _drop(html, (*_INVISIBLE, *_FRAME, _COMMENT))
     c = _drop(c, (r"(?i)<br\s*/?>", r"(?i)</(?:p|div|h[1-6]|li|tr|dt|dd|section|article)>"), "\n")
     c = F.regexp_replace(c, "<[^>]+>", " ")
-    for entity, char in _ENTITIES.items():
-        c = F.regexp_replace(c, f"(?i){entity}", char)
-    c = F.regexp_replace(c, r"&#\d+;", "")
+    c = let(c, lambda t: F.when(F.contains(t, F.lit("&")), _plain_entities(t)).otherwise(t))
     c = F.regexp_replace(c, r"[ \t]+", " ")
     c = F.regexp_replace(c, r"\n[ \t]+", "\n")
     return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
@@ -56,9 +60,10 @@ def strip_for_context(html: Column, max_chars: int = 20_000) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
+    decoded = c
     for entity, char in _NOTICE_ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
 
 
 def truncate(c: Column, limit: int = config.MAX_CONTENT_CHARS) -> Column:

@@ -141,32 +141,37 @@ def phrase_status(c: Column) -> Column:
 
 def parse_billboard_title(title: Column) -> Column:
     """``PLACE - text`` or ``… fastigheten PLACE`` as struct ``{address, description}``."""
-    clean = strip(F.regexp_replace(title, "\n", " "))
     dash = r"^(.+?)\s*-\s*(.+)\z"
-    return F.struct(
-        F.when(clean.rlike(dash), strip(F.regexp_extract(clean, dash, 1)))
-        .otherwise(blank_to_null(strip(F.regexp_extract(clean, r"(?iu)fastigheten\s+(.+)", 1))))
-        .alias("address"),
-        F.when(clean.rlike(dash), strip(F.regexp_extract(clean, dash, 2)))
-        .otherwise(clean)
-        .alias("description"),
-    )
+
+    def parts(clean: Column) -> Column:
+        return F.struct(
+            F.when(clean.rlike(dash), strip(F.regexp_extract(clean, dash, 1)))
+            .otherwise(blank_to_null(strip(F.regexp_extract(clean, r"(?iu)fastigheten\s+(.+)", 1))))
+            .alias("address"),
+            F.when(clean.rlike(dash), strip(F.regexp_extract(clean, dash, 2)))
+            .otherwise(clean)
+            .alias("description"),
+        )
+
+    return let(strip(F.regexp_replace(title, "\n", " ")), parts)
 
 
 def parse_notice_description(c: Column) -> Column:
     """``PROPERTY (ADDRESS) - text`` as struct ``{property, address, description}``."""
-    clean = F.regexp_replace(F.regexp_replace(decode_entities(c), r"(?i)<br\s*/?>", ""), "\r", "")
-    clean = strip(clean)
-    shaped = clean.rlike(_NOTICE_LINE)
+    def parts(clean: Column) -> Column:
+        shaped = clean.rlike(_NOTICE_LINE)
 
-    def part(group: int) -> Column:
-        return F.when(shaped, blank_to_null(strip(F.regexp_extract(clean, _NOTICE_LINE, group))))
+        def part(group: int) -> Column:
+            return F.when(shaped, blank_to_null(strip(F.regexp_extract(clean, _NOTICE_LINE, group))))
 
-    return F.struct(
-        part(1).alias("property"),
-        part(2).alias("address"),
-        F.when(shaped, part(3)).otherwise(blank_to_null(clean)).alias("description"),
-    )
+        return F.struct(
+            part(1).alias("property"),
+            part(2).alias("address"),
+            F.when(shaped, part(3)).otherwise(blank_to_null(clean)).alias("description"),
+        )
+
+    clean = F.regexp_replace(F.regexp_replace(decode_entities(c), r"(?i)<br\s*/?>", ""), "\r", "")
+    return let(strip(clean), parts)
 
 
 def announcement_property(title: Column, description: Column) -> Column:
@@ -210,6 +215,10 @@ def property_designation(c: Column) -> Column:
     return extract(c, _DESIGNATION)
 
 
+def has_case_number(text: Column) -> Column:
+    return text.rlike(_CASE_LABEL) | text.rlike(_CASE_SHAPE)
+
+
 def labelled_block(text: Column) -> Column:
     """Fields of one notice block, by label first and by shape second."""
     name = strip(extract(text, _APPLICANT_LABEL))
@@ -318,9 +327,9 @@ def map_category(codes: Column, description: Column) -> Column:
 
 def nuts_code(place: Column) -> Column:
     """First Swedish region code in a place given as a string, object or nested array."""
-    bare = extract(place, r'(?i)^\s*"?(SE[^"\[{]*?)"?\s*\z')
-    nested = extract(F.regexp_extract(place, _NUTS_PLACES, 0), r'(?i)"(SE[^"]*)"\s*[,\]]?\z')
-    return F.upper(F.coalesce(bare, nested))
+    bare = F.regexp_extract(place, r'(?i)^\s*"?(SE[^"\[{]*?)"?\s*\z', 1)
+    nested = F.regexp_extract(F.regexp_extract(place, _NUTS_PLACES, 0), r'(?i)"(SE[^"]*)"\s*[,\]]?\z', 1)
+    return F.upper(blank_to_null(F.when(place.rlike(r"^\s*[\[{]"), nested).otherwise(bare)))
 
 
 def nuts_county(code: Column) -> Column:

@@ -44,14 +44,18 @@ def squeeze(c: Column) -> Column:
 
 def compose(c: Column) -> Column:
     """Canonical composition of the letters Swedish names are written with."""
+    composed = c
     for pair, letter in COMPOSED.items():
-        c = F.replace(c, F.lit(pair), F.lit(letter))
-    return c
+        composed = F.replace(composed, F.lit(pair), F.lit(letter))
+    return F.when(c.rlike(r"[\u0301\u0308\u030a]"), composed).otherwise(c)
 
 
 def fold(c: Column) -> Column:
     """Lower case with å ä ö é ü written as ASCII letters."""
-    return F.translate(F.lower(compose(c)), "åäöéü", "aaoeu")
+    c = F.lower(compose(c))
+    for letter, plain in zip("åäöéü", "aaoeu"):
+        c = F.replace(c, F.lit(letter), F.lit(plain))
+    return c
 
 
 def blank_to_null(c: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeworks import config
 from noticeworks.functions import html, records, urls
-from noticeworks.functions.text import any_of, blank_to_null
+from noticeworks.functions.text import any_of, blank_to_null, with_once
 from noticeworks.operators.lookups import in_set_flag, type_name_lookup
 
 
@@ -46,39 +46,48 @@ def announcement_permits(announcements: DataFrame) -> DataFrame:
     title = F.coalesce("title", F.lit(""))
     text = F.coalesce("description", F.lit(""))
     document = F.coalesce("document_title", F.lit(""))
-    place = records.announcement_property(title, text)
-    address = F.coalesce(records.announcement_street(title, text), place)
-    return announcements.select(
+    parsed = with_once(
+        announcements, place=records.announcement_property(title, text),
+        street=records.announcement_street(title, text), case_number=records.announcement_case_number(text),
+        permit_type=records.classify_permit_type(F.concat_ws(" ", title, text, document)))
+    place, address = F.col("place"), F.coalesce("street", "place")
+    identified = parsed.where(F.col("permit_type").isNotNull() | F.col("case_number").isNotNull())
+    return identified.select(
         F.col("source").alias("municipality"),
-        records.announcement_case_number(text).alias("case_number"),
+        "case_number",
         address.alias("address"),
         F.when(place != address, place).alias("property"),
-        records.classify_permit_type(F.concat_ws(" ", title, text, document)).alias("permit_type"),
+        "permit_type",
         records.status_from_type_name(F.concat_ws(" ", F.col("type_name"), document)).alias("status"),
         F.col("start_date").alias("date"),
         records.announcement_text(title).alias("description"),
         records.organisation_applicant(text).alias("applicant"),
         F.concat(urls.origin(F.col("base_url")), F.lit("/digital-bulletin-board/announcements/"), F.col("id")).alias("source_url"),
-    ).where(F.col("permit_type").isNotNull() | F.col("case_number").isNotNull())
+    )
 
 
 def _metadata_text(metadata: Column, *titles: str) -> Column:
     def last(title: str) -> Column:
-        same = F.filter(metadata, lambda m: html.decode_entities(m["title"]) == title)
-        return blank_to_null(html.decode_entities(F.get(same, F.size(same) - 1)["value"]))
+        def titled(m: Column) -> Column:
+            return m["title"] == title
+
+        newest = F.slice(F.reverse(F.filter(metadata, titled)), 1, 1)
+        return F.when(F.exists(metadata, titled), blank_to_null(F.element_at(newest, 1)["value"]))
 
     return F.coalesce(*[last(t) for t in titles])
 
 
 def notice_text(notices: DataFrame) -> DataFrame:
-    """Adds ``all_text``: metadata values, attachment titles, title and text."""
-    def joined(c: Column, part: str) -> Column:
-        return F.array_join(F.transform(c, lambda x: html.decode_entities(x[part])), " ")
-
-    values = F.filter(F.col("metadata"), lambda m: m["value"] != "")
+    """Entities decoded and ``all_text`` added: metadata values, attachment titles, title and text."""
+    decoded = with_once(
+        notices,
+        metadata=F.transform(F.col("metadata"), lambda m: F.struct(
+            html.decode_entities(m["title"]).alias("title"), html.decode_entities(m["value"]).alias("value"))),
+        attachments=F.transform(F.col("attachments"), lambda a: html.decode_entities(a["title"])))
+    values = F.filter(F.transform(F.col("metadata"), lambda m: m["value"]), lambda v: v != "")
     empty = F.lit("")
-    return notices.withColumn("all_text", F.concat_ws(
-        " ", F.coalesce(joined(values, "value"), empty), F.coalesce(joined(F.col("attachments"), "title"), empty),
+    return with_once(decoded, all_text=F.concat_ws(
+        " ", F.coalesce(F.array_join(values, " "), empty), F.coalesce(F.array_join("attachments", " "), empty),
         F.coalesce("title", empty), F.coalesce("text", empty)))
 
 
@@ -92,8 +101,10 @@ def notice_filter(notices: DataFrame, categories: DataFrame, types: DataFrame) -
     flagged = in_set_flag(notices, "category_id", building_categories, "id", "is_building_category")
     flagged = in_set_flag(flagged, "type_key", building_types, "type", "is_building_type")
     named = type_name_lookup(notice_text(flagged), types)
-    named = named.withColumn("permit_type", records.classify_permit_type(F.concat_ws(" ", "all_text", "type_name")))
-    keyword = F.col("all_text").rlike("(?iu)" + config.NOTICE_TEXT_PATTERN)
+    named = with_once(
+        named, permit_type=records.classify_permit_type(F.concat_ws(" ", "all_text", "type_name")),
+        has_keyword=F.col("all_text").rlike("(?iu)" + config.NOTICE_TEXT_PATTERN))
+    keyword = F.col("has_keyword")
     wanted = F.col("is_building_category") | F.col("is_building_type") | keyword
     certain = F.col("is_building_type") | F.col("permit_type").isNotNull() | keyword
     return named.where(wanted & certain)
@@ -102,7 +113,7 @@ def notice_filter(notices: DataFrame, categories: DataFrame, types: DataFrame) -
 def notice_permits(notices: DataFrame, categories: DataFrame, types: DataFrame, site: str) -> DataFrame:
     kept = notice_filter(notices, categories, types)
     text = _metadata_text(F.col("metadata"), "Beskrivning", "beskrivning", "Information", "information")
-    p = kept.withColumn("p", records.parse_notice_description(F.coalesce(text, F.lit(""))))
+    p = with_once(kept, p=records.parse_notice_description(F.coalesce(text, F.lit(""))))
     return p.select(
         F.col("source").alias("municipality"), records.notice_case_number(F.col("all_text")).alias("case_number"),
         F.coalesce("p.address", "p.property").alias("address"),
@@ -120,13 +131,16 @@ def cpv_filter(tenders: DataFrame) -> DataFrame:
 
 def procurement_signals(tenders: DataFrame, site: str) -> DataFrame:
     """Relevant tenders of an organisation as signals."""
-    kept = cpv_filter(tenders)
-    full_title = F.coalesce(blank_to_null(F.col("title.swe")), blank_to_null(F.col("title.eng")))
-    body = F.coalesce(blank_to_null(F.col("description.swe")), blank_to_null(F.col("description.eng")), F.lit(""))
+    kept = with_once(
+        cpv_filter(tenders),
+        full_title=F.coalesce(blank_to_null(F.col("title.swe")), blank_to_null(F.col("title.eng"))),
+        body=F.coalesce(blank_to_null(F.col("description.swe")), blank_to_null(F.col("description.eng")), F.lit("")),
+        amount=records.convert_amount(F.col("value"), F.col("currency")),
+        timeline=F.concat(F.lit("Anbudsfrist: "), F.left(F.get("deadlines", F.lit(0)), F.lit(10))),
+        code=records.nuts_code(F.col("place")))
+    full_title, body, amount, timeline, code = (
+        F.col(c) for c in ("full_title", "body", "amount", "timeline", "code"))
     short = F.left(body, F.lit(200))
-    amount = records.convert_amount(F.col("value"), F.col("currency"))
-    timeline = F.concat(F.lit("Anbudsfrist: "), F.left(F.get("deadlines", F.lit(0)), F.lit(10)))
-    code = records.nuts_code(F.col("place"))
     parts = F.array_compact(F.array(
         F.concat(F.lit("Titel: "), full_title), F.left(blank_to_null(body), F.lit(9000)),
         F.concat(F.lit("CPV: "), F.when(F.size("cpv") > 0, F.array_join("cpv", ", "))),

@@ -21,11 +21,12 @@ def _anchor(needle: Column) -> Column:
     return anchor
 
 
-def _grams(text: Column) -> Column:
-    """Every distinct piece of the text that could be an anchor."""
+def _grams(text: Column, sizes: Column) -> Column:
+    """Every distinct piece of the text that could be an anchor of one of the sizes."""
     def of_size(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-        return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))).otherwise(
+        wanted = (F.length(text) >= n) & F.array_contains(sizes, n)
+        return F.when(wanted, F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))).otherwise(
             F.array().cast("array<string>"))
 
     return F.array_distinct(F.concat(*[of_size(n) for n in _GRAM_SIZES]))
@@ -36,11 +37,13 @@ def containing_pairs(left: DataFrame, text: str, right: DataFrame, needle: str,
 
     A containing text must have the needle's anchor among its own pieces, so pairs
     are found by an equi join on keys and piece instead of comparing everything that
-    shares a key; the containment itself is then checked on these few pairs.
+    shares a key; the containment itself is then checked on these few pairs.  Only
+    anchor sizes that occur are cut out of the texts.
     """
-    pieces = left.join(right.select(*keys).distinct(), keys, "left_semi").select(
-        "*", F.explode(_grams(F.col(text))).alias("_piece"))
     anchored = right.withColumn("_piece", _anchor(F.col(needle)))
+    sizes = anchored.agg(F.collect_set(F.length("_piece")).alias("s")).scalar()
+    pieces = left.join(right.select(*keys).distinct(), keys, "left_semi").select(
+        "*", F.explode(_grams(F.col(text), sizes)).alias("_piece"))
     return pieces.join(anchored, [*keys, "_piece"]).where(F.contains(F.col(text), F.col(needle))).drop("_piece")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from noticeworks import config
 from noticeworks.functions import html, names, records, urls
-from noticeworks.functions.text import blank_to_null
+from noticeworks.functions.text import blank_to_null, with_once
 from noticeworks.functions.times import moment
 from noticeworks.operators.ordering import first_wins, top_per_group
 
@@ -204,8 +204,9 @@ def labelled_fields(pages: DataFrame, source_html: str = "html") -> DataFrame:
     """One record per notice block of a page: a heading, table row or list item with a case number."""
     rest = [c for c in pages.columns if c != source_html]
     blocks = F.split(F.col(source_html), r"(?i)(?=<(?:h[1-6]|tr|li)[\s>])")
-    texts = F.transform(blocks, html.to_text)
-    parsed = pages.select(*rest, F.posexplode(F.transform(texts, records.labelled_block)).alias("pos", "r"))
+    texts = pages.select(*rest, F.posexplode(F.transform(blocks, html.to_text)).alias("pos", "text"))
+    numbered = texts.where(records.has_case_number(F.col("text")))
+    parsed = with_once(numbered, r=records.labelled_block(F.col("text")))
     return parsed.where(F.col("r.case_number").isNotNull()).select(*rest, "pos", "r.*")
 
 

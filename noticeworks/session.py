@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, app: str = "noticeworks") -> SparkSession:
@@ -15,20 +15,9 @@ def local_session(cores: int = 8, app: str = "noticeworks") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names.
-
-    Without such a folder the plan is returned as it is: a machine-local folder
-    would not survive the loss of an executor.
-    """
-    context = df.sparkSession.sparkContext
-    configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if configured and context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
-    return df.checkpoint(eager=False) if context.getCheckpointDir() else df

@@ -188,7 +188,8 @@ def scan_board_setup(raw: DataFrame, payload: str = "payload") -> tuple[DataFram
 def scan_procurement(raw: DataFrame, start: date, payload: str = "payload") -> DataFrame:
     """Tender notices published after ``start``."""
     rest = [c for c in raw.columns if c != payload]
-    n = raw.select(*rest, F.from_json(payload, TENDER_SCHEMA).alias("n"))
+    # One-element generator: the payload is parsed once, not once per field.
+    n = raw.select(*rest, F.explode(F.array(F.from_json(payload, TENDER_SCHEMA))).alias("n"))
 
     def get(name: str) -> Column:
         return F.col("n").getField(name)
