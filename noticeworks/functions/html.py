@@ -42,7 +42,8 @@ def to_text(html: Column) -> Column:
     c = _drop(c, (r"(?i)<br\s*/?>", r"(?i)</(?:p|div|h[1-6]|li|tr|dt|dd|section|article)>"), "\n")
     c = F.regexp_replace(c, "<[^>]+>", " ")
     c = let(c, lambda t: F.when(F.contains(t, F.lit("&")), _plain_entities(t)).otherwise(t))
-    c = F.regexp_replace(c, r"[ \t]+", " ")
+    # A single blank is already what it would be replaced by.
+    c = F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
     c = F.regexp_replace(c, r"\n[ \t]+", "\n")
     return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 

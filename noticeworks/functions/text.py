@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # White space as the sources' own tooling sees it: ASCII plus no-break space and BOM.
 SPACE = r"[\s\u00a0\ufeff]"
+_SPACE_CHARS = " \t\n\x0b\f\r\u00a0\ufeff"
 
 # Letter + combining mark pairs and their composed letters.
 COMPOSED = {
@@ -35,7 +36,7 @@ def with_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(_SPACE_CHARS))
 
 
 def squeeze(c: Column) -> Column:

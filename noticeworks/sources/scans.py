@@ -94,12 +94,11 @@ def extracted_records(raw: DataFrame) -> DataFrame:
 
 
 def latest_run_cost(raw: DataFrame, prefix: str = "extraction_cost") -> DataFrame:
-    """Cost report of the newest file, one row per ``(file_name, value)`` input's group."""
+    """Cost report of the newest of the ``(file_name, value)`` rows; only that one is parsed."""
     schema = "struct<total_cost_usd:double,total_permits:bigint,cost_per_permit_usd:double>"
     newest = raw.where(F.col("file_name").startswith(prefix)).agg(
-        F.max_by(F.struct("file_name", F.from_json("value", schema).alias("c")), "file_name").alias("n")
-    )
-    return newest.select("n.file_name", "n.c.*")
+        F.max("file_name").alias("file_name"), F.max_by("value", "file_name").alias("value"))
+    return newest.select("file_name", F.from_json("value", schema).alias("c")).select("file_name", "c.*")
 
 
 def scan_pages(spark: SparkSession, folder: str) -> DataFrame:
