@@ -230,18 +230,18 @@ def _(s, d):
 
 @query("population_flags", """
     WITH c AS (SELECT lower(replace(place, '#', '-')) AS source, max(CAST(created_at AS DATE)) AS last_day, count(*) FILTER (WHERE status = 'avslag') AS n FROM d_records GROUP BY 1),
-    p AS (SELECT lower(replace(name, '#', '-')) AS source, name, place_id * 97 AS inhabitants FROM d_places),
+    p AS (SELECT lower(replace(name, '#', '-')) AS source, name, place_id * 97 + 30000 AS inhabitants FROM d_places),
     x AS (SELECT source, name, inhabitants, n, DATE '2001-08-15' - last_day AS days, n * 1.0 / greatest(DATE '2001-08-15' - last_day, 1) * 30 AS rate FROM c JOIN p USING (source))
-    SELECT source, name || printf(' (%.0fk inv): ', inhabitants / 1000) || printf('%.1f', floor(rate * 10 + 0.5) / 10) || ' ärenden/mån, förväntat >= ' || CASE WHEN inhabitants > 100000 AND rate < 10 THEN '10' ELSE '5' END AS flag
+    SELECT source, name || printf(' (%.0fk inv): ', floor(inhabitants / 1000.0 + 0.5)) || printf('%.1f', floor(rate * 10 + 0.5) / 10) || ' ärenden/mån, förväntat >= ' || CASE WHEN inhabitants > 100000 AND rate < 10 THEN '10' ELSE '5' END AS flag
     FROM x WHERE (inhabitants > 100000 AND rate < 10) OR (inhabitants > 50000 AND rate < 5)
-    UNION ALL SELECT source, name || printf(' (%.0fk inv): ', inhabitants / 1000) || '0 ärenden på ' || days || ' dagar' FROM x WHERE inhabitants > 20000 AND days >= 14 AND n = 0""")
+    UNION ALL SELECT source, name || printf(' (%.0fk inv): ', floor(inhabitants / 1000.0 + 0.5)) || '0 ärenden på ' || days || ' dagar' FROM x WHERE inhabitants > 20000 AND days >= 14 AND n = 0""")
 def _(s, d):
     from noticeworks.functions.names import sanitize_ascii_name
 
     r = frame(s, d, "d_records").withColumn("source", sanitize_ascii_name(F.col("place")))
     counts = r.groupBy("source").agg(F.count_if(F.col("status") == "avslag").alias("n"))
     last = r.groupBy("source").agg(F.max(F.to_date("created_at")).alias("last_day"))
-    people = frame(s, d, "d_places").select("name", (F.col("place_id") * 97).alias("inhabitants"))
+    people = frame(s, d, "d_places").select("name", (F.col("place_id") * 97 + 30000).alias("inhabitants"))
     return quality.population_flags(counts, last, people, date(2001, 8, 15))
 
 
@@ -305,10 +305,11 @@ def _(s, d):
 @query("run_summary", """
     SELECT count(*) AS sources, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'error') AS error,
       count(*) FILTER (WHERE status = 'unchanged') AS unchanged, count(*) FILTER (WHERE status = 'escalated') AS escalated, CAST(sum(records) AS BIGINT) AS records,
-      CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(skipped) AS BIGINT) AS skipped, sum(cost_usd) AS cost_usd, round(CAST(sum(cost_usd) AS DOUBLE) / sum(records), 6) AS cost_per_record
+      CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(skipped) AS BIGINT) AS skipped, CAST(sum(cost_usd) AS DOUBLE) AS cost_usd, round(CAST(sum(cost_usd) AS DOUBLE) / sum(records), 6) AS cost_per_record
     FROM d_results""")
 def _(s, d):
-    return quality.run_summary(frame(s, d, "d_results")).withColumn("cost_per_record", F.round("cost_per_record", 6))
+    return quality.run_summary(frame(s, d, "d_results")).withColumns({
+        "cost_per_record": F.round("cost_per_record", 6), "cost_usd": F.col("cost_usd").cast("double")})
 
 
 _PER_SOURCE = f"""{_BASELINE}, {_TODAY_COUNTS}, {_ANOMALY},

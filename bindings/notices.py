@@ -32,8 +32,8 @@ def _(s, d):
 
 
 @query("billboard_permits", f"""
-    WITH {_TITLE} SELECT source AS municipality, nullif(diarie, '') AS case_number, p_address AS address, NULL AS property, {permit_class('title')} AS permit_type,
-      'beviljat' AS status, NULL AS date, p_text AS description, NULL AS applicant, {extract('base_url', '^(https?://[^/]+)')} || '/#!/billboard/' AS source_url
+    WITH {_TITLE} SELECT source AS municipality, nullif(diarie, '') AS case_number, p_address AS address, CAST(NULL AS VARCHAR) AS property, {permit_class('title')} AS permit_type,
+      'beviljat' AS status, CAST(NULL AS VARCHAR) AS date, p_text AS description, CAST(NULL AS VARCHAR) AS applicant, {extract('base_url', '^(https?://[^/]+)')} || '/#!/billboard/' AS source_url
     FROM p WHERE regexp_matches(lower(title), {q(config.BILLBOARD_PATTERN)}) OR (diary_name IN {in_list(config.BUILDING_DIARIES)} AND {permit_class('title')} IS NOT NULL)""")
 def _(s, d):
     return boards.billboard_permits(frame(s, d, "d_items"))
@@ -135,7 +135,7 @@ def _(s, d):
 @query("notice_permits", rf"""
     WITH {_NOTICE} SELECT source AS municipality, {rx(extract('all_text', '(?i)diarienummer:' + chr(92) + 's*([^' + chr(92) + 's.]+(?:' + chr(92) + 's+[' + chr(92) + 'd-]+)?)'), (chr(92) + '.$', "''", ''))} AS case_number,
       coalesce(l_addr, l_prop) AS address, CASE WHEN l_addr IS NOT NULL THEN l_prop END AS property, coalesce(kind, CASE WHEN is_type THEN 'bygglov' END) AS permit_type,
-      {_status_text("(all_text || ' ' || type_name)")} AS status, split_part(published, ' ', 1) AS date, l_text AS description, NULL AS applicant,
+      {_status_text("(all_text || ' ' || type_name)")} AS status, split_part(published, ' ', 1) AS date, l_text AS description, CAST(NULL AS VARCHAR) AS applicant,
       'https://boards.example/bulletinboard/public/' || board_id || '/' || id AS source_url FROM kept""")
 def _(s, d):
     return boards.notice_permits(notice_rows(s, d), frame(s, d, "d_categories"), frame(s, d, "d_types"), "https://boards.example")
@@ -213,20 +213,20 @@ def _(s, d):
 
 
 @query("excerpt_rules", """
-    SELECT doc_id, excerpt, CASE WHEN length(excerpt) > 300 THEN source END AS summary FROM (SELECT doc_id, source, CASE WHEN length(text) <= 2000 THEN nullif(text, '')
-      ELSE coalesce(nullif(regexp_extract(substring(text, 1, 2000), '^([\\s\\S]*[.!?])', 1), ''), substring(text, 1, 2000)) END AS excerpt FROM documents)""")
+    SELECT doc_id, excerpt, CASE WHEN length(excerpt) > 300 THEN source END AS summary FROM (SELECT doc_id, source, CASE WHEN length(text) <= 10000 THEN nullif(text, '')
+      ELSE coalesce(nullif(regexp_extract(substring(text, 1, 10000), '^([\\s\\S]*[.!?])', 1), ''), substring(text, 1, 10000)) END AS excerpt FROM documents)""")
 def _(s, d):
-    docs = table(s, d, "documents").select("doc_id", "source", records.excerpt(F.col("text"), 2000).alias("excerpt"))
+    docs = table(s, d, "documents").select("doc_id", "source", records.excerpt(F.col("text")).alias("excerpt"))
     return docs.select("doc_id", "excerpt", records.summary_allowed(F.col("excerpt"), F.col("source")).alias("summary"))
 
 
 @query("usage_cost", """
-    SELECT l_orderkey, l_linenumber, l_partkey, round(CASE model WHEN 'claude-opus-4-7' THEN tokens_in * 0.000005 + tokens_out * 0.000025
-      WHEN 'claude-sonnet-4-6' THEN tokens_in * 0.000003 + tokens_out * 0.000015 ELSE tokens_in * 0.0000008 + tokens_out * 0.000004 END, 6) AS cost_usd FROM d_usage""")
+    SELECT l_orderkey, l_linenumber, l_partkey, round(CAST(CASE model WHEN 'claude-opus-4-7' THEN tokens_in * 0.000005 + tokens_out * 0.000025
+      WHEN 'claude-sonnet-4-6' THEN tokens_in * 0.000003 + tokens_out * 0.000015 ELSE tokens_in * 0.0000008 + tokens_out * 0.000004 END AS DOUBLE), 6) AS cost_usd FROM d_usage""")
 def _(s, d):
     u = frame(s, d, "d_usage")
     cost = records.usage_cost(F.col("model"), F.col("tokens_in"), F.col("tokens_out"))
-    return u.select("l_orderkey", "l_linenumber", "l_partkey", F.round(cost, 6).alias("cost_usd"))
+    return u.select("l_orderkey", "l_linenumber", "l_partkey", F.round(cost.cast("double"), 6).alias("cost_usd"))
 
 
 @query("date_part", "SELECT number, substring(publication_date, 1, 10) AS day FROM d_tenders")
@@ -485,9 +485,9 @@ def _(s, d):
     return verified(s, d).drop("cost_usd")
 
 
-@query("verification_summary", f"WITH {_VERIFIED} SELECT status, count(*) AS sources, sum(cost_usd) AS cost_usd FROM w GROUP BY 1")
+@query("verification_summary", f"WITH {_VERIFIED} SELECT status, count(*) AS sources, CAST(sum(cost_usd) AS DOUBLE) AS cost_usd FROM w GROUP BY 1")
 def _(s, d):
-    return quality.outcome_summary(verified(s, d))
+    return quality.outcome_summary(verified(s, d)).withColumn("cost_usd", F.col("cost_usd").cast("double"))
 
 
 _REDISC = """rd AS (SELECT *, new_url IS NULL AS nothing, new_url = previous_url AS same, new_url <> previous_url AND verified AND verify_result_count > 0 AS ok,
@@ -506,9 +506,9 @@ def _(s, d):
 
 
 @query("append_rediscovery_log", f"""
-    WITH {_REDISC} SELECT source, 'zero_streak' AS triggered_by, previous_url, new_url, method, verified, verify_result_count, cost_usd, success, error FROM dec""")
+    WITH {_REDISC} SELECT source, 'zero_streak' AS triggered_by, previous_url, new_url, method, verified, verify_result_count, CAST(cost_usd AS DOUBLE) AS cost_usd, success, error FROM dec""")
 def _(s, d):
-    return loading.rediscovery_log(rediscovered(s, d), "zero_streak")
+    return loading.rediscovery_log(rediscovered(s, d), "zero_streak").withColumn("cost_usd", F.col("cost_usd").cast("double"))
 
 
 @query("homepage_name_check", """
@@ -601,7 +601,7 @@ def reference_names(s, d):
     return p.select(F.concat(F.lit("Ar"), "p_name").alias("name")).distinct()
 
 
-@query("plan_duplicate_fix", f"WITH {_DUP} SELECT id, name, 'delete' AS action, NULL AS new_name FROM del UNION ALL SELECT id, name, 'rename', new_name FROM ren")
+@query("plan_duplicate_fix", f"WITH {_DUP} SELECT id, name, 'delete' AS action, CAST(NULL AS VARCHAR) AS new_name FROM del UNION ALL SELECT id, name, 'rename', new_name FROM ren")
 def _(s, d):
     return curation.plan_duplicate_fix(unique_names(s, d), reference_names(s, d))
 

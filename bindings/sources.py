@@ -67,7 +67,7 @@ def extracted_files(s, d):
 
 @query("scan_extracted_json", """
     SELECT place || '-' || arrival AS source, pos, municipality, CASE WHEN pos = 0 THEN case_number END AS case_number,
-      address, place AS property, permit_type, status, date, NULL AS description, NULL AS applicant, NULL AS source_url
+      address, place AS property, permit_type, status, date, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS applicant, CAST(NULL AS VARCHAR) AS source_url
     FROM d_records, range(2) AS t(pos)""")
 def _(s, d):
     return scans.extracted_records(extracted_files(s, d))
@@ -75,7 +75,7 @@ def _(s, d):
 
 @query("scan_latest_run_cost", """
     SELECT 'extraction_cost_' || o_orderkey AS file_name, o_totalprice AS total_cost_usd, o_custkey AS total_permits,
-      NULL AS cost_per_permit_usd FROM orders ORDER BY 1 DESC LIMIT 1""")
+      CAST(NULL AS DOUBLE) AS cost_per_permit_usd FROM orders ORDER BY 1 DESC LIMIT 1""")
 def _(s, d):
     reports = table(s, d, "orders").select(
         F.concat(F.lit("extraction_cost_"), F.col("o_orderkey").cast("string")).alias("file_name"),
@@ -101,7 +101,7 @@ def _(s, d):
 
 
 @query("scan_announcements", """
-    SELECT source, pos, id, title, NULL AS name, start_date, NULL AS description, NULL AS document_title
+    SELECT source, pos, id, title, CAST(NULL AS VARCHAR) AS name, start_date, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS document_title
     FROM d_announced, range(2) AS t(pos) WHERE pos = 0 OR type_id = '1-URGENT'""")
 def _(s, d):
     a = frame(s, d, "d_announced")
@@ -189,18 +189,18 @@ def _(s, d):
 
 @query("map_fields", """
     SELECT arrival, municipality, case_number, nullif(address, '') AS address, permit_type, status, date, description,
-      NULL AS applicant, NULL AS property, source_url FROM d_records""")
+      CAST(NULL AS VARCHAR) AS applicant, CAST(NULL AS VARCHAR) AS property, source_url FROM d_records""")
 def _(s, d):
     mapping = config.PERMITS.field_mapping
     return shaping.map_fields(frame(s, d, "d_records"), mapping).select("arrival", *mapping.values())
 
 
 @query("add_metadata", """
-    SELECT arrival, 'm1' AS extraction_model, CAST(NULL AS DECIMAL(10,8)) AS extraction_cost_usd,
+    SELECT arrival, 'm1' AS extraction_model, CAST(NULL AS DOUBLE) AS extraction_cost_usd,
       coalesce(page_hash, 'ff00') AS raw_html_hash FROM d_records""")
 def _(s, d):
     return shaping.add_metadata(frame(s, d, "d_records"), "m1", "ff00").select(
-        "arrival", "extraction_model", "extraction_cost_usd", "raw_html_hash")
+        "arrival", "extraction_model", F.col("extraction_cost_usd").cast("double").alias("extraction_cost_usd"), "raw_html_hash")
 
 
 @query("default_fields", """
@@ -376,7 +376,7 @@ def _(s, d):
 # Set operations and samples
 
 @query("union_records", """
-    SELECT arrival AS id, municipality, case_number, NULL AS lan FROM d_records
+    SELECT arrival AS id, municipality, case_number, CAST(NULL AS VARCHAR) AS lan FROM d_records
     UNION ALL SELECT id, municipality, case_number, lan FROM d_permits""")
 def _(s, d):
     a = frame(s, d, "d_records").select(F.col("arrival").alias("id"), "municipality", "case_number")

@@ -216,8 +216,8 @@ def _(s, d):
 
 
 _HASHES = """run AS (SELECT source, doc_id AS url, CASE WHEN n_chars > 300 THEN substring(sha256(text), 1, 16) END AS content_hash
-      FROM documents WHERE source IN ('src1', 'src2', 'src3')),
-    stored AS (SELECT source, doc_id AS url, 'old' AS content_hash FROM documents)"""
+      FROM documents),
+    stored AS (SELECT source, doc_id AS url, 'old' AS content_hash FROM documents UNION ALL SELECT url, page_id, 'old' FROM pages)"""
 
 
 @query("update_page_hashes", f"""
@@ -225,9 +225,10 @@ _HASHES = """run AS (SELECT source, doc_id AS url, CASE WHEN n_chars > 300 THEN
     UNION ALL SELECT * FROM run WHERE content_hash IS NOT NULL""")
 def _(s, d):
     docs = table(s, d, "documents")
-    run = docs.where(F.col("source").isin("src1", "src2", "src3")).select(
+    run = docs.select(
         "source", F.col("doc_id").alias("url"), F.when(F.col("n_chars") > 300, F.substring(F.sha2("text", 256), 1, 16)).alias("content_hash"))
-    stored = docs.select("source", F.col("doc_id").alias("url"), F.lit("old").alias("content_hash"))
+    stored = docs.select("source", F.col("doc_id").alias("url"), F.lit("old").alias("content_hash")).unionByName(
+        table(s, d, "pages").select(F.col("url").alias("source"), F.col("page_id").alias("url"), F.lit("old").alias("content_hash")))
     return loading.update_page_hashes(stored, run)
 
 
@@ -272,9 +273,10 @@ def _(s, d):
     return loading.unknown_keys(frame(s, d, "d_places"), asked, "name")
 
 
-@query("write_run_log", "SELECT 'r1' AS run_id, event_id, source, status, records, cost_usd FROM d_results")
+@query("write_run_log", "SELECT 'r1' AS run_id, event_id, source, status, records, CAST(cost_usd AS DOUBLE) AS cost_usd FROM d_results")
 def _(s, d):
-    return loading.run_log(frame(s, d, "d_results").select("event_id", "source", "status", "records", "cost_usd"), "r1")
+    return loading.run_log(frame(s, d, "d_results").select(
+        "event_id", "source", "status", "records", F.col("cost_usd").cast("double").alias("cost_usd")), "r1")
 
 
 # Ordering
@@ -304,15 +306,15 @@ _SPENT = """spent AS (SELECT *, coalesce(sum(cost) OVER (PARTITION BY run ORDER
 
 @query("budget_cutoff", f"""
     WITH {_SPENT}, flagged AS (SELECT *, spent_before + max_cost > 500000 AS over FROM spent)
-    SELECT run, id, spent_before, CASE WHEN max(CAST(over AS INT)) OVER (PARTITION BY run ORDER BY priority, created_at, id
+    SELECT run, id, CAST(spent_before AS DOUBLE) AS spent_before, CASE WHEN max(CAST(over AS INT)) OVER (PARTITION BY run ORDER BY priority, created_at, id
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 THEN 'budget_exhausted' ELSE 'run' END AS status FROM flagged""")
 def _(s, d):
     tasks = frame(s, d, "d_tasks")
     return ordering.budget_cutoff(tasks, 500000, ["run"], ["priority", "created_at", "id"], ["priority", "created_on"]).select(
-        "run", "id", "spent_before", "status")
+        "run", "id", F.col("spent_before").cast("double").alias("spent_before"), "status")
 
 
-@query("spend_until", f"WITH {_SPENT} SELECT run, id, spent_before FROM spent WHERE spent_before < 400000")
+@query("spend_until", f"WITH {_SPENT} SELECT run, id, CAST(spent_before AS DOUBLE) AS spent_before FROM spent WHERE spent_before < 400000")
 def _(s, d):
     return ordering.spend_until(frame(s, d, "d_tasks"), 400000, ["run"], ["priority", "created_at", "id"], ["priority", "created_on"]).select(
-        "run", "id", "spent_before")
+        "run", "id", F.col("spent_before").cast("double").alias("spent_before"))
