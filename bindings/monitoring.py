@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 
 from bindings.derived import frame, table
 from bindings.registry import query
-from bindings.sources import extracted_files  # noqa: F401
-from bindings.sqltext import any_word, hash16, q, word_list
+from bindings.sqltext import hash16, word_list
 from noticeworks import config
 from noticeworks.operators import discovery, fingerprints, health, quality, shaping
-from noticeworks.sources.scans import scan_approved_sources  # noqa: F401
 
 AS_OF = datetime(2024, 1, 31)
 TODAY = date(2024, 1, 31)

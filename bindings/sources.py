@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from bindings.derived import frame, table
 from bindings.registry import query
 from bindings.sqltext import (
-    ENCODED, LINKS, any_word, ascii_name, bare_host, extract, fold, hash16, host, in_list, normal_place, page_text,
-    permit_class, q, rx, sanitized, stripped, trim, word_list,
+    LINKS, any_word, ascii_name, bare_host, extract, fold, hash16, host, in_list, normal_place, page_text,
+    permit_class, q, rx, sanitized, stripped, trim,
 )
 from noticeworks import config
 from noticeworks.functions import html, names, urls
@@ -438,7 +438,6 @@ for _name, (_fn, _sql) in _NAMED.items():
     query(_name, f"SELECT id, name, {_sql} AS result FROM d_named")(
         lambda s, d, fn=_fn: frame(s, d, "d_named").select("id", "name", fn(F.col("name")).alias("result")))
 
-_A, _N = "ascii", "name"
 _DOMAIN = rx(fold(trim(rx("name", ("s$", "''", "")))), (r"\s+", "''", "g"))
 
 

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 
 from bindings.derived import frame, table
 from bindings.registry import query
-from bindings.sources import config_rows, notice_rows, tenders
+from bindings.sources import tenders
 from bindings.sqltext import ascii_name, letters, normal_place, rx, sanitized, stripped_place
 from noticeworks.operators import loading, lookups, ordering
-from noticeworks.operators.quality import detect_stale  # noqa: F401
 
 
 # Lookups
@@ -151,8 +150,6 @@ def _(s, d):
 
 # Loads: what was ordered before 1999 is the target, the rest arrives
 
-_SPLIT = """target AS (SELECT * FROM d_records WHERE created_at < TIMESTAMP '1999-01-01'),
-    batch AS (SELECT * FROM d_records WHERE created_at >= TIMESTAMP '1999-01-01')"""
 # The same case is registered again in the later year.
 _CASE = "'BN ' || place || '/' || permit_type"
 
