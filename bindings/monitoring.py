@@ -230,7 +230,7 @@ def _(s, d):
     WITH c AS (SELECT lower(replace(place, '#', '-')) AS source, max(CAST(created_at AS DATE)) AS last_day, count(*) FILTER (WHERE status = 'avslag') AS n FROM d_records GROUP BY 1),
     p AS (SELECT lower(replace(name, '#', '-')) AS source, name, place_id * 97 + 30000 AS inhabitants FROM d_places),
     x AS (SELECT source, name, inhabitants, n, DATE '2001-08-15' - last_day AS days, n * 1.0 / greatest(DATE '2001-08-15' - last_day, 1) * 30 AS rate FROM c JOIN p USING (source))
-    SELECT source, name || printf(' (%.0fk inv): ', floor(inhabitants / 1000.0 + 0.5)) || printf('%.1f', floor(rate * 10 + 0.5) / 10) || ' ärenden/mån, förväntat >= ' || CASE WHEN inhabitants > 100000 AND rate < 10 THEN '10' ELSE '5' END AS flag
+    SELECT source, name || printf(' (%.0fk inv): ', floor(inhabitants / 1000.0 + 0.5)) || printf('%.1f', CAST(round(CAST(rate AS DECIMAL(28,18)), 1) AS DOUBLE)) || ' ärenden/mån, förväntat >= ' || CASE WHEN inhabitants > 100000 AND rate < 10 THEN '10' ELSE '5' END AS flag
     FROM x WHERE (inhabitants > 100000 AND rate < 10) OR (inhabitants > 50000 AND rate < 5)
     UNION ALL SELECT source, name || printf(' (%.0fk inv): ', floor(inhabitants / 1000.0 + 0.5)) || '0 ärenden på ' || days || ' dagar' FROM x WHERE inhabitants > 20000 AND days >= 14 AND n = 0""")
 def _(s, d):
