@@ -1,8 +1,8 @@
 """Loads into target tables: what to append, what to overwrite, what to keep.
 
-Every operator returns rows; the write functions at the end store them.  The target
-is met by an anti join on its key before duplicates inside the batch are dropped,
-so both steps share one partitioning by key.
+Every operator returns rows; the write functions at the end store them.  Duplicates
+inside the batch are dropped first, before the shuffle, so a hot key sends one row
+per task; the anti join against the target then uses the same partitioning.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from noticeworks.operators.ordering import top_per_group
 
 def insert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Batch rows to append: key not in the target, first of the batch wins."""
-    fresh = batch.join(target.select(*key), list(key), "left_anti")
-    return top_per_group(fresh, list(key), [F.col(c) for c in order], 1)
+    first = top_per_group(batch, list(key), [F.col(c) for c in order], 1)
+    return first.join(target.select(*key), list(key), "left_anti")
 
 
 def insert_if_absent_nullkey(target: DataFrame, batch: DataFrame, primary: str,
@@ -29,8 +29,8 @@ def insert_if_absent_nullkey(target: DataFrame, batch: DataFrame, primary: str,
     def keyed(df: DataFrame) -> DataFrame:
         return df.where(F.col(primary).isNull()).withColumn("_key", F.struct(*dedup))
 
-    fresh = keyed(batch).join(keyed(target).select("_key"), "_key", "left_anti")
-    return top_per_group(fresh, ["_key"], [F.col(c) for c in order], 1).drop("_key")
+    first = top_per_group(keyed(batch), ["_key"], [F.col(c) for c in order], 1)
+    return first.join(keyed(target).select("_key"), "_key", "left_anti").drop("_key")
 
 
 def insert_records(target: DataFrame, batch: DataFrame, primary: str, key: Sequence[str],
