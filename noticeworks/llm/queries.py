@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import exact_dedup, line_dedup, preference, ring_sharding
+from noticeworks.llm import decontaminate, exact_dedup, language, line_dedup, ordinal, preference, ring_sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,20 @@ select pair_id, part, turn, role, head || text || '<|end|>' || chr(10) as render
 from r""")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return preference.preference_segments(preference.swapped_endings(_table(spark, folder, "conversations")))
+
+
+@_query("op8_ordinal_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return ordinal.ordinal_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query("op9_decontamination")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query("op10_language_id")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language.identify(docs, language.fit_text_model(docs), declared=F.col("lang"), host=F.col("source")).select(
+        F.col("id").alias("doc_id"), "declared", "language", "confidence", "by_text", "accepted")
