@@ -59,8 +59,8 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, id_col: str = "doc_id", tex
             F.collect_set(F.when(F.col("doc_id").eqNullSafe(F.col("keeper")) & F.col("doc_id").isNotNull(), F.col("h"))).alias("once"),
             F.collect_set(F.when(~F.col("doc_id").eqNullSafe(F.col("keeper")) | F.col("doc_id").isNull(), F.col("h"))).alias("never"))
         .withColumnRenamed("doc_id", "_own"), "found-lines")
-    marked = (
-        docs.drop("n_lines", "n_removed").join(found, F.col(id_col).eqNullSafe(F.col("_own")), "left")
+    marked = (  # a merge join at every size: what is found grows with the table
+        docs.drop("n_lines", "n_removed").join(found.hint("merge"), F.col(id_col).eqNullSafe(F.col("_own")), "left")
         .withColumns({"_parts": parts, "_hashed": F.when(F.col("never").isNotNull(), hashed)})
         .withColumn("_keep", F.when(F.col("never").isNull(), F.col("_parts")).otherwise(_kept()))
     )
