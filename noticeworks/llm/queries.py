@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import decontaminate, exact_dedup, language, line_dedup, ordinal, preference, ring_sharding
+from noticeworks.llm import decontaminate, exact_dedup, language, line_dedup, ordinal, pieces, preference, ring_sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +62,16 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return ring_sharding.bounded_ring_shards(_table(spark, folder, "documents"))
 
 
+#: A public BPE piece model; another one is given by the path to its file.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@_query("op5_pieces")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(docs, pieces.Vocabulary.load(PIECE_MODEL), check=True).drop("text")
+
+
 @_query("op6_preference", """
 with t as (select conv_id as pair_id, turn, role, text from conversations),
 m as (select *, max(turn) over (partition by pair_id) as last_turn from t),
