@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import decontaminate, exact_dedup, language, line_dedup, ordinal, pieces, preference, ring_sharding
+from noticeworks.llm import decontaminate, exact_dedup, language, line_dedup, ngram_join, ordinal, pieces, preference, ring_sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +62,27 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return ring_sharding.bounded_ring_shards(_table(spark, folder, "documents"))
 
 
+@_query("op4_ngram_join", f"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), {A_Z}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 3 then [array_to_string(words, ' ')]
+    else list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) end) as gram from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+links as (
+  select a.doc_id as a, b.doc_id as b from s a join s b on a.gram = b.gram and a.doc_id <> b.doc_id
+  join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id having 100 * count(*) >= 90 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach as (
+  select doc_id as a, doc_id as b from documents
+  union select r.a, l.b from reach r join links l on l.a = r.b)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, min(r.b) as component_id
+from documents d left join n using (doc_id) join reach r on r.a = d.doc_id group by all""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_components(_table(spark, folder, "documents"))
+
+
 #: A public BPE piece model; another one is given by the path to its file.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
