@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import decontaminate, exact_dedup, language, line_dedup, ngram_join, ordinal, pieces, preference, ring_sharding
+from noticeworks.llm import decontaminate, exact_dedup, katz, language, line_dedup, ngram_join, ordinal, pieces, preference, ring_sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,6 +121,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return preference.preference_segments(preference.swapped_endings(_table(spark, folder, "conversations")))
 
 
+@_query("op7_katz")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.katz_scores(_table(spark, folder, "documents"))
+
+
 @_query("op8_ordinal_toxicity")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return ordinal.ordinal_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
