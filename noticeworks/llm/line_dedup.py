@@ -47,36 +47,36 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, id_col: str = "doc_id", tex
     Only hashes travel for the counts. A line on a third of all documents is one row per task in
     the aggregation; in the join that follows, its rows can be split as the other side is unique.
     """
-    parts = F.split(F.col(text_col), "\n")
-    hashed = F.transform(parts, lambda x: F.xxhash64(F.btrim(x, F.lit(" \t\r"))))
-    blank = F.xxhash64(F.lit(""))
+    def hashed(text):
+        return F.transform(F.split(text, "\n"), lambda x: F.xxhash64(F.btrim(x, F.lit(" \t\r"))))
+
     lines = stored(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(site_col).alias("site"), F.explode(F.array_distinct(hashed)).alias("h"))
-        .where(F.col("h") != blank), "lines")
-    spread = spread_lines(lines, min_sites)
+        docs.select(F.col(id_col).alias("doc_id"), F.col(site_col).alias("site"), F.explode(F.array_distinct(hashed(F.col(text_col)))).alias("h"))
+        .where(F.col("h") != F.xxhash64(F.lit(""))), "lines")
+    keeps = F.col("doc_id").eqNullSafe(F.col("keeper")) & F.col("doc_id").isNotNull()
     found = stored(
-        lines.join(spread, "h").groupBy("doc_id").agg(
-            F.collect_set(F.when(F.col("doc_id").eqNullSafe(F.col("keeper")) & F.col("doc_id").isNotNull(), F.col("h"))).alias("once"),
-            F.collect_set(F.when(~F.col("doc_id").eqNullSafe(F.col("keeper")) | F.col("doc_id").isNull(), F.col("h"))).alias("never"))
-        .withColumnRenamed("doc_id", "_own"), "found-lines")
+        lines.join(spread_lines(lines, min_sites), "h").groupBy(F.col("doc_id").alias("own")).agg(
+            F.collect_set(F.when(keeps, F.col("h"))).alias("once"), F.collect_set(F.when(~keeps, F.col("h"))).alias("never")), "found-lines")
     marked = (  # a merge join at every size: what is found grows with the table
-        docs.drop("n_lines", "n_removed").join(found.hint("merge"), F.col(id_col).eqNullSafe(F.col("_own")), "left")
-        .withColumns({"_parts": parts, "_hashed": F.when(F.col("never").isNotNull(), hashed)})
-        .withColumn("_keep", F.when(F.col("never").isNull(), F.col("_parts")).otherwise(_kept()))
+        docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        .join(found.hint("merge"), F.col("id").eqNullSafe(F.col("own")), "left")
+        .withColumns({"parts": F.split("text", "\n"), "hashed": F.when(F.col("never").isNotNull(), hashed(F.col("text")))})
+        .withColumn("kept", F.when(F.col("never").isNull(), F.col("parts")).otherwise(_kept()))
     )
-    return marked.withColumns({
-        text_col: F.when(F.size("_keep") == F.size("_parts"), F.col(text_col)).otherwise(F.array_join("_keep", "\n")),
-        "n_lines": F.when(F.col("_parts").isNull(), 0).otherwise(F.size("_parts")),
-        "n_removed": F.when(F.col("_parts").isNull(), 0).otherwise(F.size("_parts") - F.size("_keep")),
-    }).drop("_own", "once", "never", "_parts", "_hashed", "_keep")
+    added = {
+        text_col: F.when(F.size("kept") == F.size("parts"), F.col("text")).otherwise(F.array_join("kept", "\n")),
+        "n_lines": F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts")),
+        "n_removed": F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts") - F.size("kept")),
+    }
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
+    return marked.select(*[added.get(c, F.col("row")[c]).alias(c) for c in names])
 
 
 def _kept():
     """Lines that stay: not of ``never``, and of ``once`` only the first."""
     def stays(i):
-        h = F.element_at("_hashed", i)
+        h = F.element_at("hashed", i)
         return ~F.array_contains(F.col("never"), h) & (
-            ~F.array_contains(F.col("once"), h) | (F.array_position(F.col("_hashed"), h) == i))
+            ~F.array_contains(F.col("once"), h) | (F.array_position(F.col("hashed"), h) == i))
 
-    numbers = F.filter(F.sequence(F.lit(1), F.size("_parts")), stays)
-    return F.transform(numbers, lambda i: F.element_at("_parts", i))
+    return F.transform(F.filter(F.sequence(F.lit(1), F.size("parts")), stays), lambda i: F.element_at("parts", i))

@@ -283,7 +283,8 @@ def ngram_components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", te
         .where("component_x < component_y and 10 * least(n_x, n_y) >= 9 * greatest(n_x, n_y)")
         .groupBy("hub", "set_id_x", "set_id_y").agg(
             F.count("*").alias("common"), *[F.first(c).alias(c) for c in ("n_x", "n_y", "differ_x", "differ_y", "rest_x", "rest_y")])
-        .where("2 * (common + least(rest_x, rest_y)) >= differ_x + differ_y - floor((n_x + n_y) / 19)")
+        # common members beyond a prefix are all in the rest of the set whose prefix ends first
+        .where("2 * least(common + greatest(rest_x, rest_y), differ_x, differ_y) >= differ_x + differ_y - floor((n_x + n_y) / 19)")
         .select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b")).distinct()
     )
     more = _compared(left, grams).where("linked").select("a", "b")
