@@ -176,8 +176,8 @@ def identify(
     fused = fused.withColumn("top", F.array_max("evidence"))
     language = F.element_at(names, F.array_position("evidence", F.col("top")).cast("int"))
     confidence = 1.0 / F.aggregate("evidence", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("top")))
-    return fused.select("id", "row_key", "declared", language.alias("language"), confidence.alias("confidence"), F.element_at(
-        names, (F.col("by_text") + 1).cast("int")).alias("by_text"), "n_trigrams").select(
+    return fused.select("id", "row_key", "declared", language.alias("language"), confidence.alias("confidence"), F.when(
+        F.col("by_text").isNotNull(), F.element_at(names, (F.col("by_text") + 1).cast("int"))).alias("by_text"), "n_trigrams").select(
         "id", "row_key", "declared", "language", "confidence", "by_text",
         ((F.col("language") != UNKNOWN) & (F.col("confidence") >= min_confidence) & (F.col("n_trigrams") > 0)).alias("accepted"))
 

@@ -282,6 +282,8 @@ class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         self.sizes = np.array([len(t) for t in vocabulary.texts], dtype=np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ordinary = np.zeros(len(self.sizes), dtype=bool)
+        self.ordinary[vocabulary.ids] = True
         self.data = np.frombuffer(b"".join(vocabulary.texts), dtype=np.uint8)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
@@ -289,9 +291,14 @@ class Decoder:
         sizes = self.sizes[ids]
         before = np.concatenate([[0], np.cumsum(sizes)])
         data = self.data[np.arange(before[-1]) + np.repeat(self.starts[ids] - before[:-1], sizes)].tobytes()
-        ends = before[np.concatenate([[0], np.cumsum(counts)])]
-        texts = (data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:]))
-        return [t[1:] if t.startswith(" ") else t for t in texts]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        texts = []
+        for a, b in zip(ends, ends[1:]):
+            text = data[before[a]:before[b]].decode("utf-8", "replace")
+            while a < b and not sizes[a]:  # controls before the text
+                a += 1
+            texts.append(text[1:] if text.startswith(" ") and self.ordinary[ids[a]] else text)
+        return texts
 
 
 #: Characters and rows that a task encodes at once.
