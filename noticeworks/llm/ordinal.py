@@ -14,30 +14,52 @@ from pyspark.sql import functions as F
 
 from noticeworks.llm.batches import row_sums, word_slices
 
-#: Features are words, hashed into so many weights.
-FEATURES = 1 << 18
 EDGES = ".,;:!?\"'()[]{}*_-"
 
 
 class Model(NamedTuple):
-    """P(grade <= k) is logistic(thresholds[k] - weights . features), the weights shared by all k."""
+    """P(grade <= k) is logistic(thresholds[k] - sum of the weights of the text's words), the weights shared by all k."""
 
+    words: np.ndarray  #: sorted hashes of the features that have a weight
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """The weights of hashed features; 0 for all others."""
+        if not len(self.words):
+            return np.zeros(len(words))
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.weights[at], 0.0)
 
-def features(words: pa.Array) -> np.ndarray:
-    """The feature of each word: its hash without case and punctuation at its edges."""
-    plain = pc.utf8_trim(words, characters=EDGES).to_numpy(zero_copy_only=False).astype(object)
-    return (pd.util.hash_array(plain, categorize=False) % FEATURES).astype(np.int64)
+
+#: Beginnings of words that are features too: inflected words share what they say with their stem.
+PREFIXES = (4, 5, 6)
+
+
+def hashed(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of the features of each word, a column each: the word without punctuation at its edges, its beginnings.
+
+    A beginning as long as the word or longer counts as the word.
+    """
+    plain = pc.utf8_trim(words, characters=EDGES)
+    whole = pd.util.hash_array(plain.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+    columns = [whole]
+    for n in PREFIXES:
+        begun = pc.binary_join_element_wise(pc.utf8_slice_codeunits(plain, 0, n), "", "-").dictionary_encode()
+        of = pd.util.hash_array(begun.dictionary.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+        longer = pc.greater(pc.utf8_length(plain), n).to_numpy(zero_copy_only=False)
+        columns.append(np.where(longer, of[begun.indices.to_numpy()], whole))
+    return np.stack(columns, axis=1).view(np.int64)
 
 
 def _bags(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows ``[first, last)`` with the row, feature and count of each distinct feature."""
+    """Rows ``[first, last)`` with the row, hash and count of each distinct feature."""
     for w in word_slices(texts, pc.utf8_lower):
         rows = np.repeat(np.arange(w.last - w.first), np.diff(w.offsets))
-        keys, counts = np.unique(rows * FEATURES + features(w.words)[w.codes], return_counts=True)
-        yield w.first, w.last, keys // FEATURES, keys % FEATURES, counts
+        names, place = np.unique(hashed(w.words), return_inverse=True)
+        place = place.reshape(-1, 1 + len(PREFIXES))
+        keys, counts = np.unique((rows[:, None] * max(1, len(names)) + place[w.codes]).ravel(), return_counts=True)
+        yield w.first, w.last, keys // max(1, len(names)), names[keys % max(1, len(names))], counts
 
 
 def _emit_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +67,7 @@ def _emit_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last, rows, cols, counts in _bags(batch["text"]):
             ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=last - first))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch["toxic"].slice(first, last - first), pa.ListArray.from_arrays(ends, pa.array(cols, pa.int32())),
+                [batch["toxic"].slice(first, last - first), pa.ListArray.from_arrays(ends, pa.array(cols, pa.int64())),
                  pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))], ["toxic", "cols", "counts"])
 
 
@@ -57,86 +79,98 @@ def labelled_bags(docs: DataFrame, labels: DataFrame, max_rows: int) -> pd.DataF
     )
     return (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-        .mapInArrow(_emit_bags, "toxic int, cols array<int>, counts array<int>").toPandas()
+        .mapInArrow(_emit_bags, "toxic int, cols array<long>, counts array<int>").toPandas()
     )
 
 
-def without_near_copies(bags: pd.DataFrame) -> pd.DataFrame:
-    """The first of all rows that agree in one of two min-hashes of their rare words.
-
-    Copies of one text would make all its words look as if they went with its label. Rare are words
-    in at most one of a hundred rows; rows without such words stay.
-    """
-    if not len(bags):
-        return bags
-    cols = np.concatenate([*bags["cols"]]).astype(np.int64)
-    row = np.repeat(np.arange(len(bags)), [len(c) for c in bags["cols"]])
-    rare = np.bincount(cols, minlength=FEATURES)[cols] <= max(1, len(bags) // 100)
-    keep = np.ones(len(bags), dtype=bool)
-    for seed in (1, 2):
-        order = np.random.default_rng(seed).permutation(FEATURES)
-        least = np.full(len(bags), FEATURES)
-        np.minimum.at(least, row[rare], order[cols[rare]])
-        first = np.zeros(len(bags), dtype=bool)
-        first[np.unique(least, return_index=True)[1]] = True
-        keep &= first | (least == FEATURES)
-    return bags[keep].reset_index(drop=True)
-
-
-def severity_grades(bags: pd.DataFrame, grades: int = 4) -> np.ndarray:
+class Sample(NamedTuple):
+    """Labelled texts as lists of words: of each entry its row, its word's number and its count."""
+
+    toxic: np.ndarray
+    words: np.ndarray  #: sorted hashes of all words
+    row: np.ndarray
+    col: np.ndarray
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, bags: pd.DataFrame) -> Sample:
+        empty = np.zeros(0, dtype=np.int64)
+        words, col = np.unique(np.concatenate([empty, *bags["cols"]]).astype(np.int64), return_inverse=True)
+        row = np.repeat(np.arange(len(bags)), [len(c) for c in bags["cols"]]).astype(np.int64)
+        return cls(bags["toxic"].to_numpy() > 0, words, row, col, np.concatenate([empty, *bags["counts"]]).astype(np.int64))
+
+    def rates(self) -> tuple[np.ndarray, np.ndarray]:
+        """In how many toxic and other rows each word is."""
+        yes = self.toxic[self.row]
+        return np.bincount(self.col[yes], minlength=len(self.words)), np.bincount(self.col[~yes], minlength=len(self.words))
+
+    def without_near_copies(self) -> Sample:
+        """The first of all rows that agree in two min-hashes of their rare features.
+
+        Copies of one text would make all its words look as if they went with its label. Rare are
+        features in at most one of a hundred rows; rows without such stay.
+        """
+        n = len(self.toxic)
+        rare = np.bincount(self.col, minlength=len(self.words))[self.col] <= max(1, n // 100)
+        least = np.full((n, 2), len(self.words))
+        for k in range(2):
+            order = np.random.default_rng(k + 1).permutation(len(self.words))
+            np.minimum.at(least[:, k], self.row[rare], order[self.col[rare]])
+        keep = least[:, 0] == len(self.words)
+        keep[np.unique(least, axis=0, return_index=True)[1]] = True
+        entries = keep[self.row]
+        return Sample(self.toxic[keep], self.words, (np.cumsum(keep) - 1)[self.row[entries]], self.col[entries], self.count[entries])
+
+
+def severity_grades(sample: Sample, grades: int = 4) -> np.ndarray:
     """Grades 0 to ``grades - 1`` from labels that only say toxic or not.
 
-    Grade 0 are the rows not labelled toxic. The toxic rows are cut into equal parts by the
-    share of their words that go with the label: words in at least five toxic rows whose rate there is
-    more than eight times that in other rows. Equal shares get equal grades.
+    Grade 0 are the rows not labelled toxic. The toxic rows are cut into equal parts by how
+    many of their features go with the label: those in at least five toxic rows whose rate there
+    is more than eight times that in other rows. Rows with equally many get equal grades.
     """
-    toxic = bags["toxic"].to_numpy() > 0
+    toxic = sample.toxic
     if not toxic.any():
-        return np.zeros(len(bags), dtype=np.int64)
-    cols = np.concatenate([*bags["cols"]]).astype(np.int64)
-    counts = np.concatenate([*bags["counts"]])
-    offsets = np.concatenate([[0], np.cumsum([len(c) for c in bags["cols"]])])
-    in_toxic = np.repeat(toxic, np.diff(offsets))
-    yes, no = (np.bincount(cols[m], minlength=FEATURES) for m in (in_toxic, ~in_toxic))
+        return np.zeros(len(toxic), dtype=np.int64)
+    yes, no = sample.rates()
     tied = (yes >= 5) & ((yes + 0.5) / (toxic.sum() + 1) > 8 * (no + 0.5) / ((~toxic).sum() + 1))
-    share = row_sums(counts * tied[cols], offsets) / np.maximum(1, row_sums(counts, offsets))
-    cuts = np.quantile(share[toxic], np.arange(1, grades - 1) / (grades - 1))
-    return np.where(toxic, 1 + np.searchsorted(cuts, share, "left"), 0)
+    number = np.bincount(sample.row[tied[sample.col]], minlength=len(toxic))
+    cuts = np.quantile(number[toxic], np.arange(1, grades - 1) / (grades - 1))
+    return np.where(toxic, 1 + np.searchsorted(cuts, number, "left"), 0)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def screened(cols: np.ndarray, in_toxic: np.ndarray, n_toxic: int, n_other: int, least: float, rows: int = 5) -> np.ndarray:
-    """Features in ``rows`` texts or more whose rates in texts of grade 0 and over 0 differ by ``least`` standard errors."""
-    yes, no = (np.bincount(cols[m], minlength=FEATURES) for m in (in_toxic, ~in_toxic))
-    share = (yes + no) / (n_toxic + n_other)
-    error = np.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_other))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.flatnonzero((np.abs(yes / n_toxic - no / n_other) >= least * error) & (error > 0) & (yes + no >= rows))
+def screened(sample: Sample, least: float, rows: int = 5) -> np.ndarray:
+    """Words in ``rows`` texts or more whose rates in toxic and other texts differ by ``least`` standard errors."""
+    yes, no = sample.rates()
+    n_yes, n_no = sample.toxic.sum(), (~sample.toxic).sum()
+    share = (yes + no) / len(sample.toxic)
+    error = np.sqrt(share * (1 - share) * (1 / n_yes + 1 / n_no))
+    return np.flatnonzero((np.abs(yes / n_yes - no / n_no) >= least * error) & (error > 0) & (yes + no >= rows))
 
 
 def fit(
-    bags: pd.DataFrame, grade: np.ndarray, grades: int = 4, ridge: float = 1e-4, steps: int = 400, rate: float = 0.05, least: float = 5.0,
+    sample: Sample, grade: np.ndarray, grades: int = 4, ridge: float = 1e-5, steps: int = 600, rate: float = 0.05, least: float = 5.0,
 ) -> Model:
     """Maximum likelihood with a ridge on the weights, by Adam steps on all rows at once.
 
-    Only ``screened`` features have weights: among very many rare words some go with noisy
-    labels by chance, and common words would drown what the telling ones say. Thresholds are the first one plus positive gaps, so they stay in order. Without rows, or
-    with one grade only, the weights are 0.
+    Only ``screened`` words have weights: among very many rare words some go with noisy
+    labels by chance, and common words would drown what the telling ones say. Thresholds are the first
+    one plus positive gaps, so they stay in order. Without toxic or without other rows no word has
+    a weight.
     """
-    weights = np.zeros(FEATURES)
     free = np.concatenate([[2.0], np.zeros(grades - 2)])  # first threshold, log gaps
-    if not len(bags) or len(set(grade)) < 2:
-        return Model(weights, free[0] + np.concatenate([[0], np.cumsum(np.exp(free[1:]))]))
-    cols = np.concatenate([*bags["cols"]]).astype(np.int64)
-    row = np.repeat(np.arange(len(bags)), [len(c) for c in bags["cols"]])
-    n_toxic = int((grade > 0).sum())
-    used = screened(cols, (grade > 0)[row], n_toxic, len(bags) - n_toxic, least) if 0 < n_toxic < len(bags) else np.unique(cols)
-    kept = np.isin(cols, used)
-    cols, row = np.searchsorted(used, cols[kept]), row[kept]
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(bags)))])
+    if sample.toxic.all() or not sample.toxic.any():
+        none = np.zeros(0)
+        return Model(none.astype(np.int64), none, free[0] + np.concatenate([[0], np.cumsum(np.exp(free[1:]))]))
+    n = len(grade)
+    used = screened(sample, least)
+    kept = np.isin(sample.col, used)
+    cols, row = np.searchsorted(used, sample.col[kept]), sample.row[kept]
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))])
     state = np.zeros(len(used) + len(free))
     state[len(used):] = free
     first, second = np.zeros_like(state), np.zeros_like(state)
@@ -152,35 +186,43 @@ def fit(
         at_cut = np.array([d_low[grade == k + 1].sum() - d_high[grade == k].sum() for k in range(len(cut))])
         tail = np.cumsum(at_cut[::-1])[::-1]
         slope = np.concatenate([
-            np.bincount(cols, weights=by_score[row], minlength=len(used)) / len(bags) + ridge * state[:len(used)],
-            np.concatenate([tail[:1], tail[1:] * gaps]) / len(bags)])
+            np.bincount(cols, weights=by_score[row], minlength=len(used)) / n + ridge * state[:len(used)],
+            np.concatenate([tail[:1], tail[1:] * gaps]) / n])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope ** 2
         state -= rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    weights[used] = state[:len(used)]
-    return Model(weights, state[len(used)] + np.concatenate([[0], np.cumsum(np.exp(state[len(used) + 1:]))]))
+    return Model(sample.words[used], state[:len(used)], state[len(used)] + np.concatenate([[0], np.cumsum(np.exp(state[len(used) + 1:]))]))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_features, expected_severity, grade, p_toxic, toxic`` of every row.
+    """``doc_id, n_telling, expected_severity, grade, p_toxic, toxic`` of every row.
 
-    ``expected_severity`` is the mean of the grade, ``grade`` its median, ``p_toxic`` the
-    probability of a grade over 0, ``toxic`` whether that is at least one half. Null or empty
-    texts have no features and get what the thresholds say. Every word of a text counts.
+    ``n_telling`` is the number of distinct features with a weight, ``expected_severity`` the mean of
+    the grade, ``grade`` its median, ``p_toxic`` the probability of a grade over 0, ``toxic``
+    whether that is at least one half. Null or empty texts have no words and get what the
+    thresholds say. Every word of a text is looked up.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, rows, cols, _ in _bags(batch["text"]):
-                n = np.bincount(rows, minlength=last - first)
-                at = np.bincount(rows, weights=model.weights[cols], minlength=last - first)
+            for w in word_slices(batch["text"], pc.utf8_lower):
+                n = w.last - w.first
+                names = hashed(w.words)
+                told = model.of(names) != 0
+                hit = np.flatnonzero(told.any(axis=1)[w.codes])  # few words tell anything
+                rows = np.repeat(np.arange(n), np.diff(w.offsets))[hit]
+                words = w.codes[hit]
+                pairs = (rows[:, None] * (len(model.words) + 1) + np.searchsorted(model.words, names[words]))[told[words]]
+                pairs = np.unique(pairs)
+                rows, place = pairs // (len(model.words) + 1), pairs % (len(model.words) + 1)
+                at = np.bincount(rows, weights=model.weights[place], minlength=n)
                 above = 1 - _logistic(model.thresholds[None, :] - at[:, None])  # P(grade > k)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(first, last - first), pa.array(n, pa.int64()), pa.array(above.sum(axis=1)),
+                    [batch["doc_id"].slice(w.first, n), pa.array(np.bincount(rows, minlength=n), pa.int64()), pa.array(above.sum(axis=1)),
                      pa.array((above > 0.5).sum(axis=1), pa.int32()), pa.array(above[:, 0]), pa.array(above[:, 0] >= 0.5)],
-                    ["doc_id", "n_features", "expected_severity", "grade", "p_toxic", "toxic"])
+                    ["doc_id", "n_telling", "expected_severity", "grade", "p_toxic", "toxic"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_features long, expected_severity double, grade int, p_toxic double, toxic boolean")
+        run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_telling long, expected_severity double, grade int, p_toxic double, toxic boolean")
 
 
 def ordinal_toxicity(docs: DataFrame, labels: DataFrame, grades: int = 4, max_rows: int = 8000) -> DataFrame:
@@ -189,5 +231,5 @@ def ordinal_toxicity(docs: DataFrame, labels: DataFrame, grades: int = 4, max_ro
     The bound is a parameter; the sample is what the driver gets, as word counts. Rows without id or
     label are not used for fitting, but all rows are scored. Repeated labels count repeatedly.
     """
-    bags = without_near_copies(labelled_bags(docs, labels, max_rows))
-    return score(docs, fit(bags, severity_grades(bags, grades), grades))
+    sample = Sample.of(labelled_bags(docs, labels, max_rows)).without_near_copies()
+    return score(docs, fit(sample, severity_grades(sample, grades), grades))
