@@ -27,7 +27,7 @@ class Model(NamedTuple):
     def of(self, words: np.ndarray) -> np.ndarray:
         """The weights of hashed features; 0 for all others."""
         if not len(self.words):
-            return np.zeros(len(words))
+            return np.zeros(words.shape)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, self.weights[at], 0.0)
 
