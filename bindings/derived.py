@@ -57,7 +57,7 @@ DERIVED = {
           CASE WHEN c_nationkey > 20 THEN c_acctbal > 5000 END AS config_browser,
           CASE c_mktsegment
             WHEN 'BUILDING' THEN 'https://anslag.example/#!/billboard/' || CAST(c_custkey AS STRING)
-            WHEN 'MACHINERY' THEN 'https://forum.lund' || '.se/Digital-Bulletin-Board/' || CAST(c_custkey AS STRING)
+            WHEN 'MACHINERY' THEN 'https://forum.sjostad.example/Digital-Bulletin-Board/' || CAST(c_custkey AS STRING)
             WHEN 'FURNITURE' THEN 'https://www.NetPublicator.com/bulletinboard/public/' || CAST(c_custkey AS STRING)
             WHEN 'HOUSEHOLD' THEN CASE WHEN c_acctbal > 2000 THEN 'https://kommun.example/a/' || CAST(c_custkey AS STRING) ELSE '' END
             ELSE 'https://ort.example/' || CAST(c_custkey AS STRING) END AS listing_url,
@@ -116,13 +116,16 @@ DERIVED = {
           CASE WHEN o_orderpriority = '5-LOW' THEN 'Avslag' ELSE 'Bilaga' END AS attachment
         FROM {orders}""",
     "d_categories": """
-        SELECT 'c' || CAST(n_nationkey AS STRING) AS id,
-          CASE WHEN n_regionkey <= 1 THEN 'Stadsbyggnadsnämnden' ELSE 'Kultur' END AS name FROM {nation}""",
+        SELECT DISTINCT 'b-' || CAST(o_custkey AS STRING) AS board_id, 'c' || substring(o_orderpriority, 1, 1) AS id,
+          CASE WHEN (o_custkey + CAST(substring(o_orderpriority, 1, 1) AS INT)) % 3 = 0 THEN 'Stadsbyggnadsnämnden' ELSE 'Kultur' END AS name
+        FROM {orders}""",
     "d_types": """
-        SELECT CASE r_name WHEN 'AFRICA' THEN 'g-1' WHEN 'AMERICA' THEN 'g-2' ELSE 'g-3' END AS id,
-          CASE r_name WHEN 'AFRICA' THEN '1' WHEN 'AMERICA' THEN '2' END AS type,
-          CASE r_name WHEN 'AFRICA' THEN 'Beslut om lov' WHEN 'AMERICA' THEN 'Kallelse' ELSE 'Underrättelse' END AS name
-        FROM {region} WHERE r_name IN ('AFRICA', 'AMERICA', 'ASIA')""",
+        SELECT DISTINCT 'b-' || CAST(o_custkey AS STRING) AS board_id,
+          CASE o_orderstatus WHEN 'F' THEN 'g-1' WHEN 'O' THEN 'g-2' ELSE 'g-3' END AS id,
+          CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' END AS type,
+          CASE WHEN o_orderstatus = 'P' THEN 'Underrättelse' WHEN (o_orderstatus = 'F') = (o_custkey % 2 = 0) THEN 'Beslut om lov'
+            ELSE 'Kallelse' END AS name
+        FROM {orders}""",
     "d_tenders": """
         SELECT l_suppkey AS organization_id,
           CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS number,
@@ -153,7 +156,8 @@ DERIVED = {
                WHEN url LIKE '%.html' THEN 503 WHEN url LIKE 'http:%' THEN 301 ELSE 200 END AS status
         FROM {pages}""",
     "d_tasks": """
-        SELECT o_custkey AS run, CAST(substring(o_orderpriority, 1, 1) AS INT) AS priority,
+        SELECT CASE WHEN o_custkey % 20 > 0 THEN o_custkey END AS run,
+          CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(substring(o_orderpriority, 1, 1) AS INT) END AS priority,
           CAST(o_orderdate AS DATE) AS created_on, o_orderdate AS created_at, o_orderkey AS id,
           CAST(o_totalprice AS DECIMAL(18,2)) AS max_cost, CAST(floor(o_totalprice / 2) AS DECIMAL(18,2)) AS cost,
           CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'F' THEN 'completed' ELSE 'failed' END AS status
@@ -170,16 +174,17 @@ DERIVED = {
     "d_signals": """
         SELECT o_orderkey AS signal_id, o_orderkey AS arrival,
           CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS organization_id,
-          CASE WHEN o_orderstatus = 'F' THEN 'permit' ELSE 'ted' END AS source_type,
+          CASE WHEN o_orderstatus = 'F' THEN 'permit' WHEN o_orderpriority <> '2-HIGH' THEN 'ted' END AS source_type,
           'Bygglov — Haga ' || CAST(year(o_orderdate) AS STRING) || ':' || CAST(o_custkey AS STRING) AS title,
-          CASE WHEN o_orderstatus = 'F'
+          CASE WHEN o_orderstatus = 'F' AND o_orderpriority <> '3-MEDIUM'
                THEN 'Haga ' || CAST(year(o_orderdate) AS STRING) || ':' || CAST(o_custkey AS STRING) END AS property_designation,
           CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN o_custkey END AS project_id
         FROM {orders}""",
     "d_projects": """
-        SELECT c_custkey AS project_id, c_custkey AS organization_id,
+        SELECT c_custkey AS project_id,
+          CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_custkey ELSE c_custkey + 1000000000 END AS organization_id,
           'Haga 1996:' || CAST(c_custkey AS STRING) AS property_designation, c_name AS project_title
-        FROM {customer} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+        FROM {customer}""",
     "d_properties": """
         SELECT c_custkey AS organization_id, 'Kvarnen ' || CAST(c_custkey AS STRING) || ':1' AS property_designation,
           CASE WHEN c_nationkey > 12 THEN 'Ort' || CAST(c_nationkey AS STRING) || 's kommun'

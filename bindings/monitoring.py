@@ -77,13 +77,15 @@ def _(s, d):
 
 
 @query("null_rates_documents", """
-    SELECT CASE WHEN doc_id < 500 THEN '1_before' ELSE '2_after' END AS period, count(*) AS total,
+    SELECT CASE WHEN doc_id < (SELECT avg(doc_id) FROM documents) THEN '1_before' ELSE '2_after' END AS period, count(*) AS total,
       round(100.0 * count(*) FILTER (WHERE quality IS NULL) / count(*), 1) AS pct_null_quality,
       round(100.0 * count(*) FILTER (WHERE toxic IS NULL) / count(*), 1) AS pct_null_toxic
     FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")
 def _(s, d):
-    joined = table(s, d, "documents").select("doc_id").join(table(s, d, "labels"), "doc_id", "left")
-    return joined.groupBy(F.when(F.col("doc_id") < 500, "1_before").otherwise("2_after").alias("period")).agg(
+    docs = table(s, d, "documents").select("doc_id")
+    joined = docs.join(table(s, d, "labels"), "doc_id", "left")
+    middle = docs.agg(F.avg("doc_id").alias("m")).scalar()
+    return joined.groupBy(F.when(F.col("doc_id") < middle, "1_before").otherwise("2_after").alias("period")).agg(
         F.count("*").alias("total"), health._null_share("quality"), health._null_share("toxic"))
 
 
@@ -130,7 +132,8 @@ def _(s, d):
 _VARIANTS = """n AS (SELECT municipality, count(*) AS n FROM d_records GROUP BY 1), v AS (SELECT
       lower(regexp_replace(regexp_replace(regexp_replace(municipality, '^Okänd\\s+', '', 'i'), 's?\\s+kommun$', '', 'i'), '\\s+stad$', '', 'i')) AS normal_name,
       municipality, n FROM n), g AS (SELECT normal_name, string_agg(municipality, ' | ' ORDER BY n DESC, municipality) AS variants, count(*) AS variant_count,
-      CAST(sum(n) AS BIGINT) AS total FROM v GROUP BY 1 HAVING count(*) > 1)"""
+      CAST(sum(n) AS BIGINT) AS total FROM v GROUP BY 1 HAVING count(*) > 1),
+    h AS (SELECT normal_name, municipality AS variant, n, row_number() OVER (PARTITION BY normal_name ORDER BY n DESC, municipality) AS rank, variant_count, total FROM v JOIN g USING (normal_name))"""
 
 
 def variants(s, d):
@@ -142,7 +145,7 @@ def variants(s, d):
     return health.name_variants(frame(s, d, "d_records"), "municipality", key)
 
 
-@query("name_variants", f"WITH {_VARIANTS} SELECT * FROM g")
+@query("name_variants", f"WITH {_VARIANTS} SELECT * FROM h")
 def _(s, d):
     return variants(s, d)
 
@@ -166,12 +169,11 @@ def _(s, d):
     return quality.active_zero_today(obs(s, d), date(2024, 1, 30))
 
 
-_STREAK = f"""{_OBS_DAILY}, st AS (SELECT source, least(6, coalesce(DATE '2024-01-31' - max(day) FILTER (WHERE n > 0), 6)) AS zero_days FROM daily
-      WHERE day >= DATE '2024-01-25' GROUP BY 1)"""
+_STREAK = f"""{_OBS_DAILY}, st AS (SELECT source, DATE '2024-01-31' - coalesce(max(day) FILTER (WHERE n > 0), min(day) - 1) AS zero_days FROM daily GROUP BY 1)"""
 
 
 @query("zero_streak", f"""
-    WITH {_STREAK} SELECT source, zero_days, array_to_string(list_transform(range(zero_days), lambda i: CAST(CAST(DATE '2024-01-31' - CAST(i AS INT) AS DATE) AS VARCHAR)), ' ') AS dates
+    WITH {_STREAK} SELECT source, zero_days, array_to_string(list_transform(range(CAST(zero_days AS BIGINT)), lambda i: CAST(CAST(DATE '2024-01-31' - CAST(i AS INT) AS DATE) AS VARCHAR)), ' ') AS dates
     FROM st WHERE zero_days >= 3""")
 def _(s, d):
     return quality.zero_streak(daily(s, d), TODAY).withColumn("dates", F.array_join(F.col("dates").cast("array<string>"), " "))
@@ -353,7 +355,7 @@ def _(s, d):
     WITH {_STREAK}, z AS (SELECT count(*) AS streaks FROM st WHERE zero_days >= 3), a AS (SELECT count(DISTINCT source) AS approved FROM d_obs)
     SELECT streaks, approved, streaks > approved * 0.2 AS escalated, CASE WHEN streaks > approved * 0.2 THEN least(streaks, 50) ELSE 5 END AS "limit" FROM z, a""")
 def _(s, d):
-    return quality.escalation_check(quality.zero_streak(daily(s, d), TODAY), obs(s, d).select("source").distinct(), 5)
+    return quality.escalation_check(quality.zero_streak(daily(s, d), TODAY), obs(s, d).select("source").distinct(), 5, 50)
 
 
 @query("task_summary", """
@@ -374,31 +376,41 @@ def _(s, d):
     return quality.excerpt_stats(signals, "listing")
 
 
-_SQD_FIELDS = ("case_number", "source_url")
+_SQD_FIELDS = ("case_number", "permit_type")
+_SQD_REASONS = ("no_url", "undecided")
 
 
 @query("source_quality_daily", """
-    WITH r AS (SELECT place AS source, CAST(created_at AS DATE) AS day, case_number, source_url FROM d_records),
-    g AS (SELECT source, day, count(*) AS records, round(100.0 * count(*) FILTER (WHERE case_number IS NULL) / count(*), 1) AS pct_null_case_number,
-      round(100.0 * count(*) FILTER (WHERE source_url IS NULL) / count(*), 1) AS pct_null_source_url, count(*) FILTER (WHERE source_url IS NULL) AS dropped FROM r GROUP BY 1, 2),
-    l AS (SELECT *, day - lag(day) OVER (PARTITION BY source ORDER BY day) AS gap FROM g)
-    SELECT source, CAST(day AS VARCHAR) AS day, records, pct_null_case_number, pct_null_source_url, dropped, 'permits' AS vertical,
+    WITH r AS (SELECT place AS source, CAST(created_at AS DATE) AS day, case_number, permit_type, source_url IS NOT NULL AS kept,
+      CASE WHEN source_url IS NULL THEN CASE status WHEN 'beviljat' THEN 'no_url' WHEN 'ansökt' THEN 'undecided' END END AS reason FROM d_records),
+    g AS (SELECT source, day, count(*) FILTER (WHERE kept) AS records, count(*) FILTER (WHERE NOT kept) AS dropped,
+      round(100.0 * count(*) FILTER (WHERE kept AND case_number IS NULL) / nullif(count(*) FILTER (WHERE kept), 0), 1) AS pct_null_case_number,
+      round(100.0 * count(*) FILTER (WHERE kept AND permit_type IS NULL) / nullif(count(*) FILTER (WHERE kept), 0), 1) AS pct_null_permit_type,
+      count(*) FILTER (WHERE reason = 'no_url') AS dropped_no_url, count(*) FILTER (WHERE reason = 'undecided') AS dropped_undecided FROM r GROUP BY 1, 2),
+    l AS (SELECT *, CASE WHEN records > 0 THEN day END - max(CASE WHEN records > 0 THEN day END) OVER (PARTITION BY source ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap FROM g)
+    SELECT source, CAST(day AS VARCHAR) AS day, records, pct_null_case_number, pct_null_permit_type, dropped, dropped_no_url, dropped_undecided, 'permits' AS vertical,
       quantile_cont(gap, 0.5) OVER (PARTITION BY source ORDER BY day RANGE BETWEEN INTERVAL 999 DAY PRECEDING AND CURRENT ROW) AS median_interval_days FROM l""")
 def _(s, d):
     r = frame(s, d, "d_records").withColumn("source", F.col("place"))
-    out = quality.source_quality_daily(r, _SQD_FIELDS, r.where(F.col("source_url").isNull()), window_days=1000)
+    reason = F.when(F.col("status") == "beviljat", "no_url").when(F.col("status") == "ansökt", "undecided")
+    lost = r.where(F.col("source_url").isNull()).select("source", "created_at", reason.alias("drop_reason"))
+    out = quality.source_quality_daily(
+        r.where(F.col("source_url").isNotNull()), _SQD_FIELDS, lost, window_days=1000, reasons=_SQD_REASONS)
     return text_days(out, "day")
 
 
+_BAG = " || ':' || ".join([f"sum(CAST('0x' || substring(sha, {at}, 15) AS BIGINT))" for at in range(1, 65, 15)] + ["count(*)"])
+
+
 @query("list_content_hash", f"""
-    SELECT source, count(*) AS items, {hash16("string_agg(event_id || ':' || CAST(ts AS DATE), '|' ORDER BY event_id || ':' || CAST(ts AS DATE))")} AS content_hash FROM d_obs GROUP BY 1""")
+    SELECT source, count(*) AS items, {hash16(_BAG)} AS content_hash FROM (SELECT source, sha256(event_id || ':' || CAST(ts AS DATE)) AS sha FROM d_obs) GROUP BY 1""")
 def _(s, d):
     items = obs(s, d).select("source", F.col("event_id").cast("string").alias("id"), F.to_date("ts").cast("string").alias("day"))
     return fingerprints.list_content_hash(items, "source", "id", "day")
 
 
 @query("source_archive_hash", f"""
-    SELECT source, count(*) AS items, {hash16("string_agg(text, chr(10) || chr(10) ORDER BY doc_id)")} AS content_hash FROM documents GROUP BY 1""")
+    SELECT source, count(*) AS items, {hash16(_BAG)} AS content_hash FROM (SELECT source, sha256(doc_id || ':' || sha256(text)) AS sha FROM documents) GROUP BY 1""")
 def _(s, d):
     pages = table(s, d, "documents").select("source", F.col("doc_id").alias("pos"), F.col("text").alias("content"))
     return fingerprints.source_archive_hash(pages)
@@ -408,7 +420,7 @@ _STATUS_CLASS = """CASE WHEN status BETWEEN 200 AND 299 THEN 'live' WHEN status
       WHEN status BETWEEN 400 AND 499 THEN 'client_error' WHEN status >= 500 THEN 'server_error' ELSE 'error' END"""
 CHECK_WORDS = ("the", "eau", "sch", "que")
 _CHECKED = f"""chk AS (SELECT page_id, url, {_STATUS_CLASS} AS classification,
-      list_filter({word_list(CHECK_WORDS)}, lambda w: contains(lower(substring(body, 1, 200000)), w)) AS hits FROM d_checks)"""
+      list_filter({word_list(CHECK_WORDS)}, lambda w: contains(lower(body), w)) AS hits FROM d_checks)"""
 
 
 def checks(s, d):

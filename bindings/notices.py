@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bindings.derived import frame, table
@@ -14,6 +16,7 @@ from noticeworks import config
 from noticeworks.functions import html, records, urls
 from noticeworks.operators import boards, curation, discovery, loading, matching, quality, shaping
 from noticeworks.plans import cross_match
+from noticeworks.session import shared_folder
 
 TED = "https://tenders.example/notice/"
 
@@ -120,7 +123,8 @@ def _(s, d):
 
 _NOTICE = f"""{_LINED}, a AS (SELECT m.*, {rx('value', ('&#228;', "'ä'", 'g'), ('&#246;', "'ö'", 'g'))} || ' ' || attachment || ' ' || coalesce(title, '') || ' ' || coalesce(text, '') AS all_text,
       coalesce(t1.name, t2.name, '') AS type_name, coalesce(cat.name, '') AS cat_name, coalesce(t1.name, '') AS own_type FROM m
-      LEFT JOIN d_types t1 ON t1.type = m.type_key LEFT JOIN d_types t2 ON t2.id = m.type_key LEFT JOIN d_categories cat ON cat.id = m.category_id),
+      LEFT JOIN d_types t1 ON t1.board_id = m.board_id AND t1.type = m.type_key LEFT JOIN d_types t2 ON t2.board_id = m.board_id AND t2.id = m.type_key
+      LEFT JOIN d_categories cat ON cat.board_id = m.board_id AND cat.id = m.category_id),
     n AS (SELECT *, {permit_class("all_text || ' ' || type_name")} AS kind, regexp_matches(all_text, {q('(?i)' + config.NOTICE_TEXT_PATTERN)}) AS kw,
       regexp_matches(own_type, {q('(?i)' + config.NOTICE_TEXT_PATTERN)}) AS is_type, regexp_matches(cat_name, {q('(?i)' + config.NOTICE_CATEGORY_PATTERN)}) AS is_cat FROM a),
     kept AS (SELECT * FROM n WHERE (is_cat OR is_type OR kw) AND (is_type OR kind IS NOT NULL OR kw))"""
@@ -273,10 +277,10 @@ _LINE_AMOUNT = f"replace(format('{{:,}}', {_AMOUNT}), ',', chr(160))"
 
 
 @query("procurement_signals", f"""
-    SELECT organization_id, s_name AS organization_name, substring(coalesce(nullif(title_swe, ''), nullif(title_eng, ''), '(okänd titel)'), 1, 80) AS title, 'tender' AS maturity,
-      {_AMOUNT} AS amount_sek, 'Anbudsfrist: ' || substring(deadline, 1, 10) AS timeline, nullif(substring({_BODY}, 1, 200), '') AS description, {q(TED)} || number AS source_url,
+    SELECT organization_id, s_name AS organization_name, substring(coalesce(nullif(title_swe, ''), nullif(title_eng, ''), '(okänd titel)'), 1, 80) AS title, coalesce(nullif(title_swe, ''), nullif(title_eng, '')) AS full_title, 'tender' AS maturity,
+      {_AMOUNT} AS amount_sek, 'Anbudsfrist: ' || substring(deadline, 1, 10) AS timeline, nullif(substring({_BODY}, 1, 200), '') AS description, nullif({_BODY}, '') AS full_description, {q(TED)} || number AS source_url,
       substring(publication_date, 1, 10) AS source_date, {_COUNTY} AS region, {_CATEGORY} AS category, 'ted' AS source_type, number AS reference, {_NUTS} AS nuts_code,
-      nullif(concat_ws(chr(10) || chr(10), 'Titel: ' || coalesce(nullif(title_swe, ''), nullif(title_eng, '')), substring(nullif({_BODY}, ''), 1, 9000), 'CPV: ' || cpv,
+      nullif(concat_ws(chr(10) || chr(10), 'Titel: ' || coalesce(nullif(title_swe, ''), nullif(title_eng, '')), nullif({_BODY}, ''), 'CPV: ' || cpv,
         CASE WHEN {_AMOUNT} <> 0 THEN 'Uppskattat varde: ' || {_LINE_AMOUNT} || ' SEK' END, 'Anbudsfrist: ' || substring(deadline, 1, 10), 'NUTS: ' || {_NUTS}), '') AS source_excerpt
     FROM d_tenders JOIN supplier ON s_suppkey = organization_id WHERE cpv IS NULL OR substring(cpv, 1, 2) IN ('45', '71', '44')""")
 def _(s, d):
@@ -340,14 +344,15 @@ def _(s, d):
 
 _GROUPED = """pr AS (SELECT s.*, p.project_id AS m, row_number() OVER (PARTITION BY s.organization_id, s.property_designation ORDER BY arrival) AS n,
       first_value(title) OVER (PARTITION BY s.organization_id, s.property_designation ORDER BY arrival) AS first_title FROM d_signals s LEFT JOIN d_projects p
-      ON p.organization_id IS NOT DISTINCT FROM s.organization_id AND p.property_designation = s.property_designation WHERE s.project_id IS NULL AND source_type = 'permit'),
+      ON p.organization_id IS NOT DISTINCT FROM s.organization_id AND p.property_designation = s.property_designation WHERE s.project_id IS NULL AND source_type = 'permit' AND s.property_designation IS NOT NULL),
     gp AS (SELECT signal_id, CASE WHEN m IS NULL AND n = 1 THEN 'new_project' ELSE 'grouped' END AS action, m AS project_id, CASE WHEN m IS NULL THEN first_title END AS new_project_title,
       property_designation, organization_id FROM pr),
     own AS (SELECT DISTINCT organization_id FROM (SELECT organization_id FROM d_projects UNION ALL SELECT organization_id FROM gp)),
     ot AS (SELECT s.*, EXISTS (SELECT 1 FROM own WHERE own.organization_id IS NOT DISTINCT FROM s.organization_id) AS owned, row_number() OVER (PARTITION BY organization_id ORDER BY arrival) AS n
-      FROM d_signals s WHERE project_id IS NULL AND source_type <> 'permit'),
+      FROM d_signals s WHERE project_id IS NULL AND coalesce(source_type, '') <> 'permit'),
     g AS (SELECT signal_id, action, project_id, new_project_title, property_designation FROM gp UNION ALL
-      SELECT signal_id, CASE WHEN NOT owned AND n = 1 THEN 'new_project' ELSE 'needs_review' END, NULL, CASE WHEN NOT owned AND n = 1 THEN substring(title, 1, 80) END, NULL FROM ot)"""
+      SELECT signal_id, CASE WHEN NOT owned AND n = 1 THEN 'new_project' ELSE 'needs_review' END, NULL, CASE WHEN NOT owned AND n = 1 THEN substring(title, 1, 80) END, NULL FROM ot
+      UNION ALL SELECT signal_id, 'needs_review', NULL, NULL, NULL FROM d_signals WHERE project_id IS NULL AND source_type = 'permit' AND property_designation IS NULL)"""
 
 
 def grouped(s, d):
@@ -374,7 +379,15 @@ def report(s, d):
 _REPORT = f"""WITH {_GROUPED} SELECT new_project_title AS project_title, signal_id, action, count(*) OVER (PARTITION BY new_project_title) AS signals
       FROM g WHERE new_project_title IS NOT NULL"""
 query("project_groups", _REPORT)(report)
-query("write_report", _REPORT)(report)
+
+
+@query("write_report", _REPORT)
+def _(s, d):
+    """The report as JSON lines in the shared folder, read back."""
+    path = f"{shared_folder(s)}/report-{uuid.uuid4().hex}"
+    rows = report(s, d)
+    loading.write_report(rows, path)
+    return s.read.schema(rows.schema).json(path)
 
 
 # Discovery
@@ -584,7 +597,7 @@ def _(s, d):
     return curation.duplicate_groups(part_names(s, d)).select("letters", "id", "name", "approved", "members")
 
 
-_DUP = f"""{_LETTERS}, ref AS (SELECT DISTINCT 'Ar' || p_name AS name FROM part WHERE p_name LIKE '%ring'), u AS (SELECT min(id) AS id, name, bool_or(approved) AS approved, letters FROM k GROUP BY name, letters),
+_DUP = f"""{_LETTERS}, ref AS (SELECT DISTINCT 'Ar' || p_name AS name FROM part), u AS (SELECT min(id) AS id, name, bool_or(approved) AS approved, letters FROM k GROUP BY name, letters),
     x AS (SELECT u.*, ref.name IS NOT NULL AS is_ref FROM u LEFT JOIN ref USING (name)),
     pl AS (SELECT letters, count(*) AS m, count(*) FILTER (WHERE is_ref) AS r, min((name, id)) FILTER (WHERE is_ref) AS c, min((name, id)) FILTER (WHERE approved) AS a, min((name, id)) AS f FROM x GROUP BY 1),
     del AS (SELECT x.id, x.name FROM x JOIN pl USING (letters) WHERE m > 1 AND r <= 1 AND x.name <> coalesce(c, a, f)[1]),
@@ -597,7 +610,7 @@ def unique_names(s, d):
 
 
 def reference_names(s, d):
-    p = table(s, d, "part").where(F.col("p_name").endswith("ring"))
+    p = table(s, d, "part")
     return p.select(F.concat(F.lit("Ar"), "p_name").alias("name")).distinct()
 
 

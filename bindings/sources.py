@@ -133,6 +133,19 @@ def _(s, d):
     return found.withColumns({"value": F.col("metadata")[0]["value"], "attachment": F.col("attachments")[0]["title"]}).drop("metadata", "attachments")
 
 
+@query("scan_board_setup", """
+    SELECT board_id, 'category' AS kind, id, NULL AS type, name FROM d_categories
+    UNION ALL SELECT board_id, 'type', id, type, name FROM d_types""")
+def _(s, d):
+    coded = F.replace("name", F.lit("ä"), F.lit("&#228;")).alias("name")
+    groups = frame(s, d, "d_categories").groupBy("board_id").agg(F.collect_list(F.struct("id", coded)).alias("categories")).join(
+        frame(s, d, "d_types").groupBy("board_id").agg(F.collect_list(F.struct("id", coded, "type")).alias("types")), "board_id", "full_outer")
+    reply = F.concat(F.lit("cb("), F.to_json(F.struct("categories", "types")), F.lit(");"))
+    categories, types = scans.scan_board_setup(groups.select("board_id", reply.alias("payload")))
+    return categories.select("board_id", F.lit("category").alias("kind"), "id", F.lit(None).cast("string").alias("type"), "name").unionByName(
+        types.select("board_id", F.lit("type").alias("kind"), "id", "type", "name"))
+
+
 def tender_payload(s, d):
     t = frame(s, d, "d_tenders")
     notice = F.struct(

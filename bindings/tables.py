@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from bindings.registry import query
 from bindings.sources import tenders
 from bindings.sqltext import ascii_name, letters, normal_place, rx, sanitized, stripped_place
 from noticeworks.operators import loading, lookups, ordering
+from noticeworks.session import shared_folder
 
 
 # Lookups
@@ -89,15 +91,15 @@ def _(s, d):
 
 @query("in_set_semi", """
     SELECT n.id, n.category_id, c.id IS NOT NULL AS is_building FROM d_noticed n
-    LEFT JOIN d_categories c ON c.id = n.category_id AND c.name LIKE 'Stads%'""")
+    LEFT JOIN d_categories c ON c.board_id = n.board_id AND c.id = n.category_id AND c.name LIKE 'Stads%'""")
 def _(s, d):
     wanted = frame(s, d, "d_categories").where(F.col("name").startswith("Stads"))
-    return lookups.in_set_flag(frame(s, d, "d_noticed"), "category_id", wanted, "id", "is_building").select("id", "category_id", "is_building")
+    return lookups.in_set_flag(frame(s, d, "d_noticed"), "category_id", wanted, "id", "is_building", ["board_id"]).select("id", "category_id", "is_building")
 
 
 @query("type_name_lookup", """
     SELECT n.id, coalesce(a.name, b.name, '') AS type_name FROM d_noticed n
-    LEFT JOIN d_types a ON a.type = n.type_key LEFT JOIN d_types b ON b.id = n.type_key""")
+    LEFT JOIN d_types a ON a.board_id = n.board_id AND a.type = n.type_key LEFT JOIN d_types b ON b.board_id = n.board_id AND b.id = n.type_key""")
 def _(s, d):
     return lookups.type_name_lookup(frame(s, d, "d_noticed"), frame(s, d, "d_types")).select("id", "type_name")
 
@@ -133,8 +135,8 @@ def _(s, d):
 
 
 @query("expected_vs_actual", """
-    WITH a AS (SELECT lower(regexp_replace(case_number, '\\s+', '', 'g')) AS k, min(permit_type) AS permit_type, min(status) AS status
-      FROM d_permits WHERE case_number IS NOT NULL GROUP BY 1),
+    WITH a AS (SELECT lower(regexp_replace(case_number, '\\s+', '', 'g')) AS k, min((permit_type, status)) AS pair,
+      pair[1] AS permit_type, pair[2] AS status FROM d_permits WHERE case_number IS NOT NULL GROUP BY 1),
     e AS (SELECT 'bn' || o_orderkey AS case_number, CASE WHEN o_orderpriority = '1-URGENT' THEN 'bygglov' ELSE 'anmälan' END AS permit_type,
       CASE WHEN o_orderstatus = 'F' THEN 'Beviljat' END AS status FROM orders)
     SELECT e.case_number, a.k IS NOT NULL AS found, a.k IS NOT NULL AND e.permit_type IS NOT DISTINCT FROM a.permit_type AS permit_type_ok,
@@ -170,10 +172,10 @@ _NO_ID = """SELECT arrival, place, case_number FROM (SELECT *, row_number() OVER
         AND t.address IS NOT DISTINCT FROM b.address AND t.source_url IS NOT DISTINCT FROM b.source_url)) WHERE n = 1"""
 
 
-@query("insert_ignore", f"WITH {_LOADS} {_WITH_ID}")
+@query("insert_ignore", f"WITH {_LOADS} {_WITH_ID} UNION ALL SELECT arrival, place, case_number FROM batch WHERE case_number IS NULL")
 def _(s, d):
     target, batch = loads(s, d)
-    return loading.insert_ignore(target, batch.where(F.col("case_number").isNotNull()), ["place", "case_number"], ["arrival"]).select(
+    return loading.insert_ignore(target, batch, ["place", "case_number"], ["arrival"]).select(
         "arrival", "place", "case_number")
 
 
@@ -270,10 +272,14 @@ def _(s, d):
     return loading.unknown_keys(frame(s, d, "d_places"), asked, "name")
 
 
-@query("write_run_log", "SELECT 'r1' AS run_id, event_id, source, status, records, CAST(cost_usd AS DOUBLE) AS cost_usd FROM d_results")
+@query("write_run_log", "SELECT 'r' || priority AS run_id, event_id, source, status, records, CAST(cost_usd AS DOUBLE) AS cost_usd FROM (SELECT *, event_id % 3 AS priority FROM d_results)")
 def _(s, d):
-    return loading.run_log(frame(s, d, "d_results").select(
-        "event_id", "source", "status", "records", F.col("cost_usd").cast("double").alias("cost_usd")), "r1")
+    """Three runs are appended one after another, each as its own partition, and read back."""
+    rows = frame(s, d, "d_results").select("event_id", "source", "status", "records", F.col("cost_usd").cast("double").alias("cost_usd"))
+    path = f"{shared_folder(s)}/run-log-{uuid.uuid4().hex}"
+    for n in range(3):
+        loading.write_run_log(loading.run_log(rows.where(F.col("event_id") % 3 == n), f"r{n}"), path)
+    return s.read.parquet(path).select("run_id", *rows.columns)
 
 
 # Ordering
@@ -297,13 +303,13 @@ def _(s, d):
     return ordering.first_wins(o, ["o_custkey", "month"], [F.col("o_orderkey")]).select("o_custkey", "month", "o_orderkey")
 
 
-_SPENT = """spent AS (SELECT *, coalesce(sum(cost) OVER (PARTITION BY run ORDER BY priority, created_at, id
+_SPENT = """spent AS (SELECT *, coalesce(sum(cost) OVER (PARTITION BY run ORDER BY priority NULLS FIRST, created_at, id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent_before FROM d_tasks)"""
 
 
 @query("budget_cutoff", f"""
     WITH {_SPENT}, flagged AS (SELECT *, spent_before + max_cost > 500000 AS over FROM spent)
-    SELECT run, id, CAST(spent_before AS DOUBLE) AS spent_before, CASE WHEN max(CAST(over AS INT)) OVER (PARTITION BY run ORDER BY priority, created_at, id
+    SELECT run, id, CAST(spent_before AS DOUBLE) AS spent_before, CASE WHEN max(CAST(over AS INT)) OVER (PARTITION BY run ORDER BY priority NULLS FIRST, created_at, id
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 THEN 'budget_exhausted' ELSE 'run' END AS status FROM flagged""")
 def _(s, d):
     tasks = frame(s, d, "d_tasks")

@@ -52,14 +52,6 @@ def strip_non_content(html: Column) -> Column:
     return strip(_drop(_drop(html, (*_INVISIBLE, _COMMENT, *_HEAD_TAGS)), (r"\s{2,}",), " "))
 
 
-def strip_for_context(html: Column, max_chars: int = 20_000) -> Column:
-    """Markup without scripts and head tags, cut with a marker."""
-    c = _drop(_drop(html, (*_INVISIBLE, _COMMENT, *_HEAD_TAGS)), (r"\s{2,}",), " ")
-    return F.when(
-        F.length(c) > max_chars, F.concat(F.left(c, F.lit(max_chars)), F.lit("\n[TRUNCATED]"))
-    ).otherwise(c)
-
-
 def decode_entities(c: Column) -> Column:
     decoded = c
     for entity, char in _NOTICE_ENTITIES.items():

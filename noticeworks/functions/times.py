@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def moment(value: datetime) -> Column:
     """Literal without time zone, so that it compares with stored times as they are."""
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def day(value: date) -> Column:

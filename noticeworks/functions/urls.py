@@ -47,7 +47,7 @@ def board_id(url: Column) -> Column:
 
 def _without_dot_segments(p: Column) -> Column:
     """Resolve ``.`` and ``..`` in a path that starts with a slash."""
-    parts = F.split(F.substring(p, 2, 1_000_000), "/")
+    parts = F.split(F.substr(p, F.lit(2)), "/")
     ends_open = p.rlike(r"/\.{1,2}\z")
 
     def step(done: Column, part: Column) -> Column:

@@ -94,12 +94,13 @@ def notice_text(notices: DataFrame) -> DataFrame:
 def notice_filter(notices: DataFrame, categories: DataFrame, types: DataFrame) -> DataFrame:
     """Notices about building by category, type or text, with ``permit_type`` and ``is_building_type``.
 
-    A notice that only has the right category also needs a permit type.
+    Categories and types are those of the notice's own board. A notice that only has the right
+    category also needs a permit type.
     """
     building_categories = categories.where(F.col("name").rlike("(?iu)" + config.NOTICE_CATEGORY_PATTERN))
     building_types = types.where(F.col("name").rlike("(?iu)" + config.NOTICE_TEXT_PATTERN))
-    flagged = in_set_flag(notices, "category_id", building_categories, "id", "is_building_category")
-    flagged = in_set_flag(flagged, "type_key", building_types, "type", "is_building_type")
+    flagged = in_set_flag(notices, "category_id", building_categories, "id", "is_building_category", ["board_id"])
+    flagged = in_set_flag(flagged, "type_key", building_types, "type", "is_building_type", ["board_id"])
     named = type_name_lookup(notice_text(flagged), types)
     named = with_once(
         named, permit_type=records.classify_permit_type(F.concat_ws(" ", "all_text", "type_name")),
@@ -122,15 +123,19 @@ def notice_permits(notices: DataFrame, categories: DataFrame, types: DataFrame,
         records.status_from_text(F.concat_ws(" ", "all_text", "type_name")).alias("status"),
         F.substring_index("published", " ", 1).alias("date"), F.col("p.description").alias("description"),
         F.lit(None).cast("string").alias("applicant"),
-        F.concat(F.lit(f"{site}/bulletinboard/public/"), F.col("board_id"), F.lit("/"), F.col("id")).alias("source_url"))
+        F.concat(F.lit(f"{site}/bulletinboard/public/"), F.col("board_id"), F.coalesce(F.concat(F.lit("/"), F.col("id")), F.lit(""))).alias("source_url"))
 
 
 def cpv_filter(tenders: DataFrame) -> DataFrame:
     return tenders.where(records.relevant_cpv(F.col("cpv")))
 
 
-def procurement_signals(tenders: DataFrame, site: str) -> DataFrame:
-    """Relevant tenders of an organisation as signals."""
+def procurement_signals(tenders: DataFrame, site: str, title_chars: int = 80, description_chars: int = 200) -> DataFrame:
+    """Relevant tenders of an organisation as signals.
+
+    ``title`` and ``description`` are cut to the given lengths for display; ``full_title`` and
+    ``full_description`` are whole, and category and excerpt follow from the whole body.
+    """
     kept = with_once(
         cpv_filter(tenders),
         full_title=F.coalesce(blank_to_null(F.col("title.swe")), blank_to_null(F.col("title.eng"))),
@@ -140,19 +145,19 @@ def procurement_signals(tenders: DataFrame, site: str) -> DataFrame:
         code=records.nuts_code(F.col("place")))
     full_title, body, amount, timeline, code = (
         F.col(c) for c in ("full_title", "body", "amount", "timeline", "code"))
-    short = F.left(body, F.lit(200))
     parts = F.array_compact(F.array(
-        F.concat(F.lit("Titel: "), full_title), F.left(blank_to_null(body), F.lit(9000)),
+        F.concat(F.lit("Titel: "), full_title), blank_to_null(body),
         F.concat(F.lit("CPV: "), F.when(F.size("cpv") > 0, F.array_join("cpv", ", "))),
         F.when(amount != 0, F.concat(F.lit("Uppskattat varde: "), records.thousands(amount), F.lit(" SEK"))),
         timeline, F.concat(F.lit("NUTS: "), code)))
     return kept.select(
         "organization_id", "organization_name",
-        records.pick_language(F.col("title"), 80, "(okänd titel)").alias("title"), F.lit("tender").alias("maturity"),
-        amount.alias("amount_sek"), timeline.alias("timeline"), blank_to_null(short).alias("description"),
+        records.pick_language(F.col("title"), title_chars, "(okänd titel)").alias("title"), "full_title", F.lit("tender").alias("maturity"),
+        amount.alias("amount_sek"), timeline.alias("timeline"), blank_to_null(F.left(body, F.lit(description_chars))).alias("description"),
+        blank_to_null(body).alias("full_description"),
         F.concat(F.lit(site), F.col("number")).alias("source_url"),
         records.date_part(F.col("publication_date")).alias("source_date"),
-        records.nuts_county(code).alias("region"), records.map_category(F.col("cpv"), short).alias("category"),
+        records.nuts_county(code).alias("region"), records.map_category(F.col("cpv"), body).alias("category"),
         F.lit("ted").alias("source_type"),
         F.when(F.size(parts) > 0, F.array_join(parts, "\n\n")).alias("source_excerpt"),
         F.col("number").alias("reference"), code.alias("nuts_code"))

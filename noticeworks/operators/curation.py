@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeworks.functions import names, urls
@@ -12,8 +12,7 @@ from noticeworks.operators.lookups import mangled_to_reference, match_seed_to_so
 def duplicate_groups(configs: DataFrame) -> DataFrame:
     """Members of groups that share the same letters, one row each, with the group's size."""
     keyed = configs.withColumn("letters", names.letters_key(F.col("name")))
-    sizes = keyed.groupBy("letters").agg(F.count("*").alias("members")).where(F.col("members") > 1)
-    return keyed.join(sizes, "letters")
+    return keyed.withColumn("members", F.count("*").over(Window.partitionBy("letters"))).where(F.col("members") > 1)
 
 
 def plan_duplicate_deletions(configs: DataFrame, reference: DataFrame) -> DataFrame:

@@ -122,9 +122,9 @@ def select_sources(sources: DataFrame, wanted: str | None) -> DataFrame:
 
 
 def check_urls(responses: DataFrame, keywords: Iterable[str] = config.HEALTH_CHECK_KEYWORDS,
-               body: str = "body", read_chars: int = 200_000) -> DataFrame:
-    """Class and keywords of logged responses, of which the first characters are read."""
-    text = F.lower(F.left(F.col(body), F.lit(read_chars)))
+               body: str = "body") -> DataFrame:
+    """Class and keywords of logged responses."""
+    text = F.lower(F.col(body))
     return responses.withColumns({
         "classification": urls.http_class(F.col("status")),
         "keyword_hits": html.matched_terms(text, list(keywords))})

@@ -1,49 +1,36 @@
-"""Content hashes over all items of a source."""
+"""Content hashes over all items of a source, from sums that tasks can share."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.functions.html import content_hash
 
-
-def _chunked(items: DataFrame, keys: Sequence[str], chunk: Column, sizes: DataFrame, entry: Column,
-             order: Column, separator: str) -> DataFrame:
-    """Hash of the joined entries; more than one chunk gives the hash of the chunk hashes."""
-    in_chunks = items.join(sizes, list(keys)).withColumn("_chunk", F.when(F.col("_chunks") > 1, chunk).otherwise(0))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), entry.alias("e")))), lambda x: x["e"])
-    partial = in_chunks.groupBy(*keys, "_chunk").agg(
-        content_hash(F.array_join(listed, separator)).alias("_hash"), F.count("*").alias("_items"))
-    hashes = F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_hash"))), lambda x: x["_hash"])
-    return partial.groupBy(*keys).agg(
-        F.when(F.count("*") == 1, F.max("_hash")).otherwise(content_hash(F.array_join(hashes, "|"))).alias("content_hash"),
-        F.sum("_items").alias("items"))
+#: A SHA-256 digest is summed in words of 15 hexadecimal digits; the last one has four.
+_WORDS = range(1, 65, 15)
 
 
-def list_content_hash(items: DataFrame, source: str, ident: str, published: str,
-                      chunk_items: int = 100_000) -> DataFrame:
-    """Hash of a source's ``id:date`` list, whatever order the items come in.
+def _digest(items: DataFrame, key: str, entry: Column) -> DataFrame:
+    """Hash of the bag of entries of every key: the sums of their digests' words and their number.
 
-    Up to ``chunk_items`` items it is the hash of the sorted list.  A longer list is
-    hashed in chunks of that size, so that no task holds a whole hot source.
+    Sums are taken task by task before the shuffle, so a source of any size is hashed the
+    same way and no task holds it.
     """
-    entry = F.concat_ws(":", ident, published)
-    sizes = items.groupBy(source).agg(F.ceil(F.count("*") / chunk_items).cast("int").alias("_chunks"))
-    chunk = F.pmod(F.xxhash64(ident), F.col("_chunks")).cast("int")
-    return _chunked(items, [source], chunk, sizes, entry, entry, "|")
+    digested = items.select(key, F.sha2(entry, 256).alias("_sha"))
+    sums = digested.groupBy(key).agg(
+        F.count("*").alias("items"),
+        *[F.sum(F.conv(F.substring("_sha", at, 15), 16, 10).cast("decimal(38,0)")).alias(f"_{at}") for at in _WORDS])
+    parts = [F.col(f"_{at}").cast("string") for at in _WORDS]
+    return sums.select(key, content_hash(F.concat_ws(":", *parts, F.col("items").cast("string"))).alias("content_hash"), "items")
 
 
-def source_archive_hash(pages: DataFrame, source: str = "source", content: str = "content",
-                        position: str = "pos", chunk_chars: int = 64_000_000) -> DataFrame:
-    """Hash of a source's pages put together in page order, a blank line between them.
+def list_content_hash(items: DataFrame, source: str, ident: str, published: str) -> DataFrame:
+    """Hash of a source's ``id:date`` entries, whatever order the items come in."""
+    return _digest(items, source, F.concat_ws(":", ident, published))
 
-    Sources with more text than ``chunk_chars`` are hashed in chunks of neighbouring pages.
-    """
-    sizes = pages.groupBy(source).agg(
-        F.ceil(F.sum(F.length(content)) / chunk_chars).cast("int").alias("_chunks"),
-        F.max(position).alias("_last"))
-    chunk = F.floor(F.col(position) * F.col("_chunks") / (F.col("_last") + 1)).cast("int")
-    return _chunked(pages, [source], chunk, sizes, F.col(content), F.col(position), "\n\n")
+
+def source_archive_hash(pages: DataFrame, source: str = "source", content: str = "content", position: str = "pos") -> DataFrame:
+    """Hash of a source's pages, each with its position; a null page counts as empty."""
+    page = F.sha2(F.coalesce(F.col(content), F.lit("")), 256)
+    return _digest(pages, source, F.concat_ws(":", F.col(position).cast("string"), page))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeworks.functions import names
@@ -100,18 +100,23 @@ def silent_source_join(history: DataFrame, recent: DataFrame) -> DataFrame:
 
 
 def name_variants(records: DataFrame, name: str, key=names.health_name_key) -> DataFrame:
-    """Names that are written in more than one way, with all variants by frequency."""
-    counted = records.groupBy(name).agg(F.count("*").alias("n"))
-    ordered = F.array_sort(
-        F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(name).alias("v"))))
-    return counted.groupBy(key(F.col(name)).alias("normal_name")).agg(
-        F.array_join(F.transform(ordered, lambda x: x["v"]), " | ").alias("variants"),
-        F.count("*").alias("variant_count"), F.sum("n").alias("total"),
-    ).where(F.col("variant_count") > 1)
+    """Spellings of names that are written in more than one way, one row each, ranked by frequency."""
+    counted = records.groupBy(F.col(name).alias("variant")).agg(F.count("*").alias("n")).withColumn(
+        "normal_name", key(F.col("variant")))
+    groups = counted.groupBy("normal_name").agg(
+        F.count("*").alias("variant_count"), F.sum("n").alias("total")).where(F.col("variant_count") > 1)
+    in_order = Window.partitionBy("normal_name").orderBy(F.col("n").desc(), "variant")
+    return counted.join(groups, "normal_name").select(
+        "normal_name", "variant", "n", F.row_number().over(in_order).alias("rank"), "variant_count", "total")
 
 
 def top_name_variants(variants: DataFrame, n: int = 20) -> DataFrame:
-    return variants.orderBy(F.col("total").desc(), "normal_name").limit(n)
+    """The names with most records, with their spellings as one text; only these are put together."""
+    top = variants.where(F.col("rank") == 1).orderBy(F.col("total").desc(), "normal_name").limit(n).select("normal_name")
+    spelled = F.array_sort(F.collect_list(F.struct("rank", "variant")))
+    return variants.join(top, "normal_name").groupBy("normal_name").agg(
+        F.array_join(F.transform(spelled, lambda x: x["variant"]), " | ").alias("variants"),
+        F.max("variant_count").alias("variant_count"), F.max("total").alias("total"))
 
 
 def scalar_cross(summary: DataFrame, extra: DataFrame, name: str) -> DataFrame:

@@ -18,9 +18,16 @@ from noticeworks.operators.ordering import top_per_group
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Batch rows to append: key not in the target, first of the batch wins."""
-    first = top_per_group(batch, list(key), [F.col(c) for c in order], 1)
-    return first.join(target.select(*key), list(key), "left_anti")
+    """Batch rows to append: key not in the target, first of the batch wins.
+
+    A row with a null in its key equals no other row and is always added.
+    """
+    complete = F.lit(True)
+    for k in key:
+        complete = complete & F.col(k).isNotNull()
+    first = top_per_group(batch.where(complete), list(key), [F.col(c) for c in order], 1)
+    new = first.join(target.select(*key).distinct(), list(key), "left_anti")
+    return new.unionByName(batch.where(~complete))
 
 
 def insert_if_absent_nullkey(target: DataFrame, batch: DataFrame, primary: str,
@@ -76,7 +83,7 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: Sequence[str], order:
 
 def update_page_hashes(stored: DataFrame, run: DataFrame) -> DataFrame:
     """Hash table after a run: sources that were read get their new hashes only."""
-    untouched = stored.join(run.select("source"), "source", "left_anti")
+    untouched = stored.join(run.select("source").distinct(), "source", "left_anti")
     fresh = run.where(F.col("content_hash").isNotNull()).select("source", "url", "content_hash")
     return untouched.select("source", "url", "content_hash").unionByName(fresh)
 

@@ -134,26 +134,26 @@ def org_name_lookup(properties: DataFrame, organizations: DataFrame) -> DataFram
     return properties.join(named, "organization_id", "left")
 
 
-def in_set_flag(rows: DataFrame, key: str, members: DataFrame, member: str, flag: str) -> DataFrame:
-    """Adds whether the key is in the set."""
-    found = members.select(F.col(member).alias(key)).distinct().withColumn(flag, F.lit(True))
-    return rows.join(found, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+def in_set_flag(rows: DataFrame, key: str, members: DataFrame, member: str, flag: str, scope: Sequence[str] = ()) -> DataFrame:
+    """Adds whether the key is in the set, or in the part of it with the row's ``scope``."""
+    found = members.select(*scope, F.col(member).alias(key)).distinct().withColumn(flag, F.lit(True))
+    return rows.join(found, [*scope, key], "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def type_name_lookup(notices: DataFrame, types: DataFrame, key: str = "type_key") -> DataFrame:
-    """Name of a notice type by its number, then by its GUID, else empty."""
+def type_name_lookup(notices: DataFrame, types: DataFrame, key: str = "type_key", board: str = "board_id") -> DataFrame:
+    """Name of a notice type on its board by its number, then by its GUID, else empty."""
     coded = types.select(
-        F.explode(F.array(
+        board, F.explode(F.array(
             F.struct(F.lit(0).alias("rank"), F.col("type").alias("code")),
             F.struct(F.lit(1).alias("rank"), F.col("id").alias("code")),
         )).alias("k"), F.col("name")
     ).where(F.col("k.code").isNotNull())
-    by_code = coded.groupBy(F.col("k.code").alias(key)).agg(F.min_by("name", F.struct("k.rank", "name")).alias("type_name"))
-    return notices.join(by_code, key, "left").withColumn("type_name", F.coalesce("type_name", F.lit("")))
+    by_code = coded.groupBy(board, F.col("k.code").alias(key)).agg(F.min_by("name", F.struct("k.rank", "name")).alias("type_name"))
+    return notices.join(by_code, [board, key], "left").withColumn("type_name", F.coalesce("type_name", F.lit("")))
 
 
 def sources_without_data(sources: DataFrame, records: DataFrame, key: str = "source") -> DataFrame:
-    return sources.join(records.select(key), key, "left_anti")
+    return sources.join(records.select(key).distinct(), key, "left_anti")
 
 
 def notices_by_org(organizations: DataFrame, tenders: DataFrame) -> DataFrame:
@@ -176,10 +176,11 @@ def expected_vs_actual(expected: DataFrame, actual: DataFrame, fields: Sequence[
     def key(c: str) -> Column:
         return F.lower(F.regexp_replace(c, rf"{SPACE}+", ""))
 
+    # the fields of one record: of several with the same number the smallest
     got = actual.where(F.col("case_number").isNotNull()).groupBy(key("case_number").alias("_key")).agg(
-        *[F.min(f).alias(f"actual_{f}") for f in fields])
+        F.min(F.struct(*fields)).alias("_actual"))
     joined = expected.withColumn("_key", key("case_number")).join(got.withColumn("found", F.lit(True)), "_key", "left")
     return joined.select(
         "case_number", F.coalesce("found", F.lit(False)).alias("found"),
-        *[(F.coalesce("found", F.lit(False)) & F.col(f).eqNullSafe(F.col(f"actual_{f}"))).alias(f"{f}_ok") for f in fields],
+        *[(F.coalesce("found", F.lit(False)) & F.col(f).eqNullSafe(F.col("_actual")[f])).alias(f"{f}_ok") for f in fields],
     )

@@ -35,16 +35,20 @@ def _grams(text: Column, sizes: Column) -> Column:
 def containing_pairs(left: DataFrame, text: str, right: DataFrame, needle: str, keys: list[str]) -> DataFrame:
     """Pairs with equal keys whose ``text`` contains the ``needle``.
 
-    A containing text must have the needle's anchor among its own pieces, so pairs
-    are found by an equi join on keys and piece instead of comparing everything that
-    shares a key; the containment itself is then checked on these few pairs.  Only
-    anchor sizes that occur are cut out of the texts.
+    A containing text must have the needle's anchor among its own pieces. So pairs are found by
+    an equi join on keys and piece instead of comparing everything that shares a key, and the
+    containment itself is then checked on these few pairs. Only anchor sizes that
+    occur under the same key are cut out, of the distinct texts; what is shuffled of a
+    piece is the key and two hashes, and whole rows join only the pairs that are left.
     """
-    anchored = right.withColumn("_piece", _anchor(F.col(needle)))
-    sizes = anchored.agg(F.collect_set(F.length("_piece")).alias("s")).scalar()
-    pieces = left.join(right.select(*keys).distinct(), keys, "left_semi").select(
-        "*", F.explode(_grams(F.col(text), sizes)).alias("_piece"))
-    return pieces.join(anchored, [*keys, "_piece"]).where(F.contains(F.col(text), F.col(needle))).drop("_piece")
+    anchored = right.withColumn("_anchor", _anchor(F.col(needle))).withColumn("_piece", F.xxhash64("_anchor"))
+    sizes = anchored.groupBy(*keys).agg(F.collect_set(F.length("_anchor")).alias("_sizes"))
+    pieces = left.select(*keys, text).distinct().join(sizes, keys).select(
+        *keys, F.xxhash64(text).alias("_text"), F.explode(F.transform(_grams(F.col(text), F.col("_sizes")), lambda x: F.xxhash64(x))).alias("_piece"))
+    hits = pieces.join(anchored.select(*keys, "_piece").distinct(), [*keys, "_piece"], "left_semi")
+    pairs = hits.join(anchored.drop("_anchor"), [*keys, "_piece"]).drop("_piece")
+    return left.withColumn("_text", F.xxhash64(text)).join(pairs, [*keys, "_text"]).where(
+        F.contains(F.col(text), F.col(needle))).drop("_text")
 
 
 def match_properties(permits: DataFrame, properties: DataFrame) -> DataFrame:
@@ -52,13 +56,13 @@ def match_properties(permits: DataFrame, properties: DataFrame) -> DataFrame:
     left = permits.where(
         blank_to_null(F.col("address")).isNotNull() & blank_to_null(F.col("municipality")).isNotNull()
     ).withColumns({
-        "_text": F.lower("address"), "_place": names.normalize_municipality(F.col("municipality"))})
+        "_address": F.lower("address"), "_place": names.normalize_municipality(F.col("municipality"))})
     right = properties.where(
         blank_to_null(F.col("property_designation")).isNotNull() & blank_to_null(F.col("municipality")).isNotNull()
     ).select(
         "organization_id", "property_designation", F.lower("property_designation").alias("_needle"),
         names.normalize_municipality(F.col("municipality")).alias("_place"))
-    return containing_pairs(left, "_text", right, "_needle", ["_place"]).drop("_text", "_needle", "_place")
+    return containing_pairs(left, "_address", right, "_needle", ["_place"]).drop("_address", "_needle", "_place")
 
 
 def permit_signals(matches: DataFrame) -> DataFrame:
@@ -78,7 +82,7 @@ def permit_signals(matches: DataFrame) -> DataFrame:
     return kept.select(
         "organization_id", "organization_name",
         F.concat(
-            F.upper(F.left(kind, F.lit(1))), F.substring(kind, 2, 1_000_000), F.lit(" — "),
+            F.upper(F.left(kind, F.lit(1))), F.substr(kind, F.lit(2)), F.lit(" — "),
             F.col("property_designation"), F.coalesce(F.concat(F.lit(" ("), case, F.lit(")")), F.lit(""))).alias("title"),
         records.status_to_maturity(F.col("status")).alias("maturity"),
         F.left(blank_to_null(F.col("description")), F.lit(200)).alias("description"),
@@ -141,12 +145,15 @@ def group_other_signals(signals: DataFrame, projects: DataFrame, permit_groups:
 
 
 def group_signals(signals: DataFrame, projects: DataFrame) -> DataFrame:
-    """Every signal without project with what happens to it."""
+    """Every signal without project with what happens to it; permits without designation need a person."""
     from noticeworks.operators.shaping import ungrouped_split
 
     permits, others = ungrouped_split(signals)
     grouped = group_permit_signals(permits, projects)
-    return grouped.unionByName(group_other_signals(others, projects, grouped))
+    unplaced = permits.where(F.col("property_designation").isNull()).select(
+        "signal_id", "arrival", "title", "organization_id", "property_designation", F.lit("needs_review").alias("action"),
+        F.lit(None).cast("long").alias("project_id"), F.lit(None).cast("string").alias("new_project_title"))
+    return grouped.unionByName(group_other_signals(others, projects, grouped)).unionByName(unplaced)
 
 
 def project_groups(assigned: DataFrame, project: str = "project_title") -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,13 @@ def top_per_group(df: DataFrame, keys: Sequence, order: Sequence[Column], n: int
     return kept if rank else kept.drop(name)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys meet each other; the keys stand in the result once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same).drop(*[f"_right_{k}" for k in keys])
+
+
 def first_wins(df: DataFrame, keys: Sequence, order: Sequence[Column]) -> DataFrame:
     return top_per_group(df, keys, order, 1)
 
@@ -45,7 +54,7 @@ def running_total(df: DataFrame, run: Sequence[str], order: Sequence[str], chunk
     carried = totals.withColumn("_carried", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
     inside = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        df.join(carried.drop("_total"), part)
+        join_null_safe(df, carried.drop("_total"), part)
         .withColumn(name, F.col("_carried") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .drop("_carried")
     )
@@ -62,7 +71,7 @@ def budget_cutoff(tasks: DataFrame, limit, run: Sequence[str], order: Sequence[s
     too_much = F.col("spent_before") + F.coalesce(F.col(max_cost), F.lit(0)) > F.lit(limit)
     first = spent.groupBy(*run).agg(F.min(F.when(too_much, place)).alias("_stop"))
     status = F.when(place >= F.col("_stop"), "budget_exhausted").otherwise("run")
-    return spent.join(first, list(run)).withColumn("status", status).drop("_stop")
+    return join_null_safe(spent, first, list(run)).withColumn("status", status).drop("_stop")
 
 
 def spend_until(tasks: DataFrame, limit, run: Sequence[str], order: Sequence[str],

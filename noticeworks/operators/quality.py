@@ -97,7 +97,7 @@ def active_zero_today(records: DataFrame, as_of: date, source: str = "source", t
                       minimum: int = 5, window_days: int = 30) -> DataFrame:
     """Sources active in the last days that gave nothing today."""
     since = datetime(as_of.year, as_of.month, as_of.day) - timedelta(days=window_days)
-    return records.where(F.col(ts) >= moment(since)).groupBy(F.col(source).alias("source")).agg(
+    return records.where((F.col(ts) >= moment(since)) & F.col(source).isNotNull()).groupBy(F.col(source).alias("source")).agg(
         F.count("*").alias("records"), F.count_if(F.to_date(ts) == day(as_of)).alias("today"),
     ).where((F.col("records") >= minimum) & (F.col("today") == 0)).drop("today")
 
@@ -110,13 +110,12 @@ def latest_with_data(runs: DataFrame) -> DataFrame:
 def zero_streak(runs: DataFrame, as_of: date, threshold: int = 3) -> DataFrame:
     """Sources without data on the last days; a missing run counts as a day without data.
 
-    The streak follows from the last day with data, so no calendar has to be joined.
-    It is never longer than twice the threshold.
+    The streak follows from the last day with data, so no calendar has to be joined; a source
+    that never had any is silent since its first run. Runs after ``as_of`` do not count.
     """
-    span = threshold * 2
-    recent = runs.where(F.col("day") >= day(as_of - timedelta(days=span)))
-    streak = F.least(F.lit(span), F.coalesce(F.datediff(day(as_of), "last_data_day"), F.lit(span)))
-    return latest_with_data(recent).withColumn("zero_days", streak).where(
+    last = runs.where(F.col("day") <= day(as_of)).groupBy("source").agg(
+        F.coalesce(F.max(F.when(F.col("n") > 0, F.col("day"))), F.date_sub(F.min("day"), 1)).alias("_last"))
+    return last.withColumn("zero_days", F.datediff(day(as_of), "_last")).where(
         F.col("zero_days") >= threshold
     ).select(
         "source", "zero_days",
@@ -227,8 +226,8 @@ def produced_since(records: DataFrame, since: datetime, ts: str = "created_at")
         "alert", F.col("records") == 0)
 
 
-def escalation_check(streaks: DataFrame, sources: DataFrame, normal_limit: int, share: float = 0.2,
-                     ceiling: int = 50) -> DataFrame:
+def escalation_check(streaks: DataFrame, sources: DataFrame, normal_limit: int, ceiling: int,
+                     share: float = 0.2) -> DataFrame:
     """How many sources may be rediscovered, more when many are silent at once."""
     counted = streaks.agg(F.count("*").alias("streaks")).withColumn(
         "approved", sources.agg(F.count("*").alias("c")).scalar())
@@ -254,27 +253,34 @@ def excerpt_stats(signals: DataFrame, listing_url: str) -> DataFrame:
 
 
 def source_quality_daily(records: DataFrame, fields: Sequence[str], dropped: DataFrame | None = None,
-                         vertical: str = "permits", window_days: int = 30) -> DataFrame:
-    """Per source and day: records, null share per field, drops and the usual publishing interval.
+                         vertical: str = "permits", window_days: int = 30, reasons: Sequence[str] = ()) -> DataFrame:
+    """Per source and day: records, null share per field, drops by reason and the usual publishing interval.
 
-    The interval is the median number of days between days with records over the
-    last ``window_days``.
+    ``dropped`` has ``source, created_at, drop_reason``; a day on which everything was dropped
+    is a day too, with null shares. ``reasons`` become columns ``dropped_<reason>`` beside the
+    total. The interval is the median number of days between days with records over the last
+    ``window_days``.
     """
-    daily = records.groupBy("source", F.to_date("created_at").alias("day")).agg(
-        F.count("*").alias("records"),
-        *[F.round(100.0 * F.count_if(F.col(f).isNull()) / F.count("*"), 1).alias(f"pct_null_{f}") for f in fields])
-    in_order = Window.partitionBy("source").orderBy("day")
+    stored = records.select("source", F.to_date("created_at").alias("day"), F.lit(None).cast("string").alias("_reason"),
+                            F.lit(1).alias("_stored"), *fields)
+    if dropped is not None:
+        stored = stored.unionByName(dropped.select(
+            "source", F.to_date("created_at").alias("day"), F.coalesce("drop_reason", F.lit("")).alias("_reason"),
+            F.lit(0).alias("_stored")), allowMissingColumns=True)
+    kept = F.col("_stored") == 1
+    daily = stored.groupBy("source", "day").agg(
+        F.count_if(kept).alias("records"),
+        *[F.round(F.try_divide(100.0 * F.count_if(kept & F.col(f).isNull()), F.count_if(kept)), 1).alias(f"pct_null_{f}") for f in fields],
+        F.count_if(~kept).alias("dropped"), *[F.count_if(F.col("_reason") == r).alias(f"dropped_{r}") for r in reasons])
+    before = Window.partitionBy("source").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     rolling = Window.partitionBy("source").orderBy("_n").rangeBetween(-(window_days - 1), 0)
-    daily = (
-        daily.withColumn("_gap", F.datediff("day", F.lag("day").over(in_order)))
+    with_data = F.when(F.col("records") > 0, F.col("day"))
+    return (
+        daily.withColumn("_gap", F.datediff(with_data, F.max(with_data).over(before)))
         .withColumn("_n", F.datediff("day", day(date(1970, 1, 1))))
         .withColumn("median_interval_days", F.percentile("_gap", 0.5).over(rolling))
-        .drop("_gap", "_n")
+        .drop("_gap", "_n").withColumn("vertical", F.lit(vertical))
     )
-    if dropped is not None:
-        lost = dropped.groupBy("source", F.to_date("created_at").alias("day")).agg(F.count("*").alias("dropped"))
-        daily = daily.join(lost, ["source", "day"], "left").withColumn("dropped", F.coalesce("dropped", F.lit(0)))
-    return daily.withColumn("vertical", F.lit(vertical))
 
 
 def counts_by(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:

@@ -144,13 +144,15 @@ def status_is_rejected(df: DataFrame) -> DataFrame:
 
 def split_verified(plan: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Changes to apply (source never verified) and changes to review."""
-    return plan.where(~F.col("was_verified")), plan.where("was_verified")
+    verified = F.coalesce(F.col("was_verified"), F.lit(False))
+    return plan.where(~verified), plan.where(verified)
 
 
 def ungrouped_split(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Signals without a project: permits and all others."""
+    """Signals without a project: permits and all others, those of unknown type among them."""
     open_ones = signals.where(F.col("project_id").isNull())
-    return open_ones.where(F.col("source_type") == "permit"), open_ones.where(F.col("source_type") != "permit")
+    permit = F.coalesce(F.col("source_type"), F.lit("")) == "permit"
+    return open_ones.where(permit), open_ones.where(~permit)
 
 
 def keep_identified(df: DataFrame) -> DataFrame:
@@ -177,7 +179,7 @@ def distinct_links(links: DataFrame, keys: Iterable[str], order: Iterable[str])
     return first_wins(links, list(keys), [F.col(c) for c in order])
 
 
-def pages_per_source_limit(pages: DataFrame, limit: int = 200) -> DataFrame:
+def pages_per_source_limit(pages: DataFrame, limit: int) -> DataFrame:
     return top_per_group(pages, ["source"], [F.col("pos"), F.col("url")], limit)
 
 

@@ -98,8 +98,8 @@ def test_notice_fields(spark):
           [("Beskrivning", "LYAN 7:3 (Åvägen 2) - f&#246;rhandsbesked f&#246;r villa")], [("Bilaga",)])],
         "source string, board_id string, id string, category_id string, type_key string, published string, title string, text string, "
         "metadata array<struct<title:string,value:string>>, attachments array<struct<title:string>>")
-    categories = spark.createDataFrame([("c", "Kultur")], "id string, name string")
-    types = spark.createDataFrame([("g", "9", "Kallelse")], "id string, type string, name string")
+    categories = spark.createDataFrame([("b", "c", "Kultur")], "board_id string, id string, name string")
+    types = spark.createDataFrame([("b", "g", "9", "Kallelse")], "board_id string, id string, type string, name string")
     r = boards.notice_permits(notice, categories, types, "https://x").first()
     assert (r["case_number"], r["address"], r["property"], r["permit_type"], r["date"]) == (
         "BYGG 2026-40", "Åvägen 2", "LYAN 7:3", "förhandsbesked", "2026-03-01")

@@ -50,7 +50,7 @@ def test_zero_streak_counts_missing_days(spark):
         [("gap", d(6), 4), ("zero", d(5), 3), ("zero", d(9), 0), ("busy", d(9), 2), ("never", d(8), 0), ("old", d(1), 3)],
         "source string, day date, n int")
     got = {r["source"]: (r["zero_days"], r["dates"][0], r["dates"][-1]) for r in quality.zero_streak(runs, d(10)).collect()}
-    assert got == {"gap": (4, d(10), d(7)), "zero": (5, d(10), d(6)), "never": (6, d(10), d(5))}
+    assert got == {"gap": (4, d(10), d(7)), "zero": (5, d(10), d(6)), "never": (3, d(10), d(8)), "old": (9, d(10), d(2))}
 
 
 def test_budget_equals_the_loop(spark):
@@ -80,18 +80,48 @@ def test_containment_equals_brute_force(spark):
     assert got == sorted(((i, j) for i, k, t in texts for j, m, n in needles if k == m and n in t), key=repr)
 
 
-def test_list_hash_and_its_chunks(spark):
+def test_list_hash_is_one_sum_at_any_size(spark):
     items = [("a", str(i), "2026-01-01") for i in range(50)] + [("b", "1", "2026-01-02")]
     random.seed(1)
     random.shuffle(items)
+
+    def by_hand(entries):
+        shas = [hashlib.sha256(e.encode()).hexdigest() for e in entries]
+        words = [str(sum(int(x[at:at + 15], 16) for x in shas)) for at in range(0, 64, 15)]
+        return hashlib.sha256(":".join([*words, str(len(shas))]).encode()).hexdigest()[:16]
+
     df = spark.createDataFrame(items, "source string, id string, day string")
-    want = hashlib.sha256("|".join(sorted(f"{i}:{d}" for s, i, d in items if s == "a")).encode()).hexdigest()[:16]
-    whole = {r["source"]: r["content_hash"] for r in fingerprints.list_content_hash(df, "source", "id", "day").collect()}
-    assert whole["a"] == want
-    cut = fingerprints.list_content_hash(df, "source", "id", "day", chunk_items=10)
-    again = fingerprints.list_content_hash(df.repartition(5), "source", "id", "day", chunk_items=10)
-    assert rows(cut, "source", "content_hash", "items") == rows(again, "source", "content_hash", "items")
-    assert dict(rows(cut, "source", "content_hash"))["b"] == whole["b"]
+    for frame in (df, df.repartition(5)):
+        got = {r["source"]: (r["content_hash"], r["items"]) for r in fingerprints.list_content_hash(frame, "source", "id", "day").collect()}
+        assert got == {s: (by_hand([f"{i}:{d}" for t, i, d in items if t == s]), sum(t == s for t, _, _ in items)) for s in ("a", "b")}
+    many = spark.range(10_000_000).select(F.lit("m").alias("source"), F.col("id").cast("string").alias("id"), F.lit("d").alias("day"))
+    large = fingerprints.list_content_hash(many, "source", "id", "day")
+    assert "collect" not in large._jdf.queryExecution().toString() and large.first()["items"] == 10_000_000
+
+
+def test_nothing_is_lost(spark):
+    """Rows with nulls in keys and types come out of the operators that split, group and load."""
+    from noticeworks.operators import loading, lookups, matching, ordering, shaping
+
+    tasks = spark.createDataFrame([(None, 1, 1, 5, 5), (1, None, 2, 5, 5), (1, 2, 3, 5, 5)], "run int, p int, id int, cost int, max_cost int")
+    assert ordering.budget_cutoff(tasks, 7, ["run"], ["p", "id"], ["p"]).count() == 3
+    signals = spark.createDataFrame(
+        [(1, 1, "t", 7, None, None, None), (2, 2, "t", 7, "permit", None, None), (3, 3, "t", 7, "permit", "A 1:1", None)],
+        "signal_id long, arrival long, title string, organization_id long, source_type string, property_designation string, project_id long")
+    projects = spark.createDataFrame([], "project_id long, organization_id long, property_designation string")
+    assert rows(matching.group_signals(signals, projects), "signal_id", "action") == [(1, "needs_review"), (2, "needs_review"), (3, "new_project")]
+    batch = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("a", "x", 3), ("a", "x", 4)], "k string, c string, n int")
+    assert rows(loading.insert_ignore(batch.limit(0), batch, ["k", "c"], ["n"]), "n") == [(1,), (2,), (3,)]
+    plan = spark.createDataFrame([(1, None), (2, True), (3, False)], "id int, was_verified boolean")
+    assert [p.count() for p in shaping.split_verified(plan)] == [2, 1]
+    got = spark.createDataFrame([("B 1", "x", "later"), ("b1", "y", "early")], "case_number string, type string, status string")
+    want = spark.createDataFrame([("b 1", "x", "early")], "case_number string, type string, status string")
+    r = lookups.expected_vs_actual(want, got, ["type", "status"]).first()
+    assert r["type_ok"] and not r["status_ok"]
+    kinds = spark.createDataFrame([("b1", "g1", "1", "Kallelse"), ("b2", "g2", "1", "Beslut om lov")], "board_id string, id string, type string, name string")
+    notice = spark.createDataFrame([("b1", "1")], "board_id string, type_key string")
+    assert lookups.type_name_lookup(notice, kinds).first()["type_name"] == "Kallelse"
+
 
 
 def test_names_resolve_in_three_steps(spark):
