@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -11,7 +11,9 @@ from bindings.derived import frame, table
 from bindings.registry import query
 from bindings.sources import tenders
 from bindings.sqltext import ascii_name, letters, normal_place, rx, sanitized, stripped_place
+from noticeworks import config
 from noticeworks.operators import loading, lookups, ordering
+from noticeworks.plans import cross_match, daily_run
 from noticeworks.session import shared_folder
 
 
@@ -199,6 +201,59 @@ def _(s, d):
     return loading.insert_counts(*inserted(s, d), "place")
 
 
+_RUN = """run AS (SELECT arrival, created_at, place AS organization_name, CASE WHEN arrival % 11 > 0 THEN arrival % 3 END AS organization_id,
+      'Projekt ' || permit_type AS title, CASE status WHEN 'beviljat' THEN 'planned' WHEN 'ansökt' THEN 'rumor' ELSE 'tender' END AS maturity,
+      amount_sek * 100 AS amount_sek, source_url, date AS source_date, page_hash FROM d_records)"""
+_STORED = "organization_id, organization_name, title, maturity, amount_sek, source_url, source_date, source_type, arrival"
+
+
+def signal_run(s, d):
+    r = frame(s, d, "d_records")
+    stage = F.when(F.col("status") == "beviljat", "planned").when(F.col("status") == "ansökt", "rumor").otherwise("tender")
+    found = r.select(
+        "arrival", "created_at", F.col("place").alias("organization_name"), F.when(F.col("arrival") % 11 > 0, F.col("arrival") % 3).alias("organization_id"),
+        F.concat(F.lit("Projekt "), "permit_type").alias("title"), stage.alias("maturity"), (F.col("amount_sek") * 100).alias("amount_sek"),
+        "source_url", F.col("date").alias("source_date"), "page_hash", F.lit(None).cast("string").alias("page_url"))
+    early = F.col("created_at") < F.lit("1999-01-01").cast("timestamp_ntz")
+    return found.where(early).withColumn("source_type", F.lit("old")).select(*_STORED.split(", ")), found.where(~early)
+
+
+@query("daily_load_signals", f"""
+    WITH {_RUN}, target AS (SELECT * FROM run WHERE created_at < TIMESTAMP '1999-01-01'),
+    batch AS (SELECT organization_id, organization_name, title, CASE WHEN maturity IN ('planned', 'tender', 'awarded') THEN maturity END AS maturity,
+      CASE WHEN amount_sek BETWEEN 1000000 AND 50000000000 THEN amount_sek END AS amount_sek, source_url, source_date, 'project_page' AS source_type, arrival
+      FROM run WHERE created_at >= TIMESTAMP '1999-01-01' AND source_url IS NOT NULL AND NOT (created_at >= TIMESTAMP '2000-01-01' AND page_hash IS NULL)),
+    named AS (SELECT *, row_number() OVER (PARTITION BY organization_id, source_url, title ORDER BY arrival) AS n FROM batch
+      WHERE organization_id IS NOT NULL AND title IS NOT NULL)
+    SELECT {_STORED} FROM named b WHERE n = 1 AND NOT EXISTS (SELECT 1 FROM target t WHERE t.organization_id = b.organization_id
+      AND t.source_url = b.source_url AND t.title = b.title)
+    UNION ALL SELECT {_STORED} FROM batch WHERE organization_id IS NULL OR title IS NULL""")
+def _(s, d):
+    target, found = signal_run(s, d)
+    hashes = s.createDataFrame([], "source string, url string, content_hash string")
+    pages = s.createDataFrame([], "source string, url string, content_hash string, skipped boolean")
+    return daily_run.load(found, target, None, pages, hashes, config.PROJECT_PAGES, "m", datetime(2000, 1, 1)).to_append
+
+
+@query("store_signals", f"""
+    WITH {_RUN}, ranked AS (SELECT *, created_at >= TIMESTAMP '1999-01-01' AS fresh, row_number() OVER (PARTITION BY organization_id, source_url, title,
+      created_at >= TIMESTAMP '1999-01-01' ORDER BY source_date DESC, arrival DESC) AS n FROM run WHERE organization_id IS NOT NULL AND source_url IS NOT NULL AND title IS NOT NULL),
+    stored AS (SELECT * FROM ranked WHERE NOT fresh AND n = 1), new AS (SELECT * FROM ranked WHERE fresh AND n = 1)
+    SELECT organization_id, source_url, title, coalesce(new.arrival, stored.arrival) AS arrival, CASE WHEN new.arrival IS NULL THEN stored.maturity ELSE new.maturity END AS maturity
+      FROM stored FULL JOIN new USING (organization_id, source_url, title)
+    UNION ALL SELECT organization_id, source_url, title, arrival, maturity FROM run
+      WHERE organization_id IS NULL OR source_url IS NULL OR title IS NULL""")
+def _(s, d):
+    """What was known before is unique by its key, what arrives is not."""
+    target, found = signal_run(s, d)
+    key = list(cross_match.SIGNAL_KEY)
+    complete = F.col("organization_id").isNotNull() & F.col("source_url").isNotNull() & F.col("title").isNotNull()
+    columns = ["organization_id", "source_url", "title", "arrival", "maturity", "source_date"]
+    known = ordering.first_wins(target.where(complete), key, [F.col("source_date").desc(), F.col("arrival").desc()])
+    stored = known.unionByName(target.where(~complete)).select(*columns)
+    return cross_match.store_signals(stored, found.select(*columns)).drop("source_date")
+
+
 @query("upsert_merge", f"""
     WITH {_LOADS}, t1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place, case_number ORDER BY arrival) AS n FROM target WHERE case_number IS NOT NULL) WHERE n = 1),
     b1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place, case_number ORDER BY arrival DESC) AS n FROM batch WHERE case_number IS NOT NULL) WHERE n = 1)

@@ -113,6 +113,16 @@ class Vertical:
     anomaly_min_difference: int = 3
     zero_streak_threshold: int = 3
     active_minimum: int = 5
+    #: the column that names the source, the primary id, the key on which loads conflict, and the
+    #: columns by which rows without primary id are told apart
+    source_field: str = "municipality"
+    primary: str = "case_number"
+    conflict_key: tuple[str, ...] = ("municipality", "case_number")
+    dedup_fields: tuple[str, ...] = ("municipality", "address", "date")
+    #: columns of the place table that are added to records, and their names there
+    enrichment: dict[str, str] = field(default_factory=dict)
+    #: columns that may only name organisations
+    organisation_fields: tuple[str, ...] = ()
 
 
 PERMITS = Vertical(
@@ -126,12 +136,19 @@ PERMITS = Vertical(
         "source_url": "source_url",
     },
     keywords=PERMIT_KEYWORDS,
+    enrichment={"county": "lan"},
+    organisation_fields=("applicant",),
 )
 
 _SIGNAL_FIELDS = (
     "organization_name", "title", "maturity", "amount_sek", "timeline", "description",
     "source_url", "source_date", "region", "category", "source_type", "source_excerpt",
 )
+#: how signals are loaded, and the least difference that is an anomaly among them
+_SIGNALS = {
+    "source_field": "organization_name", "primary": "source_url", "conflict_key": ("organization_id", "source_url", "title"),
+    "dedup_fields": ("organization_name", "title", "source_date"), "anomaly_ratio": 1.0, "anomaly_min_difference": 2,
+}
 ANNUAL_REPORTS = Vertical(
     name="annual_reports",
     required_fields=("title", "description", "maturity", "amount_sek", "region"),
@@ -143,6 +160,9 @@ ANNUAL_REPORTS = Vertical(
         "mkr", "mdr", "miljoner", "miljarder", "upparbetad", "fardigstallande",
     ),
     zero_streak_threshold=999,
+    stale_days=270,
+    stale_days_sparse=540,
+    **_SIGNALS,
 )
 PROJECT_PAGES = Vertical(
     name="project_pages",
@@ -153,6 +173,9 @@ PROJECT_PAGES = Vertical(
     keywords=("projekt", "byggprojekt", "stadsutveckling", "nybyggnad", "ombyggnad", "utveckling"),
     default_source_type="project_page",
     zero_streak_threshold=7,
+    stale_days=90,
+    stale_days_sparse=180,
+    **_SIGNALS,
 )
 PRESSROOM = Vertical(
     name="pressroom",
@@ -166,4 +189,7 @@ PRESSROOM = Vertical(
         "mkr", "mdr", "projektering", "detaljplan", "byggstart",
     ),
     default_source_type="pressroom",
+    stale_days=21,
+    stale_days_sparse=42,
+    **_SIGNALS,
 )

@@ -42,10 +42,26 @@ def insert_if_absent_nullkey(target: DataFrame, batch: DataFrame, primary: str,
 
 def insert_records(target: DataFrame, batch: DataFrame, primary: str, key: Sequence[str],
                    dedup: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows to append of a mixed batch, with and without primary id."""
-    with_id = insert_ignore(target, batch.where(F.col(primary).isNotNull()), key, order)
-    without = insert_if_absent_nullkey(target, batch, primary, dedup, order)
-    return with_id.unionByName(without)
+    """Rows to append of a mixed batch, with and without primary id.
+
+    As ``insert_ignore`` for rows with, ``insert_if_absent_nullkey`` for rows without primary id, but
+    in one ranking and one anti join: the key is a struct that says which of the two holds.
+    A row with primary id and a null elsewhere in its key is always added.
+    """
+    named = F.col(primary).isNotNull()
+
+    def keyed(df: DataFrame) -> DataFrame:
+        part = [F.when(named, F.col(k)).alias(f"k{i}") for i, k in enumerate(key)]
+        rest = [F.when(~named, F.col(c)).alias(f"d{i}") for i, c in enumerate(dedup)]
+        return df.withColumn("_key", F.struct(named.alias("named"), *part, *rest))
+
+    open_ = F.lit(False)
+    for k in key:
+        open_ = open_ | (named & F.col(k).isNull())
+    first = top_per_group(keyed(batch.where(~open_)), ["_key"], [F.col(c) for c in order], 1)
+    new = first.join(keyed(target).select("_key").distinct(), "_key", "left_anti").drop("_key")
+    return new.unionByName(batch.where(open_))
+
 
 
 def insert_counts(batch: DataFrame, inserted: DataFrame, source: str) -> DataFrame:

@@ -22,5 +22,9 @@ def tender_signals(organizations: DataFrame, tenders: DataFrame, site: str) -> D
 
 
 def store_signals(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """The signal table after new signals overwrote those with the same key."""
-    return loading.upsert_merge(stored, new, SIGNAL_KEY, ["source_date"])
+    """The signal table after new signals overwrote those with the same key.
+
+    Of several new ones with one key the latest wins, among those of one day the one that
+    arrived last.
+    """
+    return loading.upsert_merge(stored, new, SIGNAL_KEY, ["source_date", "arrival"])
