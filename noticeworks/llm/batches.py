@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters' bytes of one slice; a single longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 class Words(NamedTuple):

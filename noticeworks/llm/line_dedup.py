@@ -61,7 +61,8 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, id_col: str = "doc_id", tex
         docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .join(found.hint("merge"), F.col("id").eqNullSafe(F.col("own")), "left")
         .withColumns({"parts": F.split("text", "\n"), "hashed": F.when(F.col("never").isNotNull(), hashed(F.col("text")))})
-        .withColumn("kept", F.when(F.col("never").isNull(), F.col("parts")).otherwise(_kept()))
+        # a generator of one row: without it a filter on the counts would work the lines out again for each use
+        .withColumn("kept", F.explode(F.array(F.when(F.col("never").isNull(), F.col("parts")).otherwise(_kept()))))
     )
     added = {
         text_col: F.when(F.size("kept") == F.size("parts"), F.col("text")).otherwise(F.array_join("kept", "\n")),
