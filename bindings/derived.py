@@ -140,8 +140,11 @@ DERIVED = {
           CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_shipdate AS DATE) AS STRING) || 'Z' END AS deadline,
           CASE WHEN l_quantity <= 15 THEN '45210000' WHEN l_quantity <= 30 THEN '71000000'
                WHEN l_quantity <= 40 THEN '33100000' WHEN l_quantity <= 45 THEN '44110000' END AS cpv,
-          CASE WHEN l_discount <= 0.02 THEN '"se110"' WHEN l_discount <= 0.04 THEN '[{{"country":"SWE"}},{{"nuts":"SE232"}}]'
-               WHEN l_discount <= 0.06 THEN '["NO01","SE224"]' WHEN l_discount <= 0.08 THEN '{{"a":{{"region":"SE999"}}}}' END AS place
+          CASE l_partkey % 9 WHEN 0 THEN '"se1' || CAST(l_partkey % 26 + 10 AS STRING) || '"'
+               WHEN 1 THEN '[{{"country":"SWE"}},{{"nuts":"SE2' || CAST(l_partkey % 25 + 10 AS STRING) || '"}}]'
+               WHEN 2 THEN '["NO01","SE' || CAST(l_partkey % 224 + 100 AS STRING) || '"]' WHEN 3 THEN '{{"a":{{"region":"SE999"}}}}'
+               WHEN 4 THEN ' SE31' || CAST(l_partkey % 4 AS STRING) WHEN 5 THEN '{{"code" : "se33' || CAST(l_partkey % 3 AS STRING) || '","note":"SE110"}}'
+               WHEN 6 THEN 'NO011' WHEN 7 THEN '[]' END AS place
         FROM {lineitem}""",
     "d_seeds": """
         SELECT page_id, 'Ort ' || CAST(page_id AS STRING) AS name, url AS old_url,
@@ -210,11 +213,15 @@ DERIVED = {
         FROM {pages}""",
     "d_projects_text": """
         SELECT l_orderkey, l_linenumber, l_partkey,
-          'Investering ' || CAST(CAST(l_quantity AS INT) AS STRING) || CASE l_returnflag WHEN 'A' THEN ',5 mdr' WHEN 'R' THEN ' mkr'
-            ELSE ' kvm' END || ', fastighet Haga Norra ' || CAST(l_linenumber AS STRING) || ':' || CAST(l_partkey AS STRING)
-            || CASE l_linestatus WHEN 'O' THEN ', pågående' ELSE ', planerat' END AS text,
+          'Investering ' || CAST(CAST(l_quantity AS INT) AS STRING) || CASE l_partkey % 7 WHEN 0 THEN ',5 mdr' WHEN 1 THEN ' mkr'
+            WHEN 2 THEN ' 250 Mkr' WHEN 3 THEN ',25 miljoner' WHEN 4 THEN '.125,5 MILJARDER' WHEN 5 THEN ' mkrs' ELSE ' kvm' END
+            || CASE l_suppkey % 4 WHEN 0 THEN ', fastighet Haga Norra ' WHEN 1 THEN ' i kvarteret Rud-Berg ' WHEN 2 THEN ', del av Lunda By ' ELSE ', nära haga ' END
+            || CAST(l_linenumber AS STRING) || ':' || CAST(l_partkey AS STRING)
+            || CASE l_orderkey % 6 WHEN 0 THEN ', Pågående' WHEN 1 THEN ', planerat' WHEN 2 THEN ', färdigställt' WHEN 3 THEN ', beslutat och pågående'
+              WHEN 4 THEN ', slutredovisas' ELSE '' END AS text,
           CASE WHEN l_tax > 0.03 THEN l_quantity * 2 END AS done_pct,
-          CASE l_returnflag WHEN 'A' THEN 'Solna ' WHEN 'R' THEN 'MALMÖ' ELSE 'Kiruna' END AS place
+          CASE l_suppkey % 7 WHEN 0 THEN 'Solna ' WHEN 1 THEN 'MALMÖ' WHEN 2 THEN 'Kiruna' WHEN 3 THEN ' göteborg' WHEN 4 THEN 'Umeå'
+            WHEN 5 THEN 'Ort ' || CAST(l_partkey AS STRING) END AS place
         FROM {lineitem}""",
     "d_blocks": """
         SELECT o_orderkey AS page_id, '<h1>Anslag</h1><h3>Kungörelse - ' || CASE o_orderstatus WHEN 'F' THEN 'Beviljat bygglov'

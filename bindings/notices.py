@@ -10,7 +10,7 @@ from bindings.derived import frame, table
 from bindings.registry import query
 from bindings.sources import PAGE_TERMS, links, notice_rows, tenders
 from bindings.sqltext import (
-    LINKS, any_word, extract, fold, in_list, letters, loose_url, normal_place, normal_url, permit_class, q, rx, trim, word_list,
+    LINKS, any_word, extract, fold, in_list, letters, loose_url, normal_place, normal_url, page_text, permit_class, q, rx, trim, word_list,
 )
 from noticeworks import config
 from noticeworks.functions import html, records, urls
@@ -168,13 +168,19 @@ def _(s, d):
         "id", records.phrase_type(F.col("title")).alias("permit_type"), records.phrase_status(F.col("title")).alias("status"))
 
 
-@query("labelled_fields", """
-    SELECT o_orderkey AS page_id, 1 AS pos, 'BN 2026/' || o_orderkey AS case_number, 'RUD 3:' || o_custkey AS property,
-      CASE o_orderpriority WHEN '1-URGENT' THEN 'Installation av eldstad' WHEN '2-HIGH' THEN 'Rivning av garage' ELSE 'Tillbyggnad' END AS description,
-      CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, CASE o_orderstatus WHEN 'F' THEN 'Rud Fastigheter AB' END AS applicant,
-      CASE WHEN o_orderstatus = 'F' THEN 'bygglov' WHEN o_orderstatus = 'P' THEN 'förhandsbesked'
-        WHEN o_orderpriority = '1-URGENT' THEN 'anmälan' WHEN o_orderpriority = '2-HIGH' THEN 'rivningslov' ELSE 'bygglov' END AS permit_type,
-      CASE o_orderstatus WHEN 'F' THEN 'beviljat' WHEN 'O' THEN 'startbesked' END AS status FROM orders""")
+_NO_U = {k: getattr(records, k).replace("(?iu)", "(?i)") for k in (
+    "_CASE_LABEL", "_CASE_SHAPE", "_PROPERTY_LABEL", "_MEASURE_LABEL", "_DATE_LABEL", "_APPLICANT_LABEL", "_ORGANISATION_NAME")}
+_WHO = trim(extract("t", _NO_U["_APPLICANT_LABEL"]))
+
+
+@query("labelled_fields", f"""
+    SELECT page_id, 1 AS pos, {trim(f"coalesce({extract('t', _NO_U['_CASE_LABEL'])}, {extract('t', _NO_U['_CASE_SHAPE'])})")} AS case_number,
+      {trim(f"coalesce({extract('t', _NO_U['_PROPERTY_LABEL'])}, {extract('t', records._DESIGNATION)})")} AS property,
+      {trim(extract('t', _NO_U['_MEASURE_LABEL']))} AS description,
+      coalesce({extract('t', _NO_U['_DATE_LABEL'])}, {extract('t', chr(92) + 'b(' + chr(92) + 'd{4}-' + chr(92) + 'd{2}-' + chr(92) + 'd{2})' + chr(92) + 'b')}) AS date,
+      CASE WHEN regexp_matches({_WHO}, {q(_NO_U['_ORGANISATION_NAME'])}) THEN {_WHO} END AS applicant,
+      {_phrase_type('t')} AS permit_type, {_phrases(fold('t'), records.STATUS_PHRASES)} AS status
+    FROM (SELECT page_id, {page_text("regexp_extract(html, '<h3[" + chr(92) + "s" + chr(92) + "S]*$')")} AS t FROM d_blocks)""")
 def _(s, d):
     return shaping.labelled_fields(frame(s, d, "d_blocks"))
 
@@ -187,25 +193,37 @@ def project_text(s, d, **columns):
         "l_orderkey", "l_linenumber", "l_partkey", *[c.alias(n) for n, c in columns.items()])
 
 
-@query("property_designation", _TEXT.format("'Haga Norra ' || l_linenumber || ':' || l_partkey AS designation"))
+@query("property_designation", _TEXT.format(f"{extract('text', records._DESIGNATION)} AS designation"))
 def _(s, d):
     return project_text(s, d, designation=records.property_designation(F.col("text")))
 
 
-@query("parse_sek", _TEXT.format(
-    "CAST(CASE WHEN text LIKE '% mdr%' THEN (CAST(regexp_extract(text, '(\\d+),5 mdr', 1) AS BIGINT) * 1000 + 500) * 1000000 "
-    "WHEN text LIKE '% mkr%' THEN CAST(regexp_extract(text, '(\\d+) mkr', 1) AS BIGINT) * 1000000 END AS BIGINT) AS amount_sek"))
+def _re2(pattern):
+    """A pattern of the parsers in the other engine's spelling."""
+    return pattern.replace("(?iu)", "(?i)").replace(chr(92) + "u00a0", chr(92) + "x{00a0}")
+
+
+def _mapped(expr, table):
+    return f"CASE {expr} " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in table.items()) + " END"
+
+
+_NUMBER = f"TRY_CAST(replace(regexp_replace({extract('text', _re2(records._AMOUNT))}, '[ .]', '', 'g'), ',', '.') AS DECIMAL(18,6))"
+_UNIT = f"CAST({_mapped('lower(' + extract('text', _re2(records._AMOUNT), 2) + ')', records._AMOUNT_UNITS)} AS DECIMAL(18,0))"
+
+
+@query("parse_sek", _TEXT.format(f"CAST(floor(CAST({_NUMBER} AS DOUBLE) * CAST({_UNIT} AS DOUBLE) + 0.5) AS BIGINT) AS amount_sek"))
 def _(s, d):
     return project_text(s, d, amount_sek=records.parse_sek(F.col("text")))
 
 
 @query("progress_to_maturity", _TEXT.format(
-    "CASE WHEN done_pct < 10 THEN 'planned' WHEN done_pct <= 90 THEN 'tender' WHEN done_pct > 90 THEN 'awarded' WHEN text LIKE '%pågående' THEN 'tender' ELSE 'planned' END AS maturity"))
+    "CASE WHEN done_pct < 10 THEN 'planned' WHEN done_pct <= 90 THEN 'tender' WHEN done_pct > 90 THEN 'awarded' "
+    f"ELSE {_phrases(fold('text'), records.REPORT_STAGES)} END AS maturity"))
 def _(s, d):
     return project_text(s, d, maturity=records.progress_to_maturity(F.col("done_pct"), F.col("text")))
 
 
-@query("place_to_county", _TEXT.format("CASE trim(place) WHEN 'Solna' THEN 'Stockholms län' WHEN 'MALMÖ' THEN 'Skåne län' ELSE 'Kiruna län' END AS county"))
+@query("place_to_county", _TEXT.format(f"coalesce({_mapped('lower(trim(place))', config.PLACE_COUNTY)}, trim(place) || ' län') AS county"))
 def _(s, d):
     return project_text(s, d, county=records.place_to_county(F.col("place")))
 
@@ -241,8 +259,10 @@ def _(s, d):
 # Tenders
 
 _AMOUNT = "CAST(floor(CAST(value AS DOUBLE) * CASE WHEN coalesce(currency, 'SEK') = 'SEK' THEN 1.0 ELSE 11.5 END + 0.5) AS BIGINT)"
-_NUTS = """CASE place WHEN '"se110"' THEN 'SE110' WHEN '[{"country":"SWE"},{"nuts":"SE232"}]' THEN 'SE232' WHEN '["NO01","SE224"]' THEN 'SE224' WHEN '{"a":{"region":"SE999"}}' THEN 'SE999' END"""
-_COUNTY = f"CASE {_NUTS} WHEN 'SE110' THEN 'Stockholms län' WHEN 'SE232' THEN 'Västra Götalands län' WHEN 'SE224' THEN 'Skåne län' END"
+_NUTS_IN = extract(f"regexp_extract(place, {q(records._NUTS_PLACES)})", '(?i)"(SE[^"]*)"' + chr(92) + 's*[,' + chr(92) + ']]?$')
+_NUTS_BARE = extract("place", "(?i)^" + chr(92) + 's*"?(SE[^"' + chr(92) + '[{]*?)"?' + chr(92) + "s*$")
+_NUTS = f"upper(CASE WHEN regexp_matches(place, '^{chr(92)}s*[{chr(92)}[{{]') THEN {_NUTS_IN} ELSE {_NUTS_BARE} END)"
+_COUNTY = _mapped(_NUTS, config.NUTS_COUNTY)
 _BODY = "coalesce(nullif(body_swe, ''), nullif(body_eng, ''), '')"
 _CATEGORY = f"""CASE WHEN cpv LIKE '45%' THEN CASE WHEN regexp_matches(lower({_BODY}), 'bost[aä]d|l[aä]genhet|student') THEN 'residential'
       WHEN regexp_matches(lower({_BODY}), 'skol|sjukhus|kultur|idrot|universite|campus') THEN 'public'
