@@ -228,6 +228,7 @@ DERIVED = {
             WHEN 'O' THEN 'Startbesked' ELSE 'Förhandsbesked' END || '</h3><p><strong>Diarienummer:</strong> BN 2026/' || CAST(o_orderkey AS STRING)
             || '</p><p>Fastighetsbeteckning: RUD 3:' || CAST(o_custkey AS STRING) || '</p><p>Åtgärd: '
             || CASE o_orderpriority WHEN '1-URGENT' THEN 'Installation av eldstad' WHEN '2-HIGH' THEN 'Rivning av garage' ELSE 'Tillbyggnad' END
+            || CASE WHEN o_custkey % 3 = 0 THEN '</p><p>Gatuadress: Storgatan ' || CAST(o_custkey % 90 AS STRING) || ', Rud' ELSE '' END
             || '</p><p>Sökande: ' || CASE o_orderstatus WHEN 'F' THEN 'Rud Fastigheter AB' ELSE 'Eva Lund' END
             || '</p><p>Beslutsdatum: ' || CAST(CAST(o_orderdate AS DATE) AS STRING) || '</p>' AS html
         FROM {orders}""",

@@ -169,14 +169,14 @@ def _(s, d):
 
 
 _NO_U = {k: getattr(records, k).replace("(?iu)", "(?i)") for k in (
-    "_CASE_LABEL", "_CASE_SHAPE", "_PROPERTY_LABEL", "_MEASURE_LABEL", "_DATE_LABEL", "_APPLICANT_LABEL", "_ORGANISATION_NAME")}
+    "_CASE_LABEL", "_CASE_SHAPE", "_PROPERTY_LABEL", "_ADDRESS_LABEL", "_MEASURE_LABEL", "_DATE_LABEL", "_APPLICANT_LABEL", "_ORGANISATION_NAME")}
 _WHO = trim(extract("t", _NO_U["_APPLICANT_LABEL"]))
 
 
 @query("labelled_fields", f"""
     SELECT page_id, 1 AS pos, {trim(f"coalesce({extract('t', _NO_U['_CASE_LABEL'])}, {extract('t', _NO_U['_CASE_SHAPE'])})")} AS case_number,
       {trim(f"coalesce({extract('t', _NO_U['_PROPERTY_LABEL'])}, {extract('t', records._DESIGNATION)})")} AS property,
-      {trim(extract('t', _NO_U['_MEASURE_LABEL']))} AS description,
+      {trim(extract('t', _NO_U['_ADDRESS_LABEL']))} AS address, {trim(extract('t', _NO_U['_MEASURE_LABEL']))} AS description,
       coalesce({extract('t', _NO_U['_DATE_LABEL'])}, {extract('t', chr(92) + 'b(' + chr(92) + 'd{4}-' + chr(92) + 'd{2}-' + chr(92) + 'd{2})' + chr(92) + 'b')}) AS date,
       CASE WHEN regexp_matches({_WHO}, {q(_NO_U['_ORGANISATION_NAME'])}) THEN {_WHO} END AS applicant,
       {_phrase_type('t')} AS permit_type, {_phrases(fold('t'), records.STATUS_PHRASES)} AS status

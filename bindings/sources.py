@@ -123,13 +123,14 @@ def notice_rows(s, d):
 
 
 @query("scan_notices_jsonp", """
-    SELECT board_id, 0 AS pos, id, title, text, published, category_id, type_key, value, attachment FROM d_noticed""")
+    SELECT board_id, row_number() OVER (PARTITION BY board_id ORDER BY id) - 1 AS pos, id, title, text, published, category_id, type_key, value, attachment FROM d_noticed""")
 def _(s, d):
     n = notice_rows(s, d)
     notice = F.struct("id", "title", "text", "published", F.col("category_id").alias("noticeCategoryId"),
                       F.col("type_key").alias("noticeType"), "metadata", "attachments")
-    reply = F.concat(F.lit("cb("), F.to_json(F.struct(F.array(notice).alias("notices"), F.lit(1).alias("totalIndex"))), F.lit(");\n"))
-    found = scans.scan_notices_jsonp(n.select("board_id", reply.alias("payload")))
+    boards = n.groupBy("board_id").agg(F.array_sort(F.collect_list(notice)).alias("notices"))  # one reply per board, in the order of ids
+    reply = F.concat(F.lit("cb("), F.to_json(F.struct("notices", F.size("notices").alias("totalIndex"))), F.lit(");\n"))
+    found = scans.scan_notices_jsonp(boards.select("board_id", reply.alias("payload")))
     return found.withColumns({"value": F.col("metadata")[0]["value"], "attachment": F.col("attachments")[0]["title"]}).drop("metadata", "attachments")
 
 
@@ -301,6 +302,18 @@ def flagged_documents(s, d):
     return new, old
 
 
+@query("split_subpages", """
+    SELECT page_id, 0 AS part, url AS source_url, length(html) AS size FROM pages
+    UNION ALL SELECT page_id, 1, url || '/2', length('<!-- SUBPAGE: ' || url || '/2 -->' || html) FROM pages WHERE page_id % 3 > 0
+    UNION ALL SELECT page_id, 2, url || '/3', length('<!--subpage:' || url || '/3-->') FROM pages WHERE page_id % 3 > 1""")
+def _(s, d):
+    p = table(s, d, "pages")
+    second = F.when(F.col("page_id") % 3 > 0, F.concat(F.lit("<!-- SUBPAGE: "), "url", F.lit("/2 -->"), "html")).otherwise(F.lit(""))
+    third = F.when(F.col("page_id") % 3 > 1, F.concat(F.lit("<!--subpage:"), "url", F.lit("/3-->"))).otherwise(F.lit(""))
+    joined = p.select("page_id", "url", F.concat("html", second, third).alias("html"))
+    return shaping.split_subpages(joined).select("page_id", "part", "source_url", F.length("html").alias("size"))
+
+
 @query("unchanged_page_filter", f"WITH {_FLAGGED} SELECT source, url, content_hash FROM flagged WHERE NOT skipped")
 def _(s, d):
     return shaping.unchanged_page_filter(*flagged_documents(s, d)).select("source", "url", "content_hash")

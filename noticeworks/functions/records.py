@@ -15,9 +15,10 @@ _STREETS = "vägen|gatan|gränd|torget|platsen|stigen|allén|backen"
 _STREETS_IN_TITLE = "vägen|gatan|gränd|stigen"
 _NOTICE_LINE = r"(?iu)^([A-ZÅÄÖ][A-ZÅÄÖ\s-]+\d+(?::\d+)?)\s*(?:\(([^)]+)\))?\s*-\s*(.+)\z"
 _DESIGNATION = r"\b([A-ZÅÄÖ][A-Za-zÅÄÖåäöé-]*(?: [A-ZÅÄÖ][A-Za-zÅÄÖåäöé-]*)* \d+:\d+)"
-_CASE_LABEL = r"(?iu)(?:diarienummer|diarienr|dnr|ärendenummer)\s*:\s*([^\n,]+)"
+_CASE_LABEL = r"(?iu)(?:diarienummer|diarienr|dnr|ärendenummer)\s*:\s*([^\n,—]+)"
 _CASE_SHAPE = r"\b([A-ZÅÄÖ]{2,5}[ /-]\d{4}[/-]\d+|\d{4}-\d{6})\b"
 _PROPERTY_LABEL = r"(?iu)(?:fastighetsbeteckning|fastighet)\s*:\s*([^\n,]+)"
+_ADDRESS_LABEL = r"(?iu)(?:gatuadress|adress)\s*:\s*([^\n,]+)"
 _APPLICANT_LABEL = r"(?iu)sökande\s*:\s*([^\n—]+)"
 _DATE_LABEL = r"(?iu)(?:beslutsdatum|datum)\s*:\s*(\d{4}-\d{2}-\d{2})"
 _MEASURE_LABEL = r"(?iu)åtgärd\s*:\s*([^\n]+)"
@@ -225,6 +226,7 @@ def labelled_block(text: Column) -> Column:
     return F.struct(
         strip(F.coalesce(extract(text, _CASE_LABEL), extract(text, _CASE_SHAPE))).alias("case_number"),
         strip(F.coalesce(extract(text, _PROPERTY_LABEL), property_designation(text))).alias("property"),
+        strip(extract(text, _ADDRESS_LABEL)).alias("address"),
         strip(extract(text, _MEASURE_LABEL)).alias("description"),
         F.coalesce(
             extract(text, _DATE_LABEL), extract(text, r"\b(\d{4}-\d{2}-\d{2})\b")

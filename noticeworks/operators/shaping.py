@@ -202,10 +202,21 @@ def parse_model_response(df: DataFrame, response: str, schema: str) -> DataFrame
     return df.select(*rest, F.posexplode(F.from_json(bare, schema)).alias("pos", "r")).select(*rest, "pos", "r.*")
 
 
+def split_subpages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """The pages that were joined by ``<!-- SUBPAGE: url -->`` marks, each with its ``source_url`` and ``part``.
+
+    What stands before the first mark belongs to the page's own URL; an empty beginning gives no row.
+    """
+    rest = [c for c in pages.columns if c != html]
+    parts = pages.select(*rest, F.posexplode(F.split(F.col(html), r"(?i)(?=<!--\s*SUBPAGE:)")).alias("part", html))
+    own = F.regexp_extract(html, r"(?i)^<!--\s*SUBPAGE:\s*(\S+?)\s*-->", 1)
+    return parts.withColumn("source_url", F.coalesce(F.nullif(own, F.lit("")), F.col(url))).where(F.col(html) != "")
+
+
 def labelled_fields(pages: DataFrame, source_html: str = "html") -> DataFrame:
-    """One record per notice block of a page: a heading, table row or list item with a case number."""
+    """One record per notice block of a page: a heading, table row, list item or card with a case number."""
     rest = [c for c in pages.columns if c != source_html]
-    blocks = F.split(F.col(source_html), r"(?i)(?=<(?:h[1-6]|tr|li)[\s>])")
+    blocks = F.split(F.col(source_html), r"(?i)(?=<(?:h[1-6]|tr|li|article)[\s>]|<div[^>]*\bclass=\"[^\"]*\bcard\b)")
     texts = pages.select(*rest, F.posexplode(F.transform(blocks, html.to_text)).alias("pos", "text"))
     numbered = texts.where(records.has_case_number(F.col("text")))
     parsed = with_once(numbered, r=records.labelled_block(F.col("text")))
