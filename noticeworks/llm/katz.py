@@ -16,7 +16,7 @@ from noticeworks.llm.common import stored
 from noticeworks.llm.ngram_join import _mix
 
 #: Bytes of text counted and scored together in one task, and of the text behind one partition of counts.
-SLICE_BYTES, BUCKET_BYTES = 6 << 20, 16 << 20
+SLICE_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 #: Counts up to this one are discounted by Good-Turing.
 DISCOUNTED = 5
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
