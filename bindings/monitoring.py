@@ -11,6 +11,7 @@ from bindings.registry import query
 from bindings.sqltext import hash16, word_list
 from noticeworks import config
 from noticeworks.operators import discovery, fingerprints, health, quality, shaping
+from noticeworks.plans import quality_run
 
 AS_OF = datetime(2024, 1, 31)
 TODAY = date(2024, 1, 31)
@@ -339,6 +340,24 @@ def _(s, d):
     return quality.qc_summary(per_source(s, d))
 
 
+@query("quality_run", f"""
+    WITH {_BASELINE}, {_TODAY_COUNTS}, {_ANOMALY},
+    bad AS (SELECT source, count(*) AS c FROM d_obs WHERE value > 100 AND ts >= TIMESTAMP '2024-01-29' GROUP BY 1),
+    st AS (SELECT source FROM base WHERE DATE '2024-02-03' - last_day > CASE WHEN run_count >= 2 THEN 4 ELSE 8 END)
+    SELECT replace(source, ':', '-') AS source, 'events' AS vertical, n AS extracted, floor(n / 2) AS inserted, base.avg_records AS expected_avg,
+      concat_ws(',', CASE WHEN c > 0 THEN 'validation_issues' END, CASE WHEN source IN (SELECT source FROM st) THEN 'stale' END,
+        CASE WHEN source IN (SELECT source FROM anom) THEN 'anomaly' END) AS flags
+    FROM today LEFT JOIN bad USING (source) LEFT JOIN base USING (source)""")
+def _(s, d):
+    """Today's observations against all of them; half of each source's were stored."""
+    seen = obs(s, d).withColumn("created_at", F.col("ts"))
+    today = seen.where(F.col("ts") >= F.lit("2024-01-29").cast("timestamp_ntz"))
+    stored = today.groupBy("source").agg(F.floor(F.count("*") / 2).alias("inserted"))
+    rules = config.Vertical("events", required_fields=(), numeric_ranges={"value": (0, 100)}, stale_days=4, stale_days_sparse=8, anomaly_min_difference=0)
+    return quality_run.run(today, seen, stored, rules, date(2024, 2, 3)).rows.select(
+        "source", "vertical", "extracted", "inserted", "expected_avg", F.array_join("flags", ",").alias("flags"))
+
+
 @query("qc_flags", f"""
     WITH {_PER_SOURCE} SELECT source, concat_ws(',', CASE WHEN issue_count > 0 THEN 'validation_issues' END, CASE WHEN is_stale THEN 'stale' END,
       CASE WHEN is_anomaly THEN 'anomaly' END, CASE WHEN n = 0 THEN 'zero_permits' END) AS flags FROM per""")
