@@ -52,26 +52,25 @@ def hashed(words: pa.Array) -> np.ndarray:
     return np.stack(columns, axis=1).view(np.int64)
 
 
-def _bags(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows ``[first, last)`` with the row, hash and count of each distinct feature."""
+def _bags(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows ``[first, last)`` with the row and hash of each distinct feature."""
     for w in word_slices(texts, pc.utf8_lower):
         rows = np.repeat(np.arange(w.last - w.first), np.diff(w.offsets))
         names, place = np.unique(hashed(w.words), return_inverse=True)
         place = place.reshape(-1, 1 + len(PREFIXES))
-        keys, counts = np.unique((rows[:, None] * max(1, len(names)) + place[w.codes]).ravel(), return_counts=True)
-        yield w.first, w.last, keys // max(1, len(names)), names[keys % max(1, len(names))], counts
+        keys = np.unique((rows[:, None] * max(1, len(names)) + place[w.codes]).ravel())
+        yield w.first, w.last, keys // max(1, len(names)), names[keys % max(1, len(names))]
 
 
 def _emit_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, last, rows, cols, counts in _bags(batch["text"]):
+        for first, last, rows, cols in _bags(batch["text"]):
             ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=last - first))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch["toxic"].slice(first, last - first), pa.ListArray.from_arrays(ends, pa.array(cols, pa.int64())),
-                 pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))], ["toxic", "cols", "counts"])
+                [batch["toxic"].slice(first, last - first), pa.ListArray.from_arrays(ends, pa.array(cols, pa.int64()))], ["toxic", "cols"])
 
 
-def labelled_bags(docs: DataFrame, labels: DataFrame, max_rows: int) -> pd.DataFrame:
+def labelled_bags(docs: DataFrame, labels: DataFrame, max_rows: int) -> pa.Table:
     """Words of at most ``max_rows`` labelled documents, those with the smallest hashes of their id."""
     chosen = (
         labels.where("doc_id is not null and toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -79,25 +78,23 @@ def labelled_bags(docs: DataFrame, labels: DataFrame, max_rows: int) -> pd.DataF
     )
     return (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-        .mapInArrow(_emit_bags, "toxic int, cols array<long>, counts array<int>").toPandas()
+        .mapInArrow(_emit_bags, "toxic int, cols array<long>").toArrow()
     )
 
 
 class Sample(NamedTuple):
-    """Labelled texts as lists of words: of each entry its row, its word's number and its count."""
+    """Labelled texts as lists of features: of each entry its row and its feature's number."""
 
     toxic: np.ndarray
     words: np.ndarray  #: sorted hashes of all words
     row: np.ndarray
     col: np.ndarray
-    count: np.ndarray
 
     @classmethod
-    def of(cls, bags: pd.DataFrame) -> Sample:
-        empty = np.zeros(0, dtype=np.int64)
-        words, col = np.unique(np.concatenate([empty, *bags["cols"]]).astype(np.int64), return_inverse=True)
-        row = np.repeat(np.arange(len(bags)), [len(c) for c in bags["cols"]]).astype(np.int64)
-        return cls(bags["toxic"].to_numpy() > 0, words, row, col, np.concatenate([empty, *bags["counts"]]).astype(np.int64))
+    def of(cls, bags: pa.Table) -> Sample:
+        words, col = np.unique(pc.list_flatten(bags["cols"]).to_numpy().astype(np.int64), return_inverse=True)
+        row = np.repeat(np.arange(len(bags)), pc.list_value_length(bags["cols"]).to_numpy())
+        return cls(bags["toxic"].to_numpy() > 0, words, row.astype(np.int32), col.astype(np.int32))
 
     def rates(self) -> tuple[np.ndarray, np.ndarray]:
         """In how many toxic and other rows each word is."""
@@ -119,7 +116,7 @@ class Sample(NamedTuple):
         keep = least[:, 0] == len(self.words)
         keep[np.unique(least, axis=0, return_index=True)[1]] = True
         entries = keep[self.row]
-        return Sample(self.toxic[keep], self.words, (np.cumsum(keep) - 1)[self.row[entries]], self.col[entries], self.count[entries])
+        return Sample(self.toxic[keep], self.words, (np.cumsum(keep) - 1)[self.row[entries]], self.col[entries])
 
 
 def severity_grades(sample: Sample, grades: int = 4) -> np.ndarray:
@@ -225,7 +222,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_telling long, expected_severity double, grade int, p_toxic double, toxic boolean")
 
 
-def ordinal_toxicity(docs: DataFrame, labels: DataFrame, grades: int = 4, max_rows: int = 8000) -> DataFrame:
+def ordinal_toxicity(docs: DataFrame, labels: DataFrame, grades: int = 4, max_rows: int = 4000) -> DataFrame:
     """Scores of all ``docs`` by a model fitted on at most ``max_rows`` labelled ones.
 
     The bound is a parameter; the sample is what the driver gets, as word counts. Rows without id or

@@ -4,7 +4,6 @@ import math
 import random
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -106,7 +105,7 @@ def test_ordinal_slopes_are_right():
     rnd = np.random.default_rng(2)
     words = [np.unique(rnd.integers(0, 6, 3)) for _ in range(200)]
     grade = np.array([min(3, int(sum(c == 1) + 2 * sum(c == 2) + rnd.integers(0, 2))) for c in words])
-    sample = ordinal.Sample.of(pd.DataFrame({"toxic": grade, "cols": words, "counts": words}))
+    sample = ordinal.Sample.of(pa.table({"toxic": grade, "cols": pa.array([list(map(int, w)) for w in words])}))
     model = ordinal.fit(sample, grade, ridge=0.01, steps=4000, rate=0.02, least=0.0)
     assert list(model.words) == list(range(6)) and list(model.thresholds) == sorted(model.thresholds)
 
