@@ -34,8 +34,11 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id; rows without id all stay."""
-    copies = ngram_join.ngram_components(docs).where("component_id < doc_id").select(F.col("doc_id").alias("_copy")).distinct()
+    """Of each group of linked documents the one with the smallest id; rows without id all stay.
+
+    Documents link when their sets of five-word n-grams have a Jaccard similarity of 0.8 or more.
+    """
+    copies = ngram_join.ngram_components(docs, width=5, percent=80).where("component_id < doc_id").select(F.col("doc_id").alias("_copy")).distinct()
     return docs.join(copies.hint("merge"), F.col("doc_id") == F.col("_copy"), "left_anti")
 
 

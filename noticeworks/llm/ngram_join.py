@@ -53,39 +53,48 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.nda
         yield w.first, w.last, rows[new], gram[new]
 
 
+def _differ(sizes, percent: int):
+    """Members in which linked sets whose sizes have this sum can differ.
+
+    Sets of sizes x and y with a Jaccard similarity of t or more differ in at most
+    (x + y) (1 - t) / (1 + t) members: (x + y) / 19 for 90 percent, (x + y) / 9 for 80.
+    """
+    return sizes * (100 - percent) // (100 + percent)
+
+
 @cache
-def _classes(largest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least sizes of the classes, to beyond ``largest``, and the greatest difference of linked sets in each.
+def _classes(largest: int, percent: int = 90) -> tuple[np.ndarray, np.ndarray]:
+    """Least sizes of the classes and the greatest difference of linked sets in each.
 
-    Sets of sizes x and y with a Jaccard similarity of 0.9 or more differ in at most
-    (x + y) / 19 members, so in at most 2 / 19 of the larger size.
+    The last class is beyond every size that a set of ``largest`` members can link with.
     """
-    least = [1]
-    while least[-1] <= 2 * largest + 2:
+    least = [1, 2]
+    while least[-2] <= 100 * largest // percent:
         least.append(max(least[-1] + 1, int(least[-1] * CLASS_RATIO)))
-    return np.array(least[:-1]), 2 * (np.array(least[1:]) - 1) // 19
+    return np.array(least[:-1]), _differ(2 * (np.array(least[1:]) - 1), percent)
 
 
-def fragment_keys(rows: np.ndarray, grams: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+def fragment_keys(rows: np.ndarray, grams: np.ndarray, n_rows: int, percent: int = 90) -> tuple[np.ndarray, np.ndarray]:
     """Rows and keys of the fragments of all sets: linked sets have a key in common.
 
     The global order of n-grams is cut into equal fragments, ``SPARE`` and one more than linked
     sets of a class can differ in members, so they have ``SPARE`` + 1 equal fragments at least. The key
-    of a fragment is a hash of its members. A set takes part in its own class and, if it is within
-    the bound of its sizes, in the next. Sets with over ``SPARE`` empty fragments give
+    of a fragment is a hash of its members. A set takes part in its own class and in each greater one
+    that has sizes it can link with. Sets with over ``SPARE`` empty fragments give
     keys for those too, as two of them could have no other equal fragment; two
     sets of which one has fewer always share a fragment that is not empty. Classes in which
     linked sets cannot differ need no keys: equal sets are known by their id.
     """
     n = np.bincount(rows, minlength=n_rows)
-    least, differ = _classes(int(n.max(initial=1)))
+    least, differ = _classes(int(n.max(initial=1)), percent)
     own = np.searchsorted(least, n, "right") - 1
     out_rows, out_keys = [], []
-    for step in (0, 1):
-        of = own + step
-        takes_part = (n > 0) & (differ[of] > 0)
-        if step:
-            takes_part &= 10 * n >= 9 * least[of]
+    for step in range(len(least)):
+        of = np.minimum(own + step, len(least) - 1)
+        reaches = (n > 0) & ((step == 0) | (100 * n >= percent * least[of]))
+        if not reaches.any():
+            break
+        takes_part = reaches & (differ[of] > 0)
         mine = takes_part[rows]
         r, g = rows[mine], grams[mine]
         if not len(r):
@@ -125,7 +134,7 @@ def _set_ids(rows: np.ndarray, grams: np.ndarray, n: np.ndarray) -> np.ndarray:
     return ids
 
 
-def _emit_sets(width: int):
+def _emit_sets(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, rows, grams in shingle_sets(batch["text"], width):
@@ -133,7 +142,7 @@ def _emit_sets(width: int):
                 ids = _set_ids(rows, grams, n)
                 once = np.zeros(last - first, dtype=bool)
                 once[np.unique(ids, return_index=True)[1]] = True  # equal sets of one slice give keys once
-                key_rows, keys = fragment_keys(rows[once[rows]], grams[once[rows]], last - first)
+                key_rows, keys = fragment_keys(rows[once[rows]], grams[once[rows]], last - first, percent)
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["text_key"], pa.array(n, pa.int64()), pa.array(ids.view(np.int64)), _lists(key_rows, keys, last - first)],
@@ -151,49 +160,47 @@ def _emit_grams(width: int):
     return run
 
 
-def _differ(size_a: int, size_b: int) -> int:
-    return (size_a + size_b) // 19
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(percent: int):
     """Of each pair of sets: whether they link, in how many members they differ, and a prefix of those.
 
     The overlap is counted in every fragment of the larger set's class, and summed. The members in
     which ``b`` differs from ``a`` are ordered, those that ``a`` lacks first; the prefix has
     one more than ``b`` can differ in from any set that it links with.
     """
-    for batch in batches:
-        a_values, b_values = (batch[x].flatten().to_numpy().view(np.uint64) for x in ("grams_a", "grams_b"))
-        a_ends, b_ends = (batch[x].offsets.to_numpy() for x in ("grams_a", "grams_b"))
-        linked, differ, prefixes = [], [], []
-        for i in range(len(batch)):
-            a, b = a_values[a_ends[i] - a_ends[0]:a_ends[i + 1] - a_ends[0]], b_values[b_ends[i] - b_ends[0]:b_ends[i + 1] - b_ends[0]]
-            in_a = np.isin(b, a, assume_unique=True)
-            least, most = _classes(max(len(a), len(b)))
-            cuts = most[np.searchsorted(least, max(len(a), len(b)), "right") - 1] + 1 + SPARE
-            overlaps = np.bincount((((b[in_a] >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)).astype(np.int64), minlength=cuts)
-            common = int(overlaps.sum())
-            linked.append(100 * common >= 90 * (len(a) + len(b) - common))
-            differ.append(len(a) + len(b) - 2 * common)
-            reach = _differ(len(b), 10 * len(b) // 9) + 1
-            prefix = b[~in_a][:reach]
-            if len(prefix) < reach:
-                prefix = np.concatenate([prefix, a[~np.isin(a, b, assume_unique=True)][:reach - len(prefix)]])
-            prefixes.append(prefix)
-        rows = np.repeat(np.arange(len(batch)), [len(p) for p in prefixes])
-        yield pa.RecordBatch.from_arrays(
-            [batch["a"], batch["b"], pa.array(linked, pa.bool_()), pa.array(differ, pa.int64()),
-             _lists(rows, np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64), len(batch))],
-            ["a", "b", "linked", "differ", "prefix"])
-
-
-def _compared(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a_values, b_values = (batch[x].flatten().to_numpy().view(np.uint64) for x in ("grams_a", "grams_b"))
+            a_ends, b_ends = (batch[x].offsets.to_numpy() for x in ("grams_a", "grams_b"))
+            linked, differ, prefixes = [], [], []
+            for i in range(len(batch)):
+                a, b = a_values[a_ends[i] - a_ends[0]:a_ends[i + 1] - a_ends[0]], b_values[b_ends[i] - b_ends[0]:b_ends[i + 1] - b_ends[0]]
+                in_a = np.isin(b, a, assume_unique=True)
+                least, most = _classes(max(len(a), len(b)), percent)
+                cuts = most[np.searchsorted(least, max(len(a), len(b)), "right") - 1] + 1 + SPARE
+                overlaps = np.bincount((((b[in_a] >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)).astype(np.int64), minlength=cuts)
+                common = int(overlaps.sum())
+                linked.append(100 * common >= percent * (len(a) + len(b) - common))
+                differ.append(len(a) + len(b) - 2 * common)
+                reach = _differ(len(b) + 100 * len(b) // percent, percent) + 1
+                prefix = b[~in_a][:reach]
+                if len(prefix) < reach:
+                    prefix = np.concatenate([prefix, a[~np.isin(a, b, assume_unique=True)][:reach - len(prefix)]])
+                prefixes.append(prefix)
+            rows = np.repeat(np.arange(len(batch)), [len(p) for p in prefixes])
+            yield pa.RecordBatch.from_arrays(
+                [batch["a"], batch["b"], pa.array(linked, pa.bool_()), pa.array(differ, pa.int64()),
+                 _lists(rows, np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64), len(batch))],
+                ["a", "b", "linked", "differ", "prefix"])
+    return run
+
+
+def _compared(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     both = (
         pairs.join(grams.select(F.col("set_id").alias("a"), F.col("grams").alias("grams_a")), "a")
         .join(grams.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b")), "b")
     )
     return both.select("a", "b", "grams_a", "grams_b").mapInArrow(
-        _compare, "a long, b long, linked boolean, differ long, prefix array<long>")
+        _compare(percent), "a long, b long, linked boolean, differ long, prefix array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -221,12 +228,14 @@ def _several(members: DataFrame, by: list[str], value: str) -> DataFrame:
     return members.join(spread, by, "left_semi")
 
 
-def ngram_components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ngram_components(
+    docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text", percent: int = 90,
+) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
     A text's set are its distinct ``width``-word n-grams (shorter texts: all words as one);
     words stand between ASCII white space, A-Z are lower-cased. Texts link when their sets
-    have a Jaccard similarity of 0.9 or more, and ``component_id`` is the smallest id
+    have a Jaccard similarity of ``percent`` (1 to 100) or more, and ``component_id`` is the smallest id
     reachable over links. Null or empty texts have empty sets and link with nothing, so their own id
     is their component's. Null ids do not count as smallest unless there is no other. Repeated rows
     are each returned. N-grams are known by 64-bit hashes. Other columns are not read.
@@ -237,14 +246,14 @@ def ngram_components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", te
        group of n near copies costs n comparisons, and their links make components.
     3. A linked pair that is left lies in two components of one key. Its sets differ from the
        hub in common members: if x and y link and x and hub do not, then the differences from the
-       hub overlap by at least (dx + dy - (|x| + |y|) / 19) / 2 members, which is over 0. So
+       hub overlap by at least (dx + dy - d) / 2 members, which is over 0; d is what x and y can differ in. So
        pairs are found by equal members of difference prefixes, those kept
        whose counted overlap can still reach that bound, and compared.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
     sets = stored(texts.mapInArrow(
-        _emit_sets(width), f"doc_id {id_type}, text_key long, n long, set_id long, keys array<long>"), "ngram-sets")
+        _emit_sets(width, percent), f"doc_id {id_type}, text_key long, n long, set_id long, keys array<long>"), "ngram-sets")
 
     by_key = Window.partitionBy("key").orderBy("set_id")
     members = stored(
@@ -263,7 +272,7 @@ def ngram_components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", te
     hubs = members.join(shared, "set_id").groupBy("key").agg(F.max(F.struct("keys", "set_id"))["set_id"].alias("hub"))
     spokes = stored(members.join(hubs, "key").select("hub", "set_id", "n", "key"), "spokes")
     near = stored(_compared(
-        spokes.where("hub <> set_id").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct(), grams), "hub-pairs")
+        spokes.where("hub <> set_id").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct(), grams, percent), "hub-pairs")
     links = near.where("linked").select("a", "b")
     first = components(links)
 
@@ -280,14 +289,16 @@ def ngram_components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", te
     y = held.select("hub", "member", *[F.col(c).alias(f"{c}_y") for c in ("set_id", "n", "component", "differ", "rest")])
     left = (
         x.join(y, ["hub", "member"])
-        .where("component_x < component_y and 10 * least(n_x, n_y) >= 9 * greatest(n_x, n_y)")
+        .where(f"component_x < component_y and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
         .groupBy("hub", "set_id_x", "set_id_y").agg(
             F.count("*").alias("common"), *[F.first(c).alias(c) for c in ("n_x", "n_y", "differ_x", "differ_y", "rest_x", "rest_y")])
         # common members beyond a prefix are all in the rest of the set whose prefix ends first
-        .where("2 * least(common + greatest(rest_x, rest_y), differ_x, differ_y) >= differ_x + differ_y - floor((n_x + n_y) / 19)")
+        .where(
+            "2 * least(common + greatest(rest_x, rest_y), differ_x, differ_y)"
+            f" >= differ_x + differ_y - (n_x + n_y) * {100 - percent} div {100 + percent}")
         .select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b")).distinct()
     )
-    more = _compared(left, grams).where("linked").select("a", "b")
+    more = _compared(left, grams, percent).where("linked").select("a", "b")
     joined = components(links.union(more))
 
     of_set = sets.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id")).join(
