@@ -114,13 +114,15 @@ def identify(
     Not accepted are rows whose language is 'und', whose probability is under ``min_confidence``
     or whose text has no word without digits. Null texts count as empty, null or odd declared
     languages and hosts are no evidence; without any model language all rows are 'und'. Returns
-    ``id, row_key`` (a hash of id and evidence), ``declared, language, confidence, by_text, accepted``.
+    ``id, row_key`` (a hash of id, text and the given ``declared`` and ``host``), ``declared, language, confidence, by_text, accepted``.
     """
     langs, table = model
-    host = F.lower(host) if host is not None else F.lit(None).cast("string")
-    declared = _plain(declared) if declared is not None else F.lit(None).cast("string")
+    host = host if host is not None else F.lit(None).cast("string")
+    declared = declared if declared is not None else F.lit(None).cast("string")
+    key = row_key(id_col, text_col, declared, host)  # of the columns as they are given
+    host, declared = F.lower(host), _plain(declared)
     seen = rows.select(
-        F.col(id_col).alias("id"), row_key(id_col, text_col, declared, host).alias("row_key"), declared.alias("declared"),
+        F.col(id_col).alias("id"), key.alias("row_key"), declared.alias("declared"),
         host.alias("host"), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
         F.regexp_extract(host, r"\.([^.]+)$", 1).alias("suffix"), F.col(text_col).alias("text"))
     kept = {f.name: f.dataType.simpleString() for f in seen.schema if f.name != "text"}

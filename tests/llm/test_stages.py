@@ -5,10 +5,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from noticeworks.llm import ngram_join
-from tests.llm.frames import SCHEMA
+from noticeworks.llm import language, ngram_join
+from tests.llm.frames import SCHEMA, odd
 from tests.llm.test_dedup import edited, grams
 
 
@@ -75,3 +76,14 @@ def test_linked_sets_have_a_key_in_common(percent):
                 rows = np.concatenate([np.zeros(len(base), int), np.ones(len(other), int)])
                 of, keys = ngram_join.fragment_keys(rows, np.concatenate([base, other]), 2, percent)
                 assert set(keys[of == 0].tolist()) & set(keys[of == 1].tolist())
+
+
+def test_every_accepted_row_survives_the_language_stage(spark):
+    text = "one two three four five"
+    given = [(20, "en-GB", "a"), (21, "EN", "a"), (22, "", "a"), (23, " en", "a"), (24, "xx-not-a-lang", "a"), (25, "en", "Capital.Source"), (26, None, None)]
+    docs = odd(spark).unionByName(frame(spark, [(i, text, lang, source) for i, lang, source in given]))
+    found = language.identify(docs, language.fit_text_model(docs), declared=F.col("lang"), host=F.col("source"))
+    accepted = [r["id"] for r in found.where("accepted").collect()]
+    assert {i for i, _, _ in given} <= set(accepted)
+    kept = [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted(accepted, key=repr)
