@@ -40,12 +40,20 @@ def trigrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def fit_text_model(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_rows: int = 20_000) -> tuple[list[str], np.ndarray]:
     """Languages and the log probabilities of trigram buckets in each.
 
-    Fitted on about ``max_rows`` labelled rows, chosen by the hash of their text; counts are
+    Fitted on about ``max_rows`` different labelled texts, chosen by their hash. Every language has
+    the same bound, and what rare ones leave of it is shared by the others, so a language with
+    fewer texts than its bound is fitted on all of them. Counts are
     aggregated by Spark, and the table has ``BUCKETS`` rows. Rows without language do not count.
     """
     rows = labelled.select(F.col(text_col).alias("text"), _plain(F.col(lang_col)).alias("lang")).where("lang is not null")
-    share = min(1.0, max_rows / max(1, rows.count()))
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    place = F.xxhash64("text")
+    held = {r["lang"]: r["count"] for r in rows.select("lang", place.alias("h")).distinct().groupBy("lang").count().collect()}
+    bound = _bound(list(held.values()), max_rows)
+    cuts = {lang: int(bound / n * (1 << 30)) + 1 for lang, n in held.items() if n > bound}
+    if cuts:
+        cut = F.create_map(*[F.lit(x) for item in cuts.items() for x in item])[F.col("lang")]
+        rows = rows.where(F.pmod(place, F.lit(1 << 30)) < F.coalesce(cut, F.lit(1 << 30)))
+    chosen = rows.distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,6 +74,17 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", lang_col: str =
     return langs, np.log(table / table.sum(axis=0))
 
 
+def _bound(held: list[int], total: int) -> float:
+    """The bound of each group with which groups of these sizes have ``total`` members together, at least 1."""
+    left, bound = total, float(total)
+    for k, n in enumerate(sorted(held)):
+        bound = left / (len(held) - k)
+        if n > bound:
+            break
+        left -= n
+    return max(1.0, bound)
+
+
 def _plain(lang: Column) -> Column:
     """``en`` from ``en-GB`` or `` EN``; null if there is none."""
     name = F.lower(F.regexp_extract(lang, r"^\s*([A-Za-z]{2,3})(?:[-_].*)?\s*$", 1))

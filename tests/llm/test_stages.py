@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +88,20 @@ def test_every_accepted_row_survives_the_language_stage(spark):
     assert {i for i, _, _ in given} <= set(accepted)
     kept = [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, "").collect()]
     assert sorted(kept, key=repr) == sorted(accepted, key=repr)
+
+
+def test_rare_languages_are_fitted_and_copies_count_once(spark):
+    common = spark.range(3000).select(F.concat(F.lit("common"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("en").alias("lang"))
+    copies = spark.range(2000).select(F.lit("again zzzz").alias("text"), F.lit("en").alias("lang"))
+    rare = spark.range(10).select(F.lit("qqqq").alias("text"), F.lit("xx").alias("lang")).union(
+        spark.createDataFrame([("wwww", "xx"), ("vvvv", "xx")], "text string, lang string"))
+    langs, table = language.fit_text_model(common.union(copies).union(rare), max_rows=100)
+    assert langs == ["en", "xx"]
+
+    def seen(word, lang):  # how often its middle trigram was counted
+        column = np.exp(table[:, langs.index(lang)])
+        return round(0.5 * column[language.trigrams(pa.array([word]))[0][1]] / column.min() - 0.5)
+
+    assert [seen(w, "xx") for w in ("qqqq", "wwww", "vvvv")] == [2, 2, 2]  # once each, with two equal trigrams
+    assert seen("zzzz", "en") <= 2 and 50 <= seen("com", "en") <= 150
+    assert language._bound([3, 3000], 100) == 97 and language._bound([3, 5], 100) >= 5
