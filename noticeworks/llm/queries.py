@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import decontaminate, exact_dedup, katz, language, line_dedup, ngram_join, ordinal, pieces, preference, ring_sharding
+from noticeworks.llm import decontaminate, exact_dedup, katz, language, line_dedup, ngram_join, ordinal, pieces, preference, ring_sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,6 +93,10 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(docs, pieces.Vocabulary.load(PIECE_MODEL), check=True).drop("text")
 
 
+#: The vocabulary whose tokens are counted, and the number of tokens that fit a context.
+COUNTED_VOCABULARY, TOKEN_LIMIT = "word_bpe_49k.json", 2048
+
+
 @_query("op6_preference", """
 with t as (select conv_id as pair_id, turn, role, text from conversations),
 m as (select *, max(turn) over (partition by pair_id) as last_turn from t),
@@ -141,3 +145,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return language.identify(docs, language.fit_text_model(docs), declared=F.col("lang"), host=F.col("source")).select(
         F.col("id").alias("doc_id"), "declared", "language", "confidence", "by_text", "accepted")
+
+
+@_query("op13_token_counts")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(COUNTED_VOCABULARY), encoding="utf-8") as file:
+        spec = file.read()
+    return token_counts.token_counts(_table(spark, folder, "documents"), spec).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
