@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import decontaminate, exact_dedup, katz, language, line_dedup, ngram_join, ordinal, pieces, preference, ring_sharding, token_counts
+from noticeworks.llm import decontaminate, exact_dedup, katz, language, line_dedup, ngram_join, ordinal, periodic_runs, pieces, preference, ring_sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,6 +147,66 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"), "declared", "language", "confidence", "by_text", "accepted")
 
 
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """Texts of one row in ten repeat some of their words up to the end.
+
+    With h = crc32 of the id and g = floor(h / 10) these are rows with h % 10 = 0; from word
+    a = g % n on, word i becomes word a + (i - a) % p, p = 1 + floor((n - a) / (3 + g % 8)).
+    """
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    planted = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g")).select(
+        "*", F.size("w").alias("n"), (F.col("g") % F.size("w")).cast("int").alias("a")).select(
+        "*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p"))
+    period = F.slice("w", F.col("a") + 1, F.least("p", F.col("n") - F.col("a")))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), 1, F.col("n") - F.col("a"))
+    text = F.array_join(F.concat(F.slice("w", 1, F.col("a")), tail), " ")
+    return planted.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@_query("op11_periodic_runs", """
+with c as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w,
+         xor(4294967295, list_reduce(
+           flatten(list_transform(string_split(doc_id::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda crc, x: case when x >= 0 then xor(crc, x) when crc % 2 = 1 then xor(crc // 2, 3988292384) else crc // 2 end,
+           4294967295::bigint)) as h
+  from documents),
+n as (select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as planted, h // 10 as g, (h // 10) % greatest(len(w), 1) as a from c),
+p as (select *, 1 + (n - a) // (3 + g % 8) as p from n),
+d as (
+  select doc_id, n, case when planted then list_transform(range(0, n), lambda i: case when i < a then w[i + 1] else w[a + (i - a) % p + 1] end)
+                    else w end as words from p),
+g as (
+  select doc_id, unnest(range(0, n - 5)) as i, unnest(list_transform(range(0, n - 5), lambda i: array_to_string(words[i + 1:i + 6], ' '))) as gram
+  from d),
+m as (select x.doc_id, x.i, y.i - x.i as period from g x join g y on x.doc_id = y.doc_id and x.gram = y.gram and x.i < y.i),
+s as (select *, i - row_number() over (partition by doc_id, period order by i) as island from m),
+stretches as (select doc_id, min(i) as start, count(*) + 5 + period as length, period from s group by doc_id, period, island),
+runs as (
+  select doc_id, start, length, min(period) as period from stretches where length >= greatest(12, 2 * period) group by doc_id, start, length),
+r as (
+  select doc_id, count(*) as n_runs, list([start, length, period] order by length desc, start, period)[1] as best,
+         list([start + period, start + length]) as repeats,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as listed
+  from runs group by doc_id)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, best[1] as start, best[2] as length, best[3] as period,
+       1000 * best[2] // best[3] as exponent_milli, sha256(coalesce(listed, '')) as runs_sha256,
+       sha256(array_to_string(case when n_runs is null then words else list_filter(words, lambda x, i:
+         len(list_filter(repeats, lambda q: i - 1 >= q[1] and i - 1 < q[2])) = 0) end, ' ')) as collapsed_sha256
+from d left join r using (doc_id)""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_period(_table(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["start"]).alias("start"), best["length"].alias("length"),
+        (-best["period"]).alias("period"), F.floor(1000 * best["length"] / -best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @_query("op13_token_counts")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
