@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -14,13 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from noticeworks.llm.batches import row_sums, word_slices
+from noticeworks.llm.batches import Words, row_sums, word_slices
 from noticeworks.llm.common import stored
 
-#: Bytes of text whose distinct pre-tokens are looked up together; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
-#: Words whose pre-tokens are remembered from slice to slice, and words cut in one call.
-REMEMBERED, TOGETHER = 1 << 19, 256
+#: Bytes of text that are cut together; a longer text is a slice of its own.
+SLICE_BYTES = 3 << 20
+#: Distinct words after which a task begins a new block of slices, and words cut in one call.
+BLOCK_WORDS, TOGETHER = 1 << 19, 256
 #: Stands before the string of a special token, which is one token; no pre-token has it.
 SPECIAL = "\0"
 
@@ -37,19 +38,16 @@ class PreTokens:
             raise ValueError("an added token depends on what stands around it")
         contents = sorted((a.content for a in added), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, contents)) + ")") if contents else None
-        self.known: dict[str, list[str]] = {}
         if self._plain(" Ab\n \t's\r9. ") != [p for w in ("Ab", "'s", "9.") for p in self._plain(w)]:
             raise ValueError("pre-tokens of this tokenizer depend on the white space around words")
 
     def of(self, words: list[str]) -> list[list[str]]:
         """Pre-tokens of each word, special tokens in it with ``SPECIAL`` before them."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for first in range(0, len(new), TOGETHER):
-            part = new[first:first + TOGETHER]
-            self.known.update(zip(part, self._together(part) or map(self._one, part)))
-        return [self.known[w] for w in words]
+        found = []
+        for first in range(0, len(words), TOGETHER):
+            part = words[first:first + TOGETHER]
+            found += self._together(part) or [self._one(w) for w in part]
+        return found
 
     def _together(self, words: list[str]) -> list[list[str]] | None:
         """Pre-tokens of words cut in one go; None where the library does not tell the words apart."""
@@ -88,35 +86,46 @@ def _cutter(spec: str) -> PreTokens:
     return PreTokens(spec)
 
 
-def _frequencies(spec: str, schema: pa.Schema):
-    """One row per slice: ids and bytes of its texts, its distinct pre-tokens, how often each text has each."""
+def _frequencies(spec: str, schema: pa.Schema, block_words: int):
+    """One row per slice: its texts, and how often each has each pre-token; one row per block: its distinct pre-tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, number = _cutter(spec), TaskContext.get().partitionId() << 32
+        cut, block = _cutter(spec), TaskContext.get().partitionId() << 32
+        names: dict[str, int] = {}
+        known: dict[str, list[int]] = {}
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch["text"]), 0)
+            sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).cast(pa.int64())
             for w in word_slices(batch["text"], lower=lambda t: t, limit=SLICE_BYTES):
+                words = w.words.to_pylist()
+                new = [x for x in words if x not in known]
+                known.update((x, [names.setdefault(p, len(names)) for p in found]) for x, found in zip(new, cut.of(new)))
+                row, piece, times = _counted(w, [known[x] for x in words], len(names))
                 rows = w.last - w.first
-                names: dict[str, int] = {}
-                parts = [[names.setdefault(p, len(names)) for p in found] for found in cut.of(w.words.to_pylist())]
-                ends = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)]).astype(np.int64)
-                flat = np.fromiter((p for part in parts for p in part), dtype=np.int64, count=ends[-1])
-                row = np.repeat(np.arange(rows), np.diff(w.offsets))
-                each, times = np.unique(row * max(1, len(parts)) + w.codes, return_counts=True)
-                row, word = np.divmod(each, max(1, len(parts)))
-                row, piece, times = _spread(row, word, times, ends, flat)
-                each, place = np.unique(row * max(1, len(names)) + piece, return_inverse=True)
-                row, piece = np.divmod(each, max(1, len(names)))
-                times = np.bincount(place, weights=times, minlength=len(each)).astype(np.int32)
-                offsets = np.searchsorted(row, np.arange(rows + 1)).astype(np.int64)
-                number += 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([number], pa.int64()), _one_list(batch["doc_id"].slice(w.first, rows)),
-                    _one_list(sizes.slice(w.first, rows).cast(pa.int64())), pa.array([list(names)], pa.list_(pa.string())),
-                    pa.array([offsets.tobytes()], pa.binary()), pa.array([_packed(piece.astype(np.int32))], pa.binary()),
-                    pa.array([_packed(times)], pa.binary())], schema=schema)
+                yield _row(schema, block=pa.array([block]), ids=_one_list(batch["doc_id"].slice(w.first, rows)),
+                           n_bytes=_one_list(sizes.slice(w.first, rows)), per_text=pa.array([_packed(np.bincount(row, minlength=rows))]),
+                           steps=pa.array([_packed(np.diff(piece, prepend=0))]), times=pa.array([_packed(times)]))
+                if len(known) >= block_words:
+                    yield _row(schema, block=pa.array([block]), pre_tokens=pa.array([list(names)], pa.list_(pa.string())))
+                    names, known, block = {}, {}, block + 1
+        yield _row(schema, block=pa.array([block]), pre_tokens=pa.array([list(names)], pa.list_(pa.string())))
     return run
 
 
+def _row(schema: pa.Schema, **columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(1, f.type) for f in schema], schema=schema)
+
+
+def _counted(w: Words, parts: list[list[int]], names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, pre-token and how often the text has it, sorted by text and pre-token."""
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int64)
+    flat = np.fromiter(itertools.chain.from_iterable(parts), dtype=np.int64, count=ends[-1])
+    row = np.repeat(np.arange(w.last - w.first), np.diff(w.offsets))
+    each, times = np.unique(row * max(1, len(parts)) + w.codes, return_counts=True)
+    row, word = np.divmod(each, max(1, len(parts)))
+    row, piece, times = _spread(row, word, times, ends, flat)
+    each, place = np.unique(row * max(1, names) + piece, return_inverse=True)
+    return *np.divmod(each, max(1, names)), np.bincount(place, weights=times, minlength=len(each)).astype(np.int64)
+
+
 def _spread(row, word, times, ends, flat):
     """Every (row, word, times) as (row, pre-token, times)."""
     count = np.diff(ends)[word] if len(word) else np.zeros(0, dtype=np.int64)
@@ -129,12 +138,15 @@ def _one_list(values: pa.Array) -> pa.Array:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(values.tobytes(), asbytes=True)
+    """32-bit numbers, first bytes first: small numbers leave long stretches of zeros."""
+    planes = np.ascontiguousarray(values.astype(np.int32).view(np.uint8).reshape(-1, 4).T)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     n = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * 4, asbytes=True), dtype=np.int32)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * 4, asbytes=True), dtype=np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel().astype(np.int64)
 
 
 def _sizes(spec: str):
@@ -147,16 +159,19 @@ def _sizes(spec: str):
 
 
 def _sums(texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """The sums of a slice's texts; the answers are the sizes of its pre-tokens, in any order."""
+    """The sums of the texts of a block; the answers are the sizes of its pre-tokens, in any order."""
     sizes = np.zeros(answers.num_rows, dtype=np.int64)
     sizes[answers["place"].to_numpy()] = answers["size"].to_numpy()
-    offsets = np.frombuffer(texts["offsets"][0].as_py(), dtype=np.int64)
-    products = sizes[_unpacked(texts["piece"][0].as_py())] * _unpacked(texts["times"][0].as_py())
-    ids, n_bytes = (texts[c].combine_chunks().flatten() for c in ("ids", "n_bytes"))
-    return pa.table({"doc_id": ids, "n_bytes": n_bytes, "n_tokens": row_sums(products, offsets)})
+    parts = [(pa.array([], texts.schema.field("ids").type.value_type), pa.array([], pa.int64()), np.zeros(0, dtype=np.int64))]
+    for slice_ in texts.to_batches(max_chunksize=1):
+        products = sizes[np.cumsum(_unpacked(slice_["steps"][0].as_py()))] * _unpacked(slice_["times"][0].as_py())
+        ends = np.concatenate([[0], np.cumsum(_unpacked(slice_["per_text"][0].as_py()))])
+        parts.append((slice_["ids"].flatten(), slice_["n_bytes"].flatten(), row_sums(products, ends)))
+    ids, n_bytes, n_tokens = zip(*parts)
+    return pa.table({"doc_id": pa.chunked_array(ids), "n_bytes": pa.chunked_array(n_bytes), "n_tokens": np.concatenate(n_tokens)})
 
 
-def token_counts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every row with the bytes and tokens of its text: ``doc_id, n_bytes, n_tokens``.
 
     ``spec`` is what a ``.json`` file of the ``tokenizers`` library holds. Counts are those of
@@ -168,26 +183,27 @@ def token_counts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: s
     id, are counted one by one. Other columns, whatever their names, are not read; an empty
     table gives an empty one.
 
-    1. Texts are cut into slices. Of every slice its distinct pre-tokens are stored, and how often
-       each text has each of them; a word is cut once per slice at most.
-    2. The distinct pre-tokens of all slices are encoded once, for their number of pieces only.
-    3. The numbers go back to the slices by a join on the pre-token, and are summed per text as
-       frequency times number. A frequent pre-token is one row per slice.
+    1. Texts are cut into slices. For every slice it is stored how often each text has each
+       pre-token; for the slices of a task together, a block, their distinct pre-tokens.
+    2. The distinct pre-tokens of all blocks are encoded once, for their number of pieces only.
+    3. The numbers go back to the blocks by a join on the pre-token, and are summed per text as
+       frequency times number. A frequent pre-token is one row per block.
 
-    A task holds one slice: 8 MB of text, or one text that is longer.
+    A task cuts 3 MB of text at a time, or one text that is longer. A block ends with its partition
+    or after ``block_words`` distinct words.
     """
     id_type = docs.schema[id_col].dataType
     arrow = pa.schema([
-        ("slice", pa.int64()), ("ids", pa.list_(to_arrow_type(id_type))), ("n_bytes", pa.list_(pa.int64())), ("pre_tokens", pa.list_(pa.string())),
-        ("offsets", pa.binary()), ("piece", pa.binary()), ("times", pa.binary())])
+        ("block", pa.int64()), ("pre_tokens", pa.list_(pa.string())), ("ids", pa.list_(to_arrow_type(id_type))), ("n_bytes", pa.list_(pa.int64())),
+        ("per_text", pa.binary()), ("steps", pa.binary()), ("times", pa.binary())])
     named = id_type.simpleString()
-    slices = stored(
+    blocks = stored(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-            _frequencies(spec, arrow),
-            f"slice long, ids array<{named}>, n_bytes array<long>, pre_tokens array<string>, offsets binary, piece binary, times binary"),
+            _frequencies(spec, arrow, block_words),
+            f"block long, pre_tokens array<string>, ids array<{named}>, n_bytes array<long>, per_text binary, steps binary, times binary"),
         "token-frequencies")
-    asked = slices.select(F.col("slice").alias("asks"), F.posexplode("pre_tokens").alias("place", "pre_token"))
+    asked = blocks.select(F.col("block").alias("asks"), F.posexplode("pre_tokens").alias("place", "pre_token"))
     sizes = asked.select("pre_token").distinct().mapInArrow(_sizes(spec), "pre_token string, size long")
     answers = asked.join(sizes, "pre_token").select("asks", "place", "size")
-    return slices.drop("pre_tokens").groupBy("slice").cogroup(answers.groupBy("asks")).applyInArrow(
-        _sums, f"doc_id {named}, n_bytes long, n_tokens long")
+    texts = blocks.where("pre_tokens is null").drop("pre_tokens")
+    return texts.groupBy("block").cogroup(answers.groupBy("asks")).applyInArrow(_sums, f"doc_id {named}, n_bytes long, n_tokens long")

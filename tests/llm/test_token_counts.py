@@ -50,10 +50,10 @@ def test_shared_odd_table_and_other_id_types(spark):
     assert got.dtypes[0] == ("doc_id", "string") and sorted(got.collect(), key=repr) == sorted([("x", 5, 3), (None, 0, 0)], key=repr)
 
 
-def test_slices_do_not_matter(spark):
+def test_slices_and_blocks_do_not_matter(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = sorted(map(tuple, tc.token_counts(docs, SPEC).collect()))
-    spread = tc.token_counts(docs.repartition(13, "doc_id"), SPEC)
+    spread = tc.token_counts(docs.repartition(13, "doc_id"), SPEC, block_words=1)
     assert sorted(map(tuple, spread.collect())) == want
 
 
