@@ -150,11 +150,16 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _sizes(spec: str):
+    """The sizes of pre-tokens that come sorted; each is encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = _cutter(spec)
+        cut, last = _cutter(spec), (None, 0)
         for batch in batches:
+            coded = batch["pre_token"].dictionary_encode()
+            sizes = [last[1] if p == last[0] else cut.size(p) for p in coded.dictionary.to_pylist()]
+            if sizes:
+                last = coded.dictionary[-1].as_py(), sizes[-1]
             yield pa.RecordBatch.from_arrays(
-                [batch["pre_token"], pa.array([cut.size(p) for p in batch["pre_token"].to_pylist()], pa.int64())], ["pre_token", "size"])
+                [batch["asks"], batch["place"], pa.array(sizes, pa.int32()).take(coded.indices)], ["asks", "place", "size"])
     return run
 
 
@@ -185,9 +190,10 @@ def token_counts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: s
 
     1. Texts are cut into slices. For every slice it is stored how often each text has each
        pre-token; for the slices of a task together, a block, their distinct pre-tokens.
-    2. The distinct pre-tokens of all blocks are encoded once, for their number of pieces only.
-    3. The numbers go back to the blocks by a join on the pre-token, and are summed per text as
-       frequency times number. A frequent pre-token is one row per block.
+    2. The pre-tokens of all blocks meet, equal ones side by side, and each is encoded once, for
+       its number of pieces only. A frequent pre-token is one row per block.
+    3. The numbers are joined to the frequencies of their block, and summed per text as frequency
+       times number.
 
     A task cuts 3 MB of text at a time, or one text that is longer. A block ends with its partition
     or after ``block_words`` distinct words.
@@ -203,7 +209,6 @@ def token_counts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: s
             f"block long, pre_tokens array<string>, ids array<{named}>, n_bytes array<long>, per_text binary, steps binary, times binary"),
         "token-frequencies")
     asked = blocks.select(F.col("block").alias("asks"), F.posexplode("pre_tokens").alias("place", "pre_token"))
-    sizes = asked.select("pre_token").distinct().mapInArrow(_sizes(spec), "pre_token string, size long")
-    answers = asked.join(sizes, "pre_token").select("asks", "place", "size")
+    answers = asked.repartition("pre_token").sortWithinPartitions("pre_token").mapInArrow(_sizes(spec), "asks long, place int, size int")
     texts = blocks.where("pre_tokens is null").drop("pre_tokens")
     return texts.groupBy("block").cogroup(answers.groupBy("asks")).applyInArrow(_sums, f"doc_id {named}, n_bytes long, n_tokens long")
