@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import decontaminate, exact_dedup, katz, language, line_dedup, ngram_join, ordinal, periodic_runs, pieces, preference, ring_sharding, token_counts
+from noticeworks.llm import collocations, decontaminate, exact_dedup, katz, language, line_dedup, ngram_join, ordinal, periodic_runs, pieces, preference, ring_sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,6 +207,33 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@_query("op12_collocations", f"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), {A_Z}), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+w as (select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as words from p),
+g as (select lang, k, words, unnest(range(1, len(words) - k + 2)) as i from w, range(1, 6) as t(k)),
+f as (select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase, count(*) as c from g group by all),
+n as (select lang, sum(c)::hugeint as n from f where k = 1 group by lang),
+often as (select * from f where k > 1 and c >= 100),
+inside as (
+  select distinct s.lang, s.phrase from often s join often l
+  on s.lang = l.lang and s.k < l.k and 100 * l.c >= 100 * s.c and contains(' ' || l.phrase || ' ', ' ' || s.phrase || ' ')),
+cuts as (
+  select lang, phrase, c as a, unnest(range(1, k)) as cut, string_split(phrase, ' ') as words
+  from often anti join inside using (lang, phrase)),
+scored as (
+  select x.lang, x.phrase, x.a, x.cut, l.c as l, r.c as r, n.n, (1000 * x.a::hugeint * n.n) // (l.c::hugeint * r.c) as score
+  from cuts x join n using (lang)
+  join f l on l.lang = x.lang and l.phrase = array_to_string(words[:cut], ' ')
+  join f r on r.lang = x.lang and r.phrase = array_to_string(words[cut + 1:], ' ')),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n::bigint as n, score::bigint as score
+from best qualify rank <= 2000""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"), threshold=100, percent=100, top=2000)
+
+
 @_query("op13_token_counts")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
