@@ -65,6 +65,15 @@ class Bits(NamedTuple):
     def empty(cls, log2: int) -> Bits:
         return cls(np.zeros(1 << max(0, log2 - 3), dtype=np.uint8), log2)
 
+    def packed(self) -> bytes:
+        """Compressed: a few bytes for each key while keys are few."""
+        return pa.Codec("zstd").compress(self.bits.tobytes(), asbytes=True)
+
+    @classmethod
+    def unpacked(cls, data: bytes, log2: int) -> Bits:
+        size = len(cls.empty(log2).bits)
+        return cls(np.frombuffer(pa.Codec("zstd").decompress(data, size, asbytes=True), dtype=np.uint8), log2)
+
     def holds(self, keys: np.ndarray) -> np.ndarray:
         place = keys >> np.uint64(64 - self.log2)
         return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 != 0
@@ -151,8 +160,9 @@ def _counted(now: Broadcast, before: Broadcast, log2: int, longest: int):
             return keys, np.bincount(place, weights=np.concatenate(held[1]), minlength=len(keys)).astype(np.int64)
 
         waiting = 0
+        reached, earlier = Bits.unpacked(now.value, log2), Bits.unpacked(before.value, log2)
         for codes, keys in _blobs(batches):
-            found = [key[~old] for key, _, _, old in _active(codes, keys, Bits(now.value, log2), Bits(before.value, log2), longest)]
+            found = [key[~old] for key, _, _, old in _active(codes, keys, reached, earlier, longest)]
             key, count = np.unique(np.concatenate(found), return_counts=True)
             held[0].append(key)
             held[1].append(count)
@@ -168,9 +178,9 @@ def _traced(now: Broadcast, wanted: Broadcast, log2: int, longest: int):
     """The prefixes and suffixes of the phrases whose keys are wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.zeros(0, dtype=np.uint64)
-        reached = Bits(now.value, log2)
+        reached, traced = Bits.unpacked(now.value, log2), Bits.unpacked(wanted.value, log2)
         for codes, keys in _blobs(batches):
-            found = [np.stack([key, prefix, suffix])[:, Bits(wanted.value, log2).holds(key)]
+            found = [np.stack([key, prefix, suffix])[:, traced.holds(key)]
                      for key, prefix, suffix, _ in _active(codes, keys, reached, reached, longest)]
             key, prefix, suffix = np.concatenate(found, axis=1)
             key, at = np.unique(key, return_index=True)
@@ -196,7 +206,7 @@ def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int,
 
     def bits(step: int) -> Broadcast:
         if step not in sent:
-            sent[step] = spark.sparkContext.broadcast(history[step].bits)
+            sent[step] = spark.sparkContext.broadcast(history[step].packed())
         return sent[step]
 
     step = 0
@@ -221,10 +231,12 @@ def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int,
         complete.append(merged.where(often & (F.col("first") == step - shards + 1)))
         open_ = merged.where(F.col("first") > step - shards + 1)
         step += 1
+        if step > shards and step - shards - 1 in sent:
+            sent.pop(step - shards - 1).unpersist()
     complete.append(open_.where(F.col("count") >= threshold))
     found = stored(functools.reduce(DataFrame.unionByName, complete).where(
         F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1) > 1).select("key", "count", "first"), "phrase-frequent")
-    wanted = spark.sparkContext.broadcast(Bits.empty(log2).plus(found).bits)
+    wanted = spark.sparkContext.broadcast(Bits.empty(log2).plus(found).packed())
     traced = tokens.select("keys", "codes", "places").mapInArrow(
         _traced(bits(step), wanted, log2, longest), "key long, prefix long, suffix long").groupBy("key").agg(
         F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"))
