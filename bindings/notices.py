@@ -14,7 +14,7 @@ from bindings.sqltext import (
 )
 from noticeworks import config
 from noticeworks.functions import html, records, urls
-from noticeworks.operators import boards, curation, discovery, loading, matching, quality, shaping
+from noticeworks.operators import boards, curation, discovery, keyed_tables, loading, matching, quality, shaping
 from noticeworks.plans import cross_match
 from noticeworks.session import shared_folder
 
@@ -639,8 +639,21 @@ def _(s, d):
     return curation.plan_duplicate_fix(unique_names(s, d), reference_names(s, d))
 
 
-@query("apply_fix_plan", f"WITH {_DUP} SELECT x.id, coalesce(ren.new_name, x.name) AS name, x.approved FROM x LEFT JOIN ren ON ren.id = x.id WHERE x.id NOT IN (SELECT id FROM del)")
+_FIXED = f"WITH {_DUP} SELECT x.id, coalesce(ren.new_name, x.name) AS name, x.approved FROM x LEFT JOIN ren ON ren.id = x.id WHERE x.id NOT IN (SELECT id FROM del)"
+
+
+@query("apply_fix_plan", _FIXED)
 def _(s, d):
     configs, ref = unique_names(s, d), reference_names(s, d)
     deletions = curation.plan_duplicate_deletions(configs, ref)
     return loading.apply_fix_plan(configs, deletions, curation.plan_renames(configs, ref, deletions))
+
+
+@query("apply_fix_plan_keyed", _FIXED)
+def _(s, d):
+    """The same plan on a stored table: buckets without a planned id stay as they are."""
+    configs, ref = unique_names(s, d), reference_names(s, d)
+    deletions = curation.plan_duplicate_deletions(configs, ref)
+    stored = keyed_tables.create(configs, f"{shared_folder(s)}/configs-{uuid.uuid4().hex}", ["id"], 16)
+    keyed_tables.apply_fix_plan(stored, deletions, curation.plan_renames(configs, ref, deletions))
+    return stored.read()

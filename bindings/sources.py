@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from noticeworks import config
 from noticeworks.functions import html, names, urls
 from noticeworks.operators import boards, shaping
 from noticeworks.plans import daily_run
+from noticeworks.session import shared_folder
 from noticeworks.sources import scans
+from noticeworks.streaming import page_changes
 
 PAGE_TERMS = ("the", "and", "tion", "que", "en", "der")
 LINK_SELECTOR = "a[href*='tion'], a[href*='the']"
@@ -319,6 +322,31 @@ def _(s, d):
     return shaping.unchanged_page_filter(*flagged_documents(s, d)).select("source", "url", "content_hash")
 
 
+_STREAMED = f"""
+    v AS (SELECT source, doc_id AS url, lang <> 'de' AS verified, CASE WHEN octet_length(encode(text)) >= 500 THEN text END AS content FROM documents),
+    r AS (SELECT source, url, verified, 1 AS run, {hash16('content')} AS content_hash FROM v
+      UNION ALL SELECT source, url, verified, 2, {hash16("CASE WHEN url % 3 = 0 THEN content || '!' ELSE content END")} FROM v WHERE url % 5 > 0
+      UNION ALL SELECT source, url, verified, 3, {hash16("CASE WHEN url % 3 = 0 THEN content || '!' ELSE content END")} FROM v)"""
+
+
+@query("changed_pages_stream", f"""
+    WITH {_STREAMED} SELECT r.source, CAST(r.url AS VARCHAR) AS url, r.content_hash, CAST(r.run AS BIGINT) AS run FROM r
+    LEFT JOIN r AS before ON before.source = r.source AND before.url = r.url AND before.run = r.run - 1
+    WHERE NOT coalesce(r.verified AND before.content_hash = r.content_hash, false)""")
+def _(s, d):
+    """Three runs over the documents arrive one after another, the second without every fifth page."""
+    docs = table(s, d, "documents")
+    v = docs.select("source", "doc_id", (F.col("lang") != "de").alias("verified"), F.when(F.octet_length("text") >= 500, F.col("text")).alias("content"))
+    later = F.when(F.col("doc_id") % 3 == 0, F.concat("content", F.lit("!"))).otherwise(F.col("content"))
+    folder = f"{shared_folder(s)}/page-stream-{uuid.uuid4().hex}"
+    for run, rows, content in ((1, v, F.col("content")), (2, v.where(F.col("doc_id") % 5 > 0), later), (3, v, later)):
+        rows.select("source", F.col("doc_id").cast("string").alias("url"), "verified", html.content_hash(content).alias("content_hash"),
+                    F.lit(run).cast("long").alias("run")).write.mode("append").parquet(f"{folder}/in")
+        stream = s.readStream.schema(page_changes.PAGES).parquet(f"{folder}/in")
+        page_changes.start_changes(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return s.read.schema(page_changes.CHANGED).parquet(f"{folder}/out")
+
+
 @query("source_status", f"""
     WITH {_FLAGGED} SELECT source, count(*) FILTER (WHERE skipped) AS skipped_pages, count(*) FILTER (WHERE NOT skipped) AS read_pages,
       CASE WHEN bool_and(skipped) THEN 'unchanged' ELSE 'changed' END AS status FROM flagged GROUP BY source""")

@@ -12,7 +12,8 @@ from bindings.registry import query
 from bindings.sources import tenders
 from bindings.sqltext import ascii_name, letters, normal_place, rx, sanitized, stripped_place
 from noticeworks import config
-from noticeworks.operators import loading, lookups, ordering
+from noticeworks.functions import records
+from noticeworks.operators import archive, keyed_tables, loading, lookups, observed, ordering, shaping
 from noticeworks.plans import cross_match, daily_run
 from noticeworks.session import shared_folder
 
@@ -201,6 +202,47 @@ def _(s, d):
     return loading.insert_counts(*inserted(s, d), "place")
 
 
+@query("insert_in_one_pass", f"WITH {_LOADS} {_WITH_ID} UNION ALL {_NO_ID}")
+def _(s, d):
+    target, batch = loads(s, d)
+    return loading.insert_in_one_pass(
+        target, batch, ["place", "case_number"], ["arrival"], "case_number", ["place", "address", "source_url"]).select("arrival", "place", "case_number")
+
+
+_CHECKED = """c AS (SELECT *, source_url IS NULL AS no_url, created_at >= TIMESTAMP '2000-01-01' AND page_hash IS NULL AS no_hash,
+      nullif(permit_type, '') IS NULL AS no_type FROM batch)"""
+
+
+@query("observed_load_counts", f"""
+    WITH {_LOADS}, {_CHECKED}, ok AS (SELECT * FROM c WHERE NOT (no_url OR no_hash OR no_type)),
+    ins AS ({_WITH_ID.replace("FROM batch b", "FROM ok b")} UNION ALL {_NO_ID.replace("FROM batch b", "FROM ok b")})
+    SELECT unnest(['offered', 'storable', 'missing_identifier', 'missing_source_url', 'missing_page_hash', 'inserted', 'skipped']) AS name,
+      unnest([(SELECT count(*) FROM c), (SELECT count(*) FROM ok), (SELECT count(*) FROM c WHERE no_type), (SELECT count(*) FROM c WHERE no_url),
+        (SELECT count(*) FROM c WHERE no_hash), (SELECT count(*) FROM ins), (SELECT count(*) FROM ok) - (SELECT count(*) FROM ins)]) AS records""")
+def _(s, d):
+    """What a load offered, dropped by reason, stored and skipped, counted by the job that writes the new rows."""
+    target, batch = loads(s, d)
+    checked = shaping.require_technical_fields(batch, "permit_type", "created_at", date(2000, 1, 1))
+    load = observed.observed_load(checked, target, "case_number", ["place", "case_number"], ["place", "address", "source_url"], ["arrival"])
+    loading.append(load.to_append, f"{shared_folder(s)}/load-{uuid.uuid4().hex}")
+    return s.createDataFrame(list(load.counts().items()), "name string, records long")
+
+
+@query("tender_counts", """
+    WITH r AS (SELECT * FROM d_tenders WHERE cpv IS NULL OR substring(cpv, 1, 2) IN ('45', '71', '44')),
+    known AS (SELECT DISTINCT number FROM d_tenders WHERE organization_id % 3 = 0)
+    SELECT unnest(['fetched', 'relevant', 'inserted']) AS name,
+      unnest([(SELECT count(*) FROM d_tenders), (SELECT count(*) FROM r),
+        (SELECT count(DISTINCT number) FROM r WHERE number NOT IN (SELECT number FROM known)) + (SELECT count(*) FROM r WHERE number IS NULL)]) AS records""")
+def _(s, d):
+    """Tenders of a run: fetched, relevant by their codes, and new to the stored ones; counted by the job that writes."""
+    t = tenders(s, d).select("organization_id", "number", "cpv")
+    known = t.where(F.col("organization_id") % 3 == 0)
+    run = observed.observed_relevant(t, records.relevant_cpv(F.col("cpv")), known, ["number"], ["organization_id"])
+    loading.append(run.rows, f"{shared_folder(s)}/tenders-{uuid.uuid4().hex}")
+    return s.createDataFrame(list(run.counts().items()), "name string, records long")
+
+
 _RUN = """run AS (SELECT arrival, created_at, place AS organization_name, CASE WHEN arrival % 11 > 0 THEN arrival % 3 END AS organization_id,
       'Projekt ' || permit_type AS title, CASE status WHEN 'beviljat' THEN 'planned' WHEN 'ansökt' THEN 'rumor' ELSE 'tender' END AS maturity,
       amount_sek * 100 AS amount_sek, source_url, date AS source_date, page_hash FROM d_records)"""
@@ -235,38 +277,90 @@ def _(s, d):
     return daily_run.load(found, target, None, pages, hashes, config.PROJECT_PAGES, "m", datetime(2000, 1, 1)).to_append
 
 
-@query("store_signals", f"""
+_STORE_SIGNALS = f"""
     WITH {_RUN}, ranked AS (SELECT *, created_at >= TIMESTAMP '1999-01-01' AS fresh, row_number() OVER (PARTITION BY organization_id, source_url, title,
       created_at >= TIMESTAMP '1999-01-01' ORDER BY source_date DESC, arrival DESC) AS n FROM run WHERE organization_id IS NOT NULL AND source_url IS NOT NULL AND title IS NOT NULL),
     stored AS (SELECT * FROM ranked WHERE NOT fresh AND n = 1), new AS (SELECT * FROM ranked WHERE fresh AND n = 1)
     SELECT organization_id, source_url, title, coalesce(new.arrival, stored.arrival) AS arrival, CASE WHEN new.arrival IS NULL THEN stored.maturity ELSE new.maturity END AS maturity
       FROM stored FULL JOIN new USING (organization_id, source_url, title)
     UNION ALL SELECT organization_id, source_url, title, arrival, maturity FROM run
-      WHERE organization_id IS NULL OR source_url IS NULL OR title IS NULL""")
-def _(s, d):
+      WHERE organization_id IS NULL OR source_url IS NULL OR title IS NULL"""
+
+
+def signals_to_store(s, d):
     """What was known before is unique by its key, what arrives is not."""
     target, found = signal_run(s, d)
     key = list(cross_match.SIGNAL_KEY)
     complete = F.col("organization_id").isNotNull() & F.col("source_url").isNotNull() & F.col("title").isNotNull()
     columns = ["organization_id", "source_url", "title", "arrival", "maturity", "source_date"]
     known = ordering.first_wins(target.where(complete), key, [F.col("source_date").desc(), F.col("arrival").desc()])
-    stored = known.unionByName(target.where(~complete)).select(*columns)
-    return cross_match.store_signals(stored, found.select(*columns)).drop("source_date")
+    return known.unionByName(target.where(~complete)).select(*columns), found.select(*columns)
+
+
+@query("store_signals", _STORE_SIGNALS)
+def _(s, d):
+    return cross_match.store_signals(*signals_to_store(s, d)).drop("source_date")
+
 
+def laid_out(s, rows, key, buckets=16):
+    """A table laid out by its key in a folder of its own."""
+    return keyed_tables.create(rows, f"{shared_folder(s)}/keyed-{uuid.uuid4().hex}", key, buckets)
 
-@query("upsert_merge", f"""
+
+@query("store_signals_keyed", _STORE_SIGNALS)
+def _(s, d):
+    stored, found = signals_to_store(s, d)
+    signals = laid_out(s, stored, cross_match.SIGNAL_KEY)
+    cross_match.merge_signals(signals, found)
+    return signals.read().drop("source_date")
+
+
+_UPSERT = f"""
     WITH {_LOADS}, t1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place, case_number ORDER BY arrival) AS n FROM target WHERE case_number IS NOT NULL) WHERE n = 1),
     b1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place, case_number ORDER BY arrival DESC) AS n FROM batch WHERE case_number IS NOT NULL) WHERE n = 1)
     SELECT coalesce(b1.place, t1.place) AS place, coalesce(b1.case_number, t1.case_number) AS case_number,
       CASE WHEN b1.arrival IS NOT NULL THEN b1.address ELSE t1.address END AS address, coalesce(b1.arrival, t1.arrival) AS arrival, t1.description
     FROM t1 FULL JOIN b1 ON t1.place = b1.place AND t1.case_number = b1.case_number
     UNION ALL SELECT place, NULL, address, arrival, description FROM target WHERE case_number IS NULL
-    UNION ALL SELECT place, NULL, address, arrival, NULL FROM batch WHERE case_number IS NULL""")
-def _(s, d):
+    UNION ALL SELECT place, NULL, address, arrival, NULL FROM batch WHERE case_number IS NULL"""
+
+
+def merge_sides(s, d):
     target, batch = (f.select("place", "case_number", "address", "arrival", "description") for f in loads(s, d))
     full = F.col("case_number").isNotNull()
     stored = ordering.first_wins(target.where(full), ["place", "case_number"], [F.col("arrival")]).unionByName(target.where(~full))
-    return loading.upsert_merge(stored, batch.drop("description"), ["place", "case_number"], ["arrival"])
+    return stored, batch.drop("description")
+
+
+@query("upsert_merge", _UPSERT)
+def _(s, d):
+    return loading.upsert_merge(*merge_sides(s, d), ["place", "case_number"], ["arrival"])
+
+
+@query("upsert_merge_keyed", _UPSERT)
+def _(s, d):
+    """The same merge into a stored table, of which only the buckets of the batch's keys are read and swapped."""
+    stored, batch = merge_sides(s, d)
+    records = laid_out(s, stored, ["place", "case_number"])
+    keyed_tables.merge(records, batch, ["arrival"])
+    return records.read()
+
+
+@query("merge_touched_buckets", f"""
+    WITH {_LOADS} SELECT count(DISTINCT case_number) = 10 AS ten_keys, true AS others_untouched FROM (
+      SELECT case_number FROM batch WHERE case_number IS NOT NULL GROUP BY case_number ORDER BY min(arrival) LIMIT 10)""")
+def _(s, d):
+    """A merge of ten keys replaces the files of their buckets and leaves all others as they were."""
+    stored, batch = merge_sides(s, d)
+    records = laid_out(s, stored, ["place", "case_number"])
+    first = batch.where(F.col("case_number").isNotNull()).groupBy("case_number").agg(F.min("arrival").alias("at")).orderBy("at").limit(10)
+    few = batch.join(first.select("case_number"), "case_number")
+    before = records.files()
+    swapped = keyed_tables.merge(records, few, ["arrival"])
+    after = records.files()
+    kept = all(before[b] == after[b] for b in before if b not in swapped)
+    changed = all(not before.get(b, {}).keys() & after[b].keys() for b in swapped)
+    return few.agg((F.count_distinct("case_number") == 10).alias("ten_keys"), F.lit(kept and changed and 0 < len(swapped) <= 10).alias("others_untouched"))
 
 
 _HASHES = """run AS (SELECT source, doc_id AS url, CASE WHEN n_chars > 300 THEN substring(sha256(text), 1, 16) END AS content_hash
@@ -321,6 +415,16 @@ def _(s, d):
     return loading.update_by_key(p, new, "name", "homepage").select("name", "homepage")
 
 
+@query("update_by_key_keyed", """
+    SELECT name, CASE WHEN county = 'BUILDING' THEN 'https://new.example/' || place_id ELSE homepage END AS homepage FROM d_places""")
+def _(s, d):
+    p = frame(s, d, "d_places")
+    places = laid_out(s, p.select("name", "county", "homepage"), ["name"])
+    new = p.where(F.col("county") == "BUILDING").select("name", F.concat(F.lit("https://new.example/"), F.col("place_id").cast("string")).alias("homepage"))
+    keyed_tables.update(places, new, "homepage")
+    return places.read().select("name", "homepage")
+
+
 @query("unknown_keys", "SELECT DISTINCT municipality AS name FROM d_records WHERE municipality NOT IN (SELECT name FROM d_places)")
 def _(s, d):
     asked = frame(s, d, "d_records").select(F.col("municipality").alias("name")).distinct()
@@ -337,6 +441,44 @@ def _(s, d):
     return s.read.parquet(path).select("run_id", *rows.columns)
 
 
+# Three runs over the pages: as they are, with every fourth page changed, and without a further change.
+_RUNS = """r0 AS (SELECT 'page' AS kind, url AS source, CAST(page_id AS VARCHAR) AS name, CAST(0 AS BIGINT) AS part, html AS content FROM pages),
+    r1 AS (SELECT kind, source, name, part, CASE WHEN CAST(name AS BIGINT) % 4 = 0 THEN content || '<!-- new -->' ELSE content END AS content FROM r0),
+    w AS (SELECT 'row' AS kind, source, status AS name, event_id AS part, '{"source":"' || source || '","status":"' || status || '","event_id":' || event_id || '}' AS content
+      FROM d_results),
+    runs AS (SELECT 'r0' AS run_id, * FROM r0 UNION ALL SELECT 'r1', * FROM r1 UNION ALL SELECT 'r2', * FROM r1
+      UNION ALL SELECT run_id, w.* FROM w, (VALUES ('r0'), ('r1'), ('r2')) AS t(run_id))"""
+
+
+def archived(s, d):
+    path = f"{shared_folder(s)}/archive-{uuid.uuid4().hex}"
+    pages = table(s, d, "pages").select(F.col("url").alias("source"), F.col("page_id").alias("url"), F.col("html").alias("content"))
+    later = pages.withColumn("content", F.when(F.col("url") % 4 == 0, F.concat("content", F.lit("<!-- new -->"))).otherwise(F.col("content")))
+    rows = archive.row_items(frame(s, d, "d_results").select("source", "status", "event_id"), "source", "status", "event_id")
+    for run_id, read in (("r0", pages), ("r1", later), ("r2", later)):
+        archive.archive_run(archive.page_items(read).unionByName(rows), path, run_id)
+    return path
+
+
+@query("archive_rebuild", f"""
+    WITH {_RUNS} SELECT run_id, kind, source, name, part, sha256(content) AS content_sha256 FROM runs""")
+def _(s, d):
+    path = archived(s, d)
+    back = [archive.rebuild(s, path, r).select(F.lit(r).alias("run_id"), "kind", "source", "name", "part", F.sha2("content", 256).alias("content_sha256"))
+            for r in ("r0", "r1", "r2")]
+    return back[0].unionByName(back[1]).unionByName(back[2])
+
+
+@query("archive_run_sizes", f"""
+    WITH {_RUNS}, first AS (SELECT content, min(run_id) AS run_id FROM runs GROUP BY 1)
+    SELECT run_id, (SELECT count(*) FROM runs x WHERE x.run_id = r.run_id) AS items,
+      (SELECT count(*) FROM first f WHERE f.run_id = r.run_id) AS blobs_added,
+      coalesce((SELECT sum(octet_length(encode(content))) FROM first f WHERE f.run_id = r.run_id), 0) AS bytes_added
+    FROM (SELECT DISTINCT run_id FROM runs) r""")
+def _(s, d):
+    return archive.run_sizes(s, archived(s, d))
+
+
 # Ordering
 
 _DAILY = "daily AS (SELECT source, CAST(ts AS DATE) AS day, count(*) AS n FROM d_obs GROUP BY 1, 2)"

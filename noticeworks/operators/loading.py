@@ -63,6 +63,28 @@ def insert_records(target: DataFrame, batch: DataFrame, primary: str, key: Seque
     return new.unionByName(batch.where(open_))
 
 
+def insert_in_one_pass(target: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str],
+                       primary: str | None = None, dedup: Sequence[str] = ()) -> DataFrame:
+    """As ``insert_records``, or ``insert_ignore`` without ``primary``, with a single look at the batch.
+
+    Rows with a null in their key are told apart by all their columns instead of being set aside;
+    those that agree in every column, their place in the order included, are one row delivered twice.
+    """
+    named = F.col(primary).isNotNull() if primary else F.lit(True)
+    open_ = F.lit(False)
+    for k in key:
+        open_ = open_ | (named & F.col(k).isNull())
+
+    def keyed(df: DataFrame, apart: Column) -> DataFrame:
+        part = [F.when(named, F.col(k)).alias(f"k{i}") for i, k in enumerate(key)]
+        rest = [F.when(~named, F.col(c)).alias(f"d{i}") for i, c in enumerate(dedup)]
+        return df.withColumn("_key", F.struct(named.alias("named"), *part, *rest, apart.alias("apart")))
+
+    itself = F.to_json(F.struct(*batch.columns))
+    first = top_per_group(keyed(batch, F.when(open_, itself)), ["_key"], [F.col(c) for c in order], 1)
+    known = keyed(target.where(~open_), F.lit(None).cast("string")).select("_key").distinct()
+    return first.join(known, "_key", "left_anti").drop("_key")
+
 
 def insert_counts(batch: DataFrame, inserted: DataFrame, source: str) -> DataFrame:
     """Per source: rows offered, inserted and skipped."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.operators import boards, loading, lookups, matching
+from noticeworks.operators import boards, keyed_tables, loading, lookups, matching
 
 SIGNAL_KEY = ("organization_id", "source_url", "title")
 
@@ -28,3 +28,8 @@ def store_signals(stored: DataFrame, new: DataFrame) -> DataFrame:
     arrived last.
     """
     return loading.upsert_merge(stored, new, SIGNAL_KEY, ["source_date", "arrival"])
+
+
+def merge_signals(stored: keyed_tables.KeyedTable, new: DataFrame) -> list[int]:
+    """As ``store_signals``, into a table laid out by ``SIGNAL_KEY``: reads and swaps the touched buckets only."""
+    return keyed_tables.merge(stored, new, ["source_date", "arrival"])
