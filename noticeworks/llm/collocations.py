@@ -242,7 +242,7 @@ def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int,
         F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"))
     frequent = stored(found.join(traced, "key").select("key", "count", "prefix", "suffix", "first"), "phrase-parts")
     every = functools.reduce(DataFrame.unionByName, words).groupBy("lang", "word", "key").agg(F.sum("count").alias("count"))
-    return Phrases(every, frequent, step)
+    return Phrases(stored(every, "phrase-vocabulary"), frequent, step)
 
 
 def tokenized(docs: DataFrame, text_col: str, lang_col: str, shards: int) -> DataFrame:
@@ -285,9 +285,10 @@ def collocations(
         head = table.select(F.col("key").alias("prefix"), "lang", "words", "heads")
         tail = table.select(F.col("key").alias("suffix"), F.element_at("words", -1).alias("word"), "tails")
         of = counted.frequent.where(F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1) == length)
-        table = of.join(head, "prefix").join(tail, "suffix").select(
+        # Stored, as the next length and the result read it again.
+        table = stored(of.join(head, "prefix").join(tail, "suffix").select(
             "key", "lang", F.concat("words", F.array("word")).alias("words"),
-            F.concat("heads", F.array("count")).alias("heads"), F.concat("tails", F.array("count")).alias("tails"), "count")
+            F.concat("heads", F.array("count")).alias("heads"), F.concat("tails", F.array("count")).alias("tails"), "count"), "phrase-level")
         levels.append(table)
     longer = counted.frequent.select(F.explode(F.array("prefix", "suffix")).alias("key"), "count").groupBy("key").agg(F.max("count").alias("longer"))
     left, right = "heads[k - 1]", "tails[size(words) - k - 1]"
