@@ -144,7 +144,11 @@ DERIVED = {
                WHEN 1 THEN '[{{"country":"SWE"}},{{"nuts":"SE2' || CAST(l_partkey % 25 + 10 AS STRING) || '"}}]'
                WHEN 2 THEN '["NO01","SE' || CAST(l_partkey % 224 + 100 AS STRING) || '"]' WHEN 3 THEN '{{"a":{{"region":"SE999"}}}}'
                WHEN 4 THEN ' SE31' || CAST(l_partkey % 4 AS STRING) WHEN 5 THEN '{{"code" : "se33' || CAST(l_partkey % 3 AS STRING) || '","note":"SE110"}}'
-               WHEN 6 THEN 'NO011' WHEN 7 THEN '[]' END AS place
+               WHEN 6 THEN 'NO011' WHEN 7 THEN CASE WHEN l_partkey % 2 = 0 THEN '[]'
+                 ELSE '{{"x":["SE23' || CAST(l_partkey % 3 AS STRING) || '"],"nuts":"SE11' || CAST(l_partkey % 5 AS STRING) || '"}}' END
+               WHEN 8 THEN CASE WHEN l_partkey % 2 = 0 THEN
+                 '{{"note":"SE312","place":{{"value":"SE22' || CAST(l_partkey % 5 AS STRING) || '"}},"nuts-code":"SE21' || CAST(l_partkey % 4 AS STRING) || '"}}' END
+               END AS place
         FROM {lineitem}""",
     "d_seeds": """
         SELECT page_id, 'Ort ' || CAST(page_id AS STRING) AS name, url AS old_url,

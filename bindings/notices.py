@@ -259,9 +259,15 @@ def _(s, d):
 # Tenders
 
 _AMOUNT = "CAST(floor(CAST(value AS DOUBLE) * CASE WHEN coalesce(currency, 'SEK') = 'SEK' THEN 1.0 ELSE 11.5 END + 0.5) AS BIGINT)"
-_NUTS_IN = extract(f"regexp_extract(place, {q(records._NUTS_PLACES)})", '(?i)"(SE[^"]*)"' + chr(92) + 's*[,' + chr(92) + ']]?$')
+_NUTS_IN = extract(
+    r"""regexp_extract(place, '(?i)"(nuts|code|nutscode|nuts-code|value)"\s*:\s*"SE[^"]*"|:\s*"SE[0-9]{3}"|[\[,]\s*"SE[^"]*"\s*[,\]]')""",
+    '(?i)"(SE[^"]*)"' + chr(92) + 's*[,' + chr(92) + ']]?$')
 _NUTS_BARE = extract("place", "(?i)^" + chr(92) + 's*"?(SE[^"' + chr(92) + '[{]*?)"?' + chr(92) + "s*$")
-_NUTS = f"upper(CASE WHEN regexp_matches(place, '^{chr(92)}s*[{chr(92)}[{{]') THEN {_NUTS_IN} ELSE {_NUTS_BARE} END)"
+# Fields that name the region of an object come first, wherever they stand.
+_NUTS_NAMED = "CASE WHEN starts_with(place, '{') THEN coalesce(" + ", ".join(
+    f"CASE WHEN starts_with(upper(json_extract_string(place, '$.\"{f}\"')), 'SE') THEN json_extract_string(place, '$.\"{f}\"') END"
+    for f in ("nuts", "code", "nutsCode", "nuts-code", "value")) + ") END"
+_NUTS = f"upper(CASE WHEN regexp_matches(place, '^{chr(92)}s*[{chr(92)}[{{]') THEN coalesce({_NUTS_NAMED}, {_NUTS_IN}) ELSE {_NUTS_BARE} END)"
 _COUNTY = _mapped(_NUTS, config.NUTS_COUNTY)
 _BODY = "coalesce(nullif(body_swe, ''), nullif(body_eng, ''), '')"
 _CATEGORY = f"""CASE WHEN cpv LIKE '45%' THEN CASE WHEN regexp_matches(lower({_BODY}), 'bost[aä]d|l[aä]genhet|student') THEN 'residential'

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from noticeworks import config
 from noticeworks.functions.html import decode_entities
@@ -25,10 +31,9 @@ _MEASURE_LABEL = r"(?iu)åtgärd\s*:\s*([^\n]+)"
 _ORGANISATION_NAME = r"(?iu)\b(AB|HB|KB|BRF|kommun|region|stiftelse\p{L}*|\p{L}*förening|fastigheter|bostäder|exploatering)\b"
 _AMOUNT = r"(?iu)(\d+(?:[ \u00a0.]\d{3})*(?:,\d+)?)\s*(mkr|mdr|miljoner|miljarder)\b"
 _AMOUNT_UNITS = {"mkr": "1000000", "miljoner": "1000000", "mdr": "1000000000", "miljarder": "1000000000"}
-_NUTS_PLACES = (
-    r'(?i)"(?:nuts|code|nutscode|nuts-code|value)"\s*:\s*"SE[^"]*"'
-    r'|:\s*"SE\d{3}"|[\[,]\s*"SE[^"]*"\s*[,\]]'
-)
+
+# The fields of a place that name its region, in the order they are looked at.
+REGION_FIELDS = ("nuts", "code", "nutsCode", "nuts-code", "value")
 
 # Phrases by class; the first class with a phrase in the text applies.
 EXPLICIT_TYPES = (
@@ -327,11 +332,44 @@ def map_category(codes: Column, description: Column) -> Column:
     return F.when(F.get(codes, F.lit(0)).startswith("45"), works).otherwise("commercial")
 
 
+def _region_codes(place: object) -> Iterator[str]:
+    """Swedish region codes of a parsed place, the one that counts first."""
+    for item in place if isinstance(place, list) else [place]:
+        if isinstance(item, str):
+            yield from [item] if item[:2].upper() == "SE" else []
+        elif isinstance(item, (dict, list)):
+            fields = item if isinstance(item, dict) else dict(enumerate(item))
+            yield from (v for v in map(fields.get, REGION_FIELDS) if isinstance(v, str) and v[:2].upper() == "SE")
+            for value in fields.values():
+                if isinstance(value, (dict, list)):
+                    yield from _region_codes(value)
+                elif isinstance(value, str) and re.fullmatch(r"(?i)SE[0-9]{3}", value):
+                    yield value
+
+
+def _first_region_code(place: str) -> str | None:
+    try:
+        return next(_region_codes(json.loads(place)), None)
+    except (ValueError, RecursionError):
+        return None
+
+
+@F.pandas_udf(StringType())
+def _nested_region_code(places: pd.Series) -> pd.Series:
+    """Each different place of a batch is parsed once."""
+    return places.map({p: _first_region_code(p) for p in places.dropna().unique()}).astype(object)
+
+
 def nuts_code(place: Column) -> Column:
-    """First Swedish region code in a place given as a string, object or nested array."""
+    """First Swedish region code in a place given as a string, object or nested array.
+
+    In an object the fields that name a region come before all others, and before what is nested
+    in it, wherever they stand. Objects and arrays nest without bound, so they are walked
+    in Python; text that is no JSON, or nested a thousand deep, has no code.
+    """
     bare = F.regexp_extract(place, r'(?i)^\s*"?(SE[^"\[{]*?)"?\s*\z', 1)
-    nested = F.regexp_extract(F.regexp_extract(place, _NUTS_PLACES, 0), r'(?i)"(SE[^"]*)"\s*[,\]]?\z', 1)
-    return F.upper(blank_to_null(F.when(place.rlike(r"^\s*[\[{]"), nested).otherwise(bare)))
+    nested = place.rlike(r"^\s*[\[{]")
+    return F.upper(blank_to_null(F.coalesce(_nested_region_code(F.when(nested, place)), F.when(~nested, bare))))
 
 
 def nuts_county(code: Column) -> Column:

@@ -42,6 +42,12 @@ def test_amounts(apply):
 def test_region_codes_in_any_shape(apply):
     given = ['"se110"', "SE110", '["NO1","SE224"]', '[{"country":{"code":"DK"}},{"x":{"nuts":"SE231"}}]', '{"a":{"b":"SE311"}}', '{"a":"Seattle"}', None]
     assert apply(records.nuts_code, given) == ["SE110", "SE110", "SE224", "SE231", "SE311", None, None]
+    ordered = {
+        '{"x":["SE232"],"nuts":"SE110"}': "SE110", '{"a":{"nuts":"SE231"},"value":"se 12","code":"DK"}': "SE 12", '{"note":"SE312","b":[{"code":"SE224"}]}': "SE312",
+        '{"note":"SE3123","b":[{"code":"SE224"}]}': "SE224", '{"value":"SE1","nuts":"SE2"}': "SE2", '[["SE1x","SE123"],"SE9"]': "SE123",
+        '[[["SE1x"]]]': "SE1X", '{"nuts":["SE123"],"a":"SE321"}': "SE123", '{"nuts":"SE110"': None, '{"nuts":5,"a":null}': None, "[]": None,
+        "[" * 2000 + "]" * 2000: None}
+    assert apply(records.nuts_code, list(ordered)) == list(ordered.values())
 
 
 def test_excerpts(apply):
