@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+import uuid
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -10,8 +11,9 @@ from bindings.derived import frame, table
 from bindings.registry import query
 from bindings.sqltext import hash16, word_list
 from noticeworks import config
-from noticeworks.operators import discovery, fingerprints, health, quality, shaping
+from noticeworks.operators import daily_state, discovery, fingerprints, hash_trees, health, quality, shaping
 from noticeworks.plans import quality_run
+from noticeworks.session import shared_folder
 
 AS_OF = datetime(2024, 1, 31)
 TODAY = date(2024, 1, 31)
@@ -47,6 +49,39 @@ def _(s, d):
     return text_days(baseline(s, d), "last_day")
 
 
+def activity_state(s, d):
+    """Observations as two runs: those of all days, and late ones that came for days already counted; the first is repeated."""
+    o, path = obs(s, d), f"{shared_folder(s)}/activity-{uuid.uuid4().hex}"
+    late = (F.col("event_id") % 7 == 3) & (F.col("ts") < F.lit("2024-01-25").cast("timestamp_ntz"))
+    for rows, run_id in ((o.where(~late), "first"), (o.where(~late), "first"), (o.where(late), "late")):
+        daily_state.add_run(rows, path, run_id, key="event_type")
+    return path
+
+
+@query("daily_counts_from_state", f"WITH {_OBS_DAILY} SELECT source, CAST(day AS VARCHAR) AS day, n FROM daily")
+def _(s, d):
+    return text_days(daily_state.daily_counts(daily_state.read(s, activity_state(s, d))), "day")
+
+
+@query("baseline_from_state", f"WITH {_BASELINE} SELECT source, avg_records, CAST(last_day AS VARCHAR) AS last_day, run_count FROM base")
+def _(s, d):
+    return text_days(quality.source_baseline(daily_state.daily_counts(daily_state.read(s, activity_state(s, d)))), "last_day")
+
+
+@query("coverage_from_state", """
+    SELECT active, total, round(100.0 * active / total, 1) AS coverage_pct FROM (SELECT count(DISTINCT source) AS active FROM d_obs WHERE ts >= TIMESTAMP '2024-01-24'),
+      (SELECT count(*) AS total FROM d_configs WHERE approved)""")
+def _(s, d):
+    state = daily_state.read(s, activity_state(s, d), first=TODAY - timedelta(days=7))
+    return daily_state.coverage(state, frame(s, d, "d_configs").where("approved"), TODAY)
+
+
+@query("distinct_keys_from_state", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(DISTINCT event_type) AS keys FROM d_obs GROUP BY 1")
+def _(s, d):
+    """Few different keys are counted exactly by a sketch."""
+    return text_days(daily_state.distinct_keys(daily_state.read(s, activity_state(s, d)), ["day"]), "day")
+
+
 @query("production_status", """
     WITH today AS (SELECT count(*) AS n, count(DISTINCT source) AS k FROM d_obs WHERE ts > TIMESTAMP '2024-01-29 12:00:00'),
     base AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT source) AS k FROM d_obs
@@ -435,6 +470,37 @@ def _(s, d):
     return fingerprints.source_archive_hash(pages)
 
 
+# An archive, and a later one in which pages were changed, left out and added.
+_OLD_PAGES = "old AS (SELECT source, doc_id AS pos, coalesce(text, '') AS content FROM documents WHERE doc_id % 101 <> 7)"
+_NEW_PAGES = """new AS (SELECT source, doc_id AS pos, CASE WHEN doc_id % 97 = 0 THEN 'new ' ELSE '' END || coalesce(text, '') AS content
+      FROM documents WHERE doc_id % 103 <> 5)"""
+
+
+def page_archives(s, d):
+    docs = table(s, d, "documents").select("source", F.col("doc_id").alias("pos"), F.coalesce("text", F.lit("")).alias("content"))
+    later = docs.where(F.col("pos") % 103 != 5).withColumn(
+        "content", F.concat(F.when(F.col("pos") % 97 == 0, "new ").otherwise(""), "content"))
+    folder = f"{shared_folder(s)}/trees-{uuid.uuid4().hex}"
+    return hash_trees.build(docs.where(F.col("pos") % 101 != 7), f"{folder}/old"), hash_trees.build(later, f"{folder}/new")
+
+
+@query("archive_tree_roots", f"""
+    WITH RECURSIVE {_OLD_PAGES}, tree AS (
+      SELECT source, 0 AS level, pos, sha256(content) AS hash FROM old
+      UNION ALL SELECT source, level + 1, pos // 16, sha256(string_agg((pos % 16) || ':' || hash, ',' ORDER BY pos % 16)) FROM tree
+      WHERE 16 ** level <= (SELECT max(pos) FROM old) GROUP BY source, level, pos // 16)
+    SELECT source, hash AS root FROM tree WHERE level = (SELECT max(level) FROM tree)""")
+def _(s, d):
+    return page_archives(s, d)[0].roots()
+
+
+@query("archive_changes", f"""
+    WITH {_OLD_PAGES}, {_NEW_PAGES} SELECT source, pos, CASE WHEN old.content IS NULL THEN 'added' WHEN new.content IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM old FULL JOIN new USING (source, pos) WHERE old.content IS DISTINCT FROM new.content""")
+def _(s, d):
+    return hash_trees.changed_positions(*page_archives(s, d))
+
+
 _STATUS_CLASS = """CASE WHEN status BETWEEN 200 AND 299 THEN 'live' WHEN status BETWEEN 300 AND 399 THEN 'redirect' WHEN status = 404 THEN 'not_found'
       WHEN status BETWEEN 400 AND 499 THEN 'client_error' WHEN status >= 500 THEN 'server_error' ELSE 'error' END"""
 CHECK_WORDS = ("the", "eau", "sch", "que")

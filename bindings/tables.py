@@ -514,6 +514,20 @@ def _(s, d):
         "run", "id", F.col("spent_before").cast("double").alias("spent_before"), "status")
 
 
+@query("budget_cutoff_one_run", """
+    WITH spent AS (SELECT *, coalesce(sum(cost) OVER (ORDER BY priority NULLS FIRST, created_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent_before FROM d_tasks),
+    total AS (SELECT sum(cost) * 0.6 AS budget FROM d_tasks),
+    flagged AS (SELECT *, spent_before + max_cost > (SELECT budget FROM total) AS over FROM spent)
+    SELECT id, CAST(spent_before AS DOUBLE) AS spent_before, CASE WHEN max(CAST(over AS INT)) OVER (ORDER BY priority NULLS FIRST, created_at, id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 THEN 'budget_exhausted' ELSE 'run' END AS status FROM flagged""")
+def _(s, d):
+    """All tasks are one run, which no column cuts into chunks."""
+    tasks = frame(s, d, "d_tasks").withColumn("run", F.lit("all"))
+    budget = tasks.agg((F.sum("cost") * F.lit("0.6").cast("decimal(2,1)")).alias("b")).first()["b"] or 0
+    return ordering.budget_cutoff(tasks, budget, ["run"], ["priority", "created_at", "id"]).select(
+        "id", F.col("spent_before").cast("double").alias("spent_before"), "status")
+
+
 @query("spend_until", f"WITH {_SPENT} SELECT run, id, CAST(spent_before AS DOUBLE) AS spent_before FROM spent WHERE spent_before < 400000")
 def _(s, d):
     return ordering.spend_until(frame(s, d, "d_tasks"), 400000, ["run"], ["priority", "created_at", "id"], ["priority", "created_on"]).select(

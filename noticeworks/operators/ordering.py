@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from noticeworks.session import stored
+
 
 def top_per_group(df: DataFrame, keys: Sequence, order: Sequence[Column], n: int,
                   rank: str | None = None, skip: int = 0) -> DataFrame:
@@ -60,13 +62,32 @@ def running_total(df: DataFrame, run: Sequence[str], order: Sequence[str], chunk
     )
 
 
+def ranged_total(df: DataFrame, run: Sequence[str], order: Sequence[str], value: str, name: str, pieces: int | None = None) -> DataFrame:
+    """As ``running_total``, without a chunk column: one run of any length is shared by all tasks.
+
+    Rows are dealt out by ranges of run and order, so every piece follows the one before; the rows are
+    stored with the number of their piece. Sums per run and piece are lined up, one row for each
+    piece that a run reaches into, and added to the sums inside the pieces.
+    """
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored(df.repartitionByRange(pieces, *run, *order).withColumn("_piece", F.spark_partition_id()), "ranged")
+    return running_total(dealt, run, order, ["_piece"], value, name).drop("_piece")
+
+
+def _spent(tasks: DataFrame, run: Sequence[str], order: Sequence[str], chunk: Sequence[str] | None, cost: str) -> DataFrame:
+    if chunk is None:
+        return ranged_total(tasks, run, order, cost, "spent_before")
+    return running_total(tasks, run, order, chunk, cost, "spent_before")
+
+
 def budget_cutoff(tasks: DataFrame, limit, run: Sequence[str], order: Sequence[str],
-                  chunk: Sequence[str], cost: str = "cost", max_cost: str = "max_cost") -> DataFrame:
+                  chunk: Sequence[str] | None = None, cost: str = "cost", max_cost: str = "max_cost") -> DataFrame:
     """Tasks in order until the first whose own limit no longer fits the budget.
 
-    That task and every later one of the run is ``budget_exhausted``.
+    That task and every later one of the run is ``budget_exhausted``. Without ``chunk`` the order
+    itself is cut into pieces, see ``ranged_total``.
     """
-    spent = running_total(tasks, run, order, chunk, cost, "spent_before")
+    spent = _spent(tasks, run, order, chunk, cost)
     place = F.struct(*order)
     too_much = F.col("spent_before") + F.coalesce(F.col(max_cost), F.lit(0)) > F.lit(limit)
     first = spent.groupBy(*run).agg(F.min(F.when(too_much, place)).alias("_stop"))
@@ -75,7 +96,7 @@ def budget_cutoff(tasks: DataFrame, limit, run: Sequence[str], order: Sequence[s
 
 
 def spend_until(tasks: DataFrame, limit, run: Sequence[str], order: Sequence[str],
-                chunk: Sequence[str], cost: str = "cost") -> DataFrame:
+                chunk: Sequence[str] | None = None, cost: str = "cost") -> DataFrame:
     """Tasks started while the money spent so far is below the limit."""
-    spent = running_total(tasks, run, order, chunk, cost, "spent_before")
+    spent = _spent(tasks, run, order, chunk, cost)
     return spent.where(F.col("spent_before") < F.lit(limit))

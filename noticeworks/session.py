@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, app: str = "noticeworks") -> SparkSession:
@@ -27,10 +29,20 @@ def local_session(cores: int = 8, app: str = "noticeworks") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    Only where neither the setting nor a checkpoint folder exists, as in tests, one is made here.
+    Only a session on this machine alone, where every folder is seen by all, may go without; a folder is
+    made for it here. On a cluster a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """``frame`` written once to the shared folder and read back: it is not worked out again."""
+    path = f"{shared_folder(frame.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
