@@ -256,6 +256,8 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Held out are rows with crc32(id as text) mod 7 = 2. A-Z are lower-cased, words stand between
     ASCII white space, every text ends with one end token; null texts count as empty, a null
     id as the empty text. Repeated rows count and are scored repeatedly. Other columns are not read.
+    Rows may come from files or from any shuffle; they are numbered once and stored. A text is
+    never cut: a long one is a slice of its own.
     Returned: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     A pair seen in training has its discounted count over the count of its context; another
@@ -271,18 +273,20 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
        context is summed over all slices to the table of backoff weights.
     3. Texts that need a backoff weight get it by a join on the context.
     """
-    texts = docs.select(
+    # Stored, as the numbers of rows that come out of a shuffle may differ from job to job.
+    texts = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-        (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out"))
+        (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out")), "katz-texts")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(size // BUCKET_BYTES) + 1
+    read = texts.select("row", "text", "held_out")  # the same columns each time, so that batches and slices are cut alike
     answers = stored(
-        texts.select("row", "text", "held_out").mapInArrow(_ask(buckets), "slice long, bucket int, data binary")
+        read.mapInArrow(_ask(buckets), "slice long, bucket int, data binary")
         .groupBy("bucket").applyInArrow(_answer, "slice long, bucket int, data binary, " + ", ".join(f"{n} long" for n in STATS)), "katz-counts")
     stats = answers.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in STATS]).first().asDict()  # one row
-    known = stored(texts.select("row", "doc_id", "held_out"), "katz-rows")
+    known = texts.select("row", "doc_id", "held_out")
     documents = known.where("not held_out").count()
-    packed = texts.select("row", "text").mapInArrow(_pack, "slice long, texts binary")
+    packed = read.mapInArrow(_pack, "slice long, texts binary")
     scored = stored(
         packed.groupBy("slice").cogroup(answers.select("slice", "bucket", "data").groupBy("slice"))
         .applyInArrow(_scorer(Model.of(stats), documents), SCORED), "katz-scores")

@@ -86,6 +86,16 @@ def test_odd_rows(spark):
     check(spark, [(None, "a b"), (1, None), (1, ""), (2, "A b\x0bc d"), (2, "a b"), (3, "É é É"), (4, "a " * 3000), (9, "zz yy zz")])
 
 
+def test_rows_that_come_out_of_a_shuffle(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = sorted(map(tuple, katz.katz_scores(docs).collect()))
+    others = docs.select("doc_id").distinct()
+    for shuffled in (docs.repartition(64, "doc_id"), docs.distinct(), docs.hint("shuffle_hash").join(others.repartition(7), "doc_id")):
+        got = sorted(map(tuple, katz.katz_scores(shuffled).collect()))
+        assert [g[:5] for g in got] == [w[:5] for w in want]
+        assert [x for g in got for x in g[5:]] == pytest.approx([x for w in want for x in w[5:]], rel=1e-9)
+
+
 def test_nothing_to_learn_from(spark):
     alone = next(i for i in range(100) if held_out(i))
     check(spark, [(alone, "a b c")])

@@ -53,6 +53,16 @@ def test_near_copies_stage_is_brute_force(spark, seed, size):
     assert sorted(r["doc_id"] for r in kept) == sorted(set(brute_labels(rows, 5, 80)))
 
 
+def test_one_row_of_each_group_stays(spark):
+    """One id on different texts, equal rows, rows without id, and empty texts."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c), (None, d), (None, d), (None, c), (5, ""), (5, ""), (6, None), (7, b + " z"), (None, " ")]
+    kept = corpus_pipeline.one_of_near_copies(spark, frame(spark, rows), "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(
+        [(1, a), (2, b), (3, c), (None, d), (5, ""), (5, ""), (6, None), (None, " ")], key=repr)
+    assert kept[0].asDict().keys() == {x.split()[0] for x in SCHEMA.split(", ")}
+
+
 def test_two_changed_words_in_a_hundred_are_a_near_copy(spark):
     words = [f"w{i}" for i in range(100)]
     other = ["x" if i in (30, 70) else w for i, w in enumerate(words)]
