@@ -34,12 +34,19 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id; rows without id all stay.
+    """Of each group of linked documents one: that with the smallest id, of equal ids the one with the smallest hash of its text.
 
     Documents link when their sets of five-word n-grams have a Jaccard similarity of 0.8 or more.
+    A row is known by its id and text, so different texts with one id are judged apart; of rows that agree in
+    both, one stays. Rows without id take part like others and stay if no row of their group has
+    an id and none without comes before. Null and empty texts link with nothing and all stay, repeated ones too.
     """
-    copies = ngram_join.ngram_components(docs, width=5, percent=80).where("component_id < doc_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies.hint("merge"), F.col("doc_id") == F.col("_copy"), "left_anti")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.unhex(F.sha2("text", 256)).alias("text_key"))
+    found = ngram_join.ngram_components(docs.select(row.alias("_row"), "text"), width=5, id_col="_row", percent=80)
+    stay = found.where("component_id = doc_id").select(F.col("doc_id").alias("_row"), (F.col("n_shingles") > 0).alias("_linked")).distinct()
+    kept = docs.withColumn("_row", row).join(stay.hint("merge"), "_row")
+    one = kept.where("_linked").dropDuplicates(["_row"])
+    return one.unionByName(kept.where("not _linked")).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
