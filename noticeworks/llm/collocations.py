@@ -26,7 +26,7 @@ BYTES[[*b".,;:!?\n\x0b\x0c\r"]] = 10
 EMITTED, WAITING = 1 << 18, 1 << 22
 #: Bits of a key that hold the length of its phrase.
 LENGTH_BITS = 3
-TOKENS = "shard int, lang string, words array<string>, keys array<long>, counts array<long>, codes binary, places long"
+TOKENS = "slice long, shard int, lang string, words array<string>, keys array<long>, counts array<long>, codes binary, places long"
 #: Of a cut; 38 decimal digits hold the products of two counts, by 1000 too.
 SCORE = (
     "cast(1000 * count as decimal(19, 0)) * cast(n as decimal(18, 0)) "
@@ -101,7 +101,8 @@ def _pieces(texts: pa.Array) -> pa.Array:
 def _cut(shards: int):
     """Slices of texts of one language as codes of their words; each slice belongs to a shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = itertools.count(TaskContext.get().partitionId())
+        task = TaskContext.get().partitionId()
+        number = itertools.count(task)
         for batch in batches:
             for lang in pc.unique(batch["lang"]).to_pylist():
                 texts = pc.fill_null(batch.filter(pc.equal(batch["lang"], lang))["text"], "")
@@ -109,12 +110,14 @@ def _cut(shards: int):
                     for w in word_slices(_pieces(texts.slice(first, last - first)), lower=lambda t: t, limit=1 << 62):
                         codes = np.full(len(w.codes) + len(w.offsets) - 1, -1, dtype=np.int32)
                         codes[np.arange(len(w.codes)) + np.repeat(np.arange(len(w.offsets) - 1), np.diff(w.offsets))] = w.codes
+                        n = next(number)
                         yield pa.RecordBatch.from_arrays([
-                            pa.array([next(number) % shards], pa.int32()), pa.array([lang]), pa.array([w.words.to_pylist()], pa.list_(pa.string())),
+                            pa.array(_mix(np.array([task << 32 | n - task], dtype=np.uint64)).view(np.int64)),
+                            pa.array([n % shards], pa.int32()), pa.array([lang]), pa.array([w.words.to_pylist()], pa.list_(pa.string())),
                             pa.array([word_keys(lang, w.words).view(np.int64)], pa.list_(pa.int64())),
                             pa.array([np.bincount(w.codes, minlength=len(w.words))], pa.list_(pa.int64())),
                             pa.array([pa.Codec("zstd").compress(codes.tobytes(), asbytes=True)], pa.binary()), pa.array([len(codes)], pa.int64())],
-                            ["shard", "lang", "words", "keys", "counts", "codes", "places"])
+                            ["slice", "shard", "lang", "words", "keys", "counts", "codes", "places"])
     return run
 
 
@@ -136,13 +139,14 @@ def _active(codes: np.ndarray, keys: np.ndarray, now: Bits, before: Bits, longes
         place, key, old = place[reached], key[reached], (old & before.holds(key))[reached]
 
 
-def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.uint64, np.ndarray, np.ndarray]]:
+    """Of each slice its number, the codes of its words and the keys behind them."""
     for batch in batches:
         for i in range(len(batch)):
             keys = batch["keys"][i].values.to_numpy().view(np.uint64)
             places = batch["places"][i].as_py()
             if len(keys):
-                yield np.frombuffer(pa.Codec("zstd").decompress(batch["codes"][i].as_py(), places * 4, asbytes=True), dtype=np.int32), keys
+                yield batch["slice"].to_numpy().view(np.uint64)[i], np.frombuffer(pa.Codec("zstd").decompress(batch["codes"][i].as_py(), places * 4, asbytes=True), dtype=np.int32), keys
 
 
 def _parts(*columns: tuple[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -153,40 +157,37 @@ def _parts(*columns: tuple[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
 def _counted(now: Broadcast, before: Broadcast, log2: int, longest: int):
     """How often the active phrases that are not complete occur in the slices of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+        held: list[tuple[np.ndarray, ...]] = [tuple(np.zeros(0, dtype=t) for t in (np.uint64, np.int64, np.uint64))]
 
         def summed():
-            keys, place = np.unique(np.concatenate(held[0]), return_inverse=True)
-            return keys, np.bincount(place, weights=np.concatenate(held[1]), minlength=len(keys)).astype(np.int64)
+            every, counts, where = (np.concatenate(c) for c in zip(*held))
+            keys, at, place = np.unique(every, return_index=True, return_inverse=True)
+            return ("key", keys), ("count", np.bincount(place, weights=counts, minlength=len(keys)).astype(np.int64)), ("slice", where[at])
 
         waiting = 0
         reached, earlier = Bits.unpacked(now.value, log2), Bits.unpacked(before.value, log2)
-        for codes, keys in _blobs(batches):
+        for number, codes, keys in _blobs(batches):
             found = [key[~old] for key, _, _, old in _active(codes, keys, reached, earlier, longest)]
             key, count = np.unique(np.concatenate(found), return_counts=True)
-            held[0].append(key)
-            held[1].append(count)
+            held.append((key, count, np.full(len(key), number)))
             waiting += len(key)
             if waiting >= WAITING:
-                yield from _parts(*zip(("key", "count"), summed()))
-                held, waiting = ([key[:0]], [count[:0]]), 0
-        yield from _parts(*zip(("key", "count"), summed()))
+                yield from _parts(*summed())
+                held, waiting = held[:1], 0
+        yield from _parts(*summed())
     return run
 
 
 def _traced(now: Broadcast, wanted: Broadcast, log2: int, longest: int):
-    """The prefixes and suffixes of the phrases whose keys are wanted."""
+    """The prefixes and suffixes of wanted phrases, each from the slice that it was noted with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.zeros(0, dtype=np.uint64)
         reached, traced = Bits.unpacked(now.value, log2), Bits.unpacked(wanted.value, log2)
-        for codes, keys in _blobs(batches):
-            found = [np.stack([key, prefix, suffix])[:, traced.holds(key)]
+        for number, codes, keys in _blobs(batches):
+            found = [np.stack([key, prefix, suffix])[:, traced.holds(key ^ number)]
                      for key, prefix, suffix, _ in _active(codes, keys, reached, reached, longest)]
             key, prefix, suffix = np.concatenate(found, axis=1)
             key, at = np.unique(key, return_index=True)
-            new = ~np.isin(key, known, assume_unique=True)
-            yield from _parts(("key", key[new]), ("prefix", prefix[at][new]), ("suffix", suffix[at][new]))
-            known = key if len(known) > WAITING else np.union1d(known, key)
+            yield from _parts(("key", key), ("prefix", prefix[at]), ("suffix", suffix[at]))
     return run
 
 
@@ -217,13 +218,13 @@ def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int,
             each = shard.select("lang", F.explode(F.arrays_zip("words", "keys", "counts")).alias("w"))
             words.append(stored(each.groupBy("lang", F.col("w.words").alias("word"), F.col("w.keys").alias("key")).agg(
                 F.sum("w.counts").alias("count")), "phrase-words"))
-            parts.append(words[-1].select("key", "count", F.lit(step).alias("first")))
+            parts.append(words[-1].select("key", "count", F.lit(step).alias("first"), F.lit(0).cast("long").alias("slice")))
         if step:
-            found = shard.select("keys", "codes", "places").mapInArrow(
-                _counted(bits(step), bits(max(0, step - shards)), log2, longest), "key long, count long")
-            parts.append(found.select("key", "count", F.lit(step).alias("first")))
+            found = shard.select("slice", "keys", "codes", "places").mapInArrow(
+                _counted(bits(step), bits(max(0, step - shards)), log2, longest), "key long, count long, slice long")
+            parts.append(found.select("key", "count", F.lit(step).alias("first"), "slice"))
         merged = stored(functools.reduce(DataFrame.unionByName, parts).groupBy("key").agg(
-            F.sum("count").alias("count"), F.min("first").alias("first")), "phrase-counts")
+            F.sum("count").alias("count"), F.min("first").alias("first"), F.first("slice").alias("slice")), "phrase-counts")  # any slice will do
         length = F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1)
         often = F.col("count") >= threshold
         history.append(history[step].plus(merged.where(often & (length < longest))))
@@ -235,9 +236,9 @@ def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int,
             sent.pop(step - shards - 1).unpersist()
     complete.append(open_.where(F.col("count") >= threshold))
     found = stored(functools.reduce(DataFrame.unionByName, complete).where(
-        F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1) > 1).select("key", "count", "first"), "phrase-frequent")
-    wanted = spark.sparkContext.broadcast(Bits.empty(log2).plus(found).packed())
-    traced = tokens.select("keys", "codes", "places").mapInArrow(
+        F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1) > 1).select("key", "count", "first", "slice"), "phrase-frequent")
+    wanted = spark.sparkContext.broadcast(Bits.empty(log2).plus(found.select(F.col("key").bitwiseXOR(F.col("slice")).alias("key"))).packed())
+    traced = tokens.select("slice", "keys", "codes", "places").mapInArrow(
         _traced(bits(step), wanted, log2, longest), "key long, prefix long, suffix long").groupBy("key").agg(
         F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"))
     frequent = stored(found.join(traced, "key").select("key", "count", "prefix", "suffix", "first"), "phrase-parts")
