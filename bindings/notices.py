@@ -169,12 +169,12 @@ def _(s, d):
 
 
 _NO_U = {k: getattr(records, k).replace("(?iu)", "(?i)") for k in (
-    "_CASE_LABEL", "_CASE_SHAPE", "_PROPERTY_LABEL", "_ADDRESS_LABEL", "_MEASURE_LABEL", "_DATE_LABEL", "_APPLICANT_LABEL", "_ORGANISATION_NAME")}
+    "CASE_LABEL", "CASE_SHAPE", "_PROPERTY_LABEL", "_ADDRESS_LABEL", "_MEASURE_LABEL", "_DATE_LABEL", "_APPLICANT_LABEL", "_ORGANISATION_NAME")}
 _WHO = trim(extract("t", _NO_U["_APPLICANT_LABEL"]))
 
 
 @query("labelled_fields", f"""
-    SELECT page_id, 1 AS pos, {trim(f"coalesce({extract('t', _NO_U['_CASE_LABEL'])}, {extract('t', _NO_U['_CASE_SHAPE'])})")} AS case_number,
+    SELECT page_id, 1 AS pos, {trim(f"coalesce({extract('t', _NO_U['CASE_LABEL'])}, {extract('t', _NO_U['CASE_SHAPE'])})")} AS case_number,
       {trim(f"coalesce({extract('t', _NO_U['_PROPERTY_LABEL'])}, {extract('t', records._DESIGNATION)})")} AS property,
       {trim(extract('t', _NO_U['_ADDRESS_LABEL']))} AS address, {trim(extract('t', _NO_U['_MEASURE_LABEL']))} AS description,
       coalesce({extract('t', _NO_U['_DATE_LABEL'])}, {extract('t', chr(92) + 'b(' + chr(92) + 'd{4}-' + chr(92) + 'd{2}-' + chr(92) + 'd{2})' + chr(92) + 'b')}) AS date,
@@ -185,6 +185,26 @@ def _(s, d):
     return shaping.labelled_fields(frame(s, d, "d_blocks"))
 
 
+# Notices whose type and status stand deeper than their number, or after a heading inside; what they say is known from how they are made.
+_NESTED = """n AS (SELECT o_orderkey AS page_id, o_custkey % 3 AS layout, 'BN 2026/' || CAST(o_orderkey AS VARCHAR) AS case_number,
+      CASE o_orderstatus WHEN 'F' THEN 'Beviljat bygglov' WHEN 'O' THEN 'Startbesked för rivning' ELSE 'Avslag marklov' END AS decision,
+      CASE o_orderstatus WHEN 'F' THEN 'bygglov' WHEN 'O' THEN 'rivningslov' ELSE 'marklov' END AS permit_type,
+      CASE o_orderstatus WHEN 'F' THEN 'beviljat' WHEN 'O' THEN 'startbesked' ELSE 'avslag' END AS status FROM orders)"""
+
+
+@query("labelled_fields_nested", f"WITH {_NESTED} SELECT page_id, case_number, permit_type, status FROM n")
+def _(s, d):
+    o = table(s, d, "orders")
+    number = F.concat(F.lit("BN 2026/"), F.col("o_orderkey").cast("string"))
+    decision = F.when(F.col("o_orderstatus") == "F", "Beviljat bygglov").when(F.col("o_orderstatus") == "O", "Startbesked för rivning").otherwise("Avslag marklov")
+    article = F.concat(F.lit("<article><p>Diarienummer: "), number, F.lit("</p><h4>Beslut</h4><p>"), decision, F.lit("</p></article>"))
+    row = F.concat(F.lit("<table><tr><th>Diarienr</th><th>Beslut</th></tr><tr><td>"), number, F.lit("</td><td><ul><li>Fattat<li>"), decision, F.lit("</ul></td></tr></table>"))
+    card = F.concat(F.lit('<div class="card wide"><h3>Anslag</h3><div><p>Dnr: '), number, F.lit("</p></div><section><h2>Beslut</h2><div>"), decision, F.lit("</div></section></div>"))
+    page = F.when(F.col("o_custkey") % 3 == 0, article).when(F.col("o_custkey") % 3 == 1, row).otherwise(card)
+    return shaping.labelled_fields(o.select(F.col("o_orderkey").alias("page_id"), F.concat(F.lit("<h1>Anslagstavla</h1>"), page).alias("html"))).select(
+        "page_id", "case_number", "permit_type", "status")
+
+
 _TEXT = "SELECT l_orderkey, l_linenumber, l_partkey, {0} FROM d_projects_text"
 
 

@@ -37,8 +37,13 @@ def _plain_entities(c: Column) -> Column:
     return F.regexp_replace(c, r"&#\d+;", "")
 
 
+def visible(html: Column) -> Column:
+    """The markup without scripts, styles, frames of the site and comments."""
+    return _drop(html, (*_INVISIBLE, *_FRAME, _COMMENT))
+
+
 def to_text(html: Column) -> Column:
-    c = _drop(html, (*_INVISIBLE, *_FRAME, _COMMENT))
+    c = visible(html)
     c = _drop(c, (r"(?i)<br\s*/?>", r"(?i)</(?:p|div|h[1-6]|li|tr|dt|dd|section|article)>"), "\n")
     c = F.regexp_replace(c, "<[^>]+>", " ")
     c = let(c, lambda t: F.when(F.contains(t, F.lit("&")), _plain_entities(t)).otherwise(t))

@@ -21,8 +21,8 @@ _STREETS = "vägen|gatan|gränd|torget|platsen|stigen|allén|backen"
 _STREETS_IN_TITLE = "vägen|gatan|gränd|stigen"
 _NOTICE_LINE = r"(?iu)^([A-ZÅÄÖ][A-ZÅÄÖ\s-]+\d+(?::\d+)?)\s*(?:\(([^)]+)\))?\s*-\s*(.+)\z"
 _DESIGNATION = r"\b([A-ZÅÄÖ][A-Za-zÅÄÖåäöé-]*(?: [A-ZÅÄÖ][A-Za-zÅÄÖåäöé-]*)* \d+:\d+)"
-_CASE_LABEL = r"(?iu)(?:diarienummer|diarienr|dnr|ärendenummer)\s*:\s*([^\n,—]+)"
-_CASE_SHAPE = r"\b([A-ZÅÄÖ]{2,5}[ /-]\d{4}[/-]\d+|\d{4}-\d{6})\b"
+CASE_LABEL = r"(?iu)(?:diarienummer|diarienr|dnr|ärendenummer)\s*:\s*([^\n,—]+)"
+CASE_SHAPE = r"\b([A-ZÅÄÖ]{2,5}[ /-]\d{4}[/-]\d+|\d{4}-\d{6})\b"
 _PROPERTY_LABEL = r"(?iu)(?:fastighetsbeteckning|fastighet)\s*:\s*([^\n,]+)"
 _ADDRESS_LABEL = r"(?iu)(?:gatuadress|adress)\s*:\s*([^\n,]+)"
 _APPLICANT_LABEL = r"(?iu)sökande\s*:\s*([^\n—]+)"
@@ -222,14 +222,14 @@ def property_designation(c: Column) -> Column:
 
 
 def has_case_number(text: Column) -> Column:
-    return text.rlike(_CASE_LABEL) | text.rlike(_CASE_SHAPE)
+    return text.rlike(CASE_LABEL) | text.rlike(CASE_SHAPE)
 
 
 def labelled_block(text: Column) -> Column:
     """Fields of one notice block, by label first and by shape second."""
     name = strip(extract(text, _APPLICANT_LABEL))
     return F.struct(
-        strip(F.coalesce(extract(text, _CASE_LABEL), extract(text, _CASE_SHAPE))).alias("case_number"),
+        strip(F.coalesce(extract(text, CASE_LABEL), extract(text, CASE_SHAPE))).alias("case_number"),
         strip(F.coalesce(extract(text, _PROPERTY_LABEL), property_designation(text))).alias("property"),
         strip(extract(text, _ADDRESS_LABEL)).alias("address"),
         strip(extract(text, _MEASURE_LABEL)).alias("description"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks import config
-from noticeworks.functions import html, names, records, urls
+from noticeworks.functions import blocks, html, names, records, urls
 from noticeworks.functions.text import blank_to_null, with_once
 from noticeworks.functions.times import moment
 from noticeworks.operators.ordering import first_wins, top_per_group
@@ -214,10 +214,14 @@ def split_subpages(pages: DataFrame, html: str = "html", url: str = "url") -> Da
 
 
 def labelled_fields(pages: DataFrame, source_html: str = "html") -> DataFrame:
-    """One record per notice block of a page: a heading, table row, list item or card with a case number."""
+    """One record per notice block of a page: a heading, table row, list item or card with a case number.
+
+    Blocks nest, see ``blocks.blocks_of``; what stands in a block without a number of its own is read
+    with the block around it.
+    """
     rest = [c for c in pages.columns if c != source_html]
-    blocks = F.split(F.col(source_html), r"(?i)(?=<(?:h[1-6]|tr|li|article)[\s>]|<div[^>]*\bclass=\"[^\"]*\bcard\b)")
-    texts = pages.select(*rest, F.posexplode(F.transform(blocks, html.to_text)).alias("pos", "text"))
+    found = pages.select(*rest, F.posexplode(blocks.notice_blocks(F.col(source_html))).alias("pos", "_block"))
+    texts = with_once(found, text=html.to_text(F.col("_block"))).drop("_block")
     numbered = texts.where(records.has_case_number(F.col("text")))
     parsed = with_once(numbered, r=records.labelled_block(F.col("text")))
     return parsed.where(F.col("r.case_number").isNotNull()).select(*rest, "pos", "r.*")

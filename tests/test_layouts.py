@@ -1,5 +1,6 @@
 """Shares of fields that the parser finds on invented pages in ten layouts."""
 
+from noticeworks.functions.blocks import blocks_of
 from noticeworks.operators import lookups, shaping
 
 #: (case number, type, status, applicant) of every page
@@ -22,6 +23,10 @@ LAYOUTS = {
               [("C 71", "bygglov", "överklagat", None), ("C 72", "strandskyddsdispens", "beviljat", None)]),
     "mixed": ("<h2>Marklov</h2><p>Dnr: M 81</p><p>beviljat</p><ul><li>Dnr: M 82 — rivningslov, ansökan</li></ul>",
               [("M 81", "marklov", "beviljat", None), ("M 82", "rivningslov", "ansökt", None)]),
+    "heading inside": ("<article><p>Diarienummer: A 33/26</p><h4>Beslut</h4><p>Beviljat bygglov</p></article><article><h4>Beslut</h4><p>Avslag marklov</p><p>Diarienummer: A 34/26</p></article>",
+                       [("A 33/26", "bygglov", "beviljat", None), ("A 34/26", "marklov", "avslag", None)]),
+    "list in a cell": ("<table><tr><th>Diarienr</th><th>Beslut</th></tr><tr><td>TN 2026-000023</td><td><ul><li>Avslag<li>bygglov</ul></td></tr><tr><td>TN 2026-000024<td>Beviljat marklov</table>",
+                       [("TN 2026-000023", "bygglov", "avslag", None), ("TN 2026-000024", "marklov", "beviljat", None)]),
     "empty": ("<main><h2>Anslag</h2><p>Inga kungörelser just nu.</p></main>", []),
     "private": ("<h3>Bygglov</h3><p>Diarienummer: P 91</p><p>Sökande: Anna Lind</p><h3>Bygglov</h3><p>Diarienummer: P 92</p><p>Sökande: Linds förening</p>",
                 [("P 91", "bygglov", None, None), ("P 92", "bygglov", None, "Linds förening")]),
@@ -42,3 +47,17 @@ def test_field_shares(spark):
     assert found.count() == len(checked)
     urls = {r["case_number"]: r["source_url"] for r in found.collect()}
     assert urls["S 51"] == "https://a.example/1" and urls["S 52"] == "https://a.example/2" and urls["C 71"] == "https://cards.example"
+
+
+def test_blocks_end_where_their_element_closes():
+    assert blocks_of("") == [] and blocks_of("bare") == ["bare"]
+    assert blocks_of("<div><h3>Dnr: A 1</h3>a</div>after") == ["<div>after", "<h3>Dnr: A 1</h3>a</div>"]
+    assert blocks_of("<h2>A</h2>Dnr: A 1<h4>B</h4>b<h2>C</h2>Dnr: C 1") == ["<h2>A</h2>Dnr: A 1<h4>B</h4>b", "", "<h2>C</h2>Dnr: C 1"]
+    assert blocks_of("<ul><li>Dnr: X 1<ul><li>Dnr: X 2</li></ul>tail</li></ul>") == ["<li>Dnr: X 1<ul></ul>tail</li>", "<li>Dnr: X 2</li>"]
+    assert blocks_of("</div></li><li>Dnr: 1/1<li>Dnr: 1/2</ul>c") == ["<li>Dnr: 1/1", "<li>Dnr: 1/2</ul>c"]
+
+
+def test_deep_pages_take_time_in_proportion():
+    deep = "<article>" * 20_000 + "Dnr: X 9" + "</article>" * 20_000
+    assert blocks_of(deep)[-1] == "<article>Dnr: X 9</article>" and sum(map(len, blocks_of(deep))) <= len(deep)
+    assert sum(map(len, blocks_of("<li>" * 20_000 + "<ul><li>" * 5_000))) <= 120_000
