@@ -344,6 +344,27 @@ def matches(s, d):
     return matching.match_properties(frame(s, d, "d_permits"), frame(s, d, "d_properties"))
 
 
+@query("match_properties_rarest", f"WITH {_MATCH} SELECT id, organization_id, property_designation FROM mt")
+def _(s, d):
+    found = matching.match_properties(frame(s, d, "d_permits"), frame(s, d, "d_properties"), rarest=True)
+    return found.select("id", "organization_id", "property_designation")
+
+
+_ALIKE = " norra hamnens industriområde, etapp två"
+
+
+@query("match_alike_endings", f"""
+    WITH r AS (SELECT organization_id, substring(property_designation, 9) || '{_ALIKE}' AS property_designation, municipality FROM d_properties),
+    p AS (SELECT id, municipality, replace(address, ', hus 2', '{_ALIKE.upper()}, hus 2') AS address FROM d_permits)
+    SELECT id, organization_id, property_designation FROM p JOIN r
+      ON {normal_place('p.municipality')} = {normal_place('r.municipality')} AND contains(lower(p.address), lower(r.property_designation))""")
+def _(s, d):
+    """Designations that differ in their first letters only, and all end in more letters than a piece has."""
+    r = frame(s, d, "d_properties").withColumn("property_designation", F.concat(F.substring("property_designation", 9, 99), F.lit(_ALIKE)))
+    p = frame(s, d, "d_permits").withColumn("address", F.replace("address", F.lit(", hus 2"), F.lit(_ALIKE.upper() + ", hus 2")))
+    return matching.match_properties(p, r, rarest=True).select("id", "organization_id", "property_designation")
+
+
 @query("match_properties", f"WITH {_MATCH} SELECT id, organization_id, property_designation FROM mt")
 def _(s, d):
     return matches(s, d).select("id", "organization_id", "property_designation")

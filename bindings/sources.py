@@ -202,6 +202,17 @@ def _(s, d):
     return scans.scan_unverified(config_rows(s, d), browser_only=True).select("municipality", "config.listing_url")
 
 
+@query("scan_targets", "SELECT name, homepage AS url FROM d_places WHERE homepage <> ''")
+def _(s, d):
+    return scans.scan_targets(frame(s, d, "d_places"))
+
+
+@query("scan_named_targets", """
+    SELECT name, homepage AS url FROM d_places WHERE homepage <> '' AND (contains(lower(name), '#00000001') OR contains(lower(name), '7'))""")
+def _(s, d):
+    return scans.scan_targets(frame(s, d, "d_places"), ["#00000001", "7"])
+
+
 # Projections
 
 @query("map_fields", """

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.functions import names, urls
+from noticeworks.functions.text import with_once
 from noticeworks.operators.lookups import mangled_to_reference, match_seed_to_source
 
 
 def duplicate_groups(configs: DataFrame) -> DataFrame:
-    """Members of groups that share the same letters, one row each, with the group's size."""
-    keyed = configs.withColumn("letters", names.letters_key(F.col("name")))
-    return keyed.withColumn("members", F.count("*").over(Window.partitionBy("letters"))).where(F.col("members") > 1)
+    """Members of groups that share the same letters, one row each, with the group's size.
+
+    Groups are counted before the shuffle and joined back, so a name that many rows have is split
+    like any hot key of a join.
+    """
+    keyed = with_once(configs, letters=names.letters_key(F.col("name")))
+    sizes = keyed.groupBy("letters").agg(F.count("*").alias("members")).where(F.col("members") > 1)
+    return keyed.join(sizes, "letters").select(*keyed.columns, "members")
 
 
 def plan_duplicate_deletions(configs: DataFrame, reference: DataFrame) -> DataFrame:

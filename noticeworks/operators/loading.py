@@ -37,7 +37,7 @@ def insert_if_absent_nullkey(target: DataFrame, batch: DataFrame, primary: str,
         return df.where(F.col(primary).isNull()).withColumn("_key", F.struct(*dedup))
 
     first = top_per_group(keyed(batch), ["_key"], [F.col(c) for c in order], 1)
-    return first.join(keyed(target).select("_key"), "_key", "left_anti").drop("_key")
+    return first.join(keyed(target).select("_key").distinct(), "_key", "left_anti").drop("_key")
 
 
 def insert_records(target: DataFrame, batch: DataFrame, primary: str, key: Sequence[str],

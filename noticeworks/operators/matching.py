@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions import names, records
 from noticeworks.functions.text import blank_to_null
+from noticeworks.session import stored
 
 _GRAM_SIZES = (1, 2, 4, 8, 16, 32)
 
@@ -51,8 +52,44 @@ def containing_pairs(left: DataFrame, text: str, right: DataFrame, needle: str,
         F.contains(F.col(text), F.col(needle))).drop("_text")
 
 
-def match_properties(permits: DataFrame, properties: DataFrame) -> DataFrame:
-    """Permits whose address contains a property's designation in the same municipality."""
+def _pieces(text: Column) -> Column:
+    """All pieces of a text that are as long as its anchor."""
+    size = F.length(_anchor(text))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, size)))
+
+
+def rarest_hits(left: DataFrame, text: str, right: DataFrame, needle: str, keys: list[str]) -> DataFrame:
+    """Pairs of a text (its hash in ``_text``) and a needle whose rarest piece the text has.
+
+    How many texts have each piece of a needle is counted first, under the same key; a piece that no
+    text has rules its needle out. The pieces of the distinct texts that are pieces of some needle are stored, as
+    the counts and the look-up both read them.
+    """
+    needles = right.select(*keys, needle).distinct().withColumn("_size", F.length(_anchor(F.col(needle))))
+    asked = needles.select(*keys, needle, F.explode(F.transform(_pieces(F.col(needle)), lambda x: F.xxhash64(x))).alias("_piece"))
+    sizes = needles.groupBy(*keys).agg(F.collect_set("_size").alias("_sizes"))
+    cut = left.select(*keys, text).distinct().join(sizes, keys).select(
+        *keys, F.xxhash64(text).alias("_text"), F.explode(F.transform(_grams(F.col(text), F.col("_sizes")), lambda x: F.xxhash64(x))).alias("_piece"))
+    hits = stored(cut.join(asked.select(*keys, "_piece").distinct(), [*keys, "_piece"], "left_semi"), "pieces")
+    counts = hits.groupBy(*keys, "_piece").agg(F.count("*").alias("_texts"))
+    rarest = asked.join(counts, [*keys, "_piece"], "left").groupBy(*keys, needle).agg(
+        F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("texts"), "_piece")).alias("_rarest"))
+    anchored = rarest.where(F.col("_rarest.texts") > 0).select(*keys, needle, F.col("_rarest._piece").alias("_piece"))
+    return hits.join(anchored, [*keys, "_piece"]).drop("_piece")
+
+
+def containing_pairs_by_rarest(left: DataFrame, text: str, right: DataFrame, needle: str, keys: list[str]) -> DataFrame:
+    """As ``containing_pairs``, for needles that end alike: each is looked up by its rarest piece."""
+    pairs = rarest_hits(left, text, right, needle, keys)
+    found = left.withColumn("_text", F.xxhash64(text)).join(pairs, [*keys, "_text"]).where(F.contains(F.col(text), F.col(needle)))
+    return found.drop("_text").join(right, [*keys, needle])
+
+
+def match_properties(permits: DataFrame, properties: DataFrame, rarest: bool = False) -> DataFrame:
+    """Permits whose address contains a property's designation in the same municipality.
+
+    With ``rarest`` designations are looked up by their rarest piece, which pays where many of a municipality end alike.
+    """
     left = permits.where(
         blank_to_null(F.col("address")).isNotNull() & blank_to_null(F.col("municipality")).isNotNull()
     ).withColumns({
@@ -62,7 +99,8 @@ def match_properties(permits: DataFrame, properties: DataFrame) -> DataFrame:
     ).select(
         "organization_id", "property_designation", F.lower("property_designation").alias("_needle"),
         names.normalize_municipality(F.col("municipality")).alias("_place"))
-    return containing_pairs(left, "_address", right, "_needle", ["_place"]).drop("_address", "_needle", "_place")
+    pairs = containing_pairs_by_rarest if rarest else containing_pairs
+    return pairs(left, "_address", right, "_needle", ["_place"]).drop("_address", "_needle", "_place")
 
 
 def permit_signals(matches: DataFrame) -> DataFrame:

@@ -6,14 +6,14 @@ same code serves files (``spark.read.text(path, wholetext=True)``) and columns.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeworks.functions import html
-from noticeworks.functions.text import blank_to_null
+from noticeworks.functions.text import any_of, blank_to_null
 from noticeworks.functions.times import day, moment
 
 RECORD_SCHEMA = (
@@ -240,6 +240,7 @@ def scan_unverified(rows: DataFrame, browser_only: bool = False) -> DataFrame:
     return kept.where(blank_to_null(F.col("config.listing_url")).isNotNull())
 
 
-def scan_targets(places: DataFrame) -> DataFrame:
-    """Places that have a home page."""
-    return places.where(F.col("homepage").isNotNull()).select("name", F.col("homepage").alias("url"))
+def scan_targets(places: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """Places that have a home page, and if parts of names are given, only those whose name has one."""
+    targets = places.where(blank_to_null(F.col("homepage")).isNotNull()).select("name", F.col("homepage").alias("url"))
+    return targets if only is None else targets.where(any_of(F.lower("name"), [part.lower() for part in only]))

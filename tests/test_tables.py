@@ -213,3 +213,23 @@ def test_streamed_records_are_added_once(spark, tmp_path):
     arrive("1.json", [{"place": "a", "nr": "1", "addr": "x", "arrival": 1}, {"place": "a", "nr": "2", "addr": "x", "arrival": 2}, {"place": "a", "addr": "q", "arrival": 3}])
     arrive("2.json", [{"place": "a", "nr": "2", "addr": "y", "arrival": 4}, {"place": "a", "addr": "q", "arrival": 5}, {"place": "b", "nr": "2", "arrival": 6}])
     assert rows(spark.read.parquet(target), "place", "nr", "arrival") == [("a", "1", 0), ("a", "2", 2), ("a", None, 3), ("b", "2", 6)]
+
+
+def test_rarest_piece_finds_what_comparing_all_finds_in_few_tries(spark):
+    suffix = " i norra hamnens industriområde vid kajen"
+    right = spark.createDataFrame([("m", f"kv {i}:1{suffix}", i) for i in range(3000)] + [("m", "x", 1), ("n", "kv 5:1" + suffix, 2), ("m", "nowhere at all", 3)], "k string, needle string, o int")
+    texts = [("m", f"a kv {i}:1{suffix}, hus {i % 7}", i) for i in range(0, 3000, 10)] + [("m", "nowhere at al", 1), ("n", "kv 5:1" + suffix, 2), ("m", "", 3), ("m", "xx", 4), ("m", "xx", 5)]
+    left = spark.createDataFrame(texts, "k string, t string, id int")
+    want = sorted((i, o) for k, t, i in texts for k2, n, o in [("m", f"kv {j}:1{suffix}", j) for j in range(3000)] + [("m", "x", 1), ("n", "kv 5:1" + suffix, 2)] if k == k2 and n in t)
+    found = matching.containing_pairs_by_rarest(left, "t", right, "needle", ["k"])
+    assert sorted(rows(found, "id", "o")) == want
+    tries = matching.rarest_hits(left, "t", right, "needle", ["k"]).count()
+    assert tries <= 1.1 * len(want)
+
+
+def test_duplicates_of_a_hot_name_are_counted_before_the_shuffle(spark):
+    configs = spark.createDataFrame([(i, "Habo" if i % 3 else f"n{chr(97 + i % 26)}", True) for i in range(300)] + [(900, None, True)], "id int, name string, approved boolean")
+    got = curation.duplicate_groups(configs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan
+    assert {r["members"] for r in got.where("name = 'Habo'").collect()} == {200}
