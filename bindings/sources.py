@@ -14,7 +14,7 @@ from bindings.sqltext import (
     permit_class, q, rx, sanitized, stripped, trim,
 )
 from noticeworks import config
-from noticeworks.functions import html, names, urls
+from noticeworks.functions import composition, html, names, urls
 from noticeworks.operators import boards, shaping
 from noticeworks.plans import daily_run
 from noticeworks.session import shared_folder
@@ -481,6 +481,25 @@ def _(s, d):
 
 # Names
 
+# Marks of several scripts, out of order and doubled; parts of syllables; letters that have another canonical form.
+_MARKED = (
+    "e" + chr(0x301), "a" + chr(0x302) + chr(0x323), "o" + chr(0x323) + chr(0x302) + chr(0x302), chr(0x212B) + chr(0x2126) + chr(0x1E9B) + chr(0x323),
+    chr(0x1112) + chr(0x1161) + chr(0x11AB) + chr(0xAC00) + chr(0x11A8), chr(0x915) + chr(0x93C) + chr(0x928) + chr(0x93C),
+    chr(0x5D9) + chr(0x5B4) + chr(0xFB1D), chr(0x627) + chr(0x654) + chr(0x653), chr(0x3B1) + chr(0x345) + chr(0x301), chr(0xF71) + chr(0xF74) + chr(0xF73),
+    chr(0x30AB) + chr(0x3099), chr(0x11099) + chr(0x110BA), chr(0x323) + chr(0x302) + "x", chr(0x6D5) + chr(0x654))
+
+
+@query("nfc_any_script", "SELECT doc_id, nfc_normalize(" + "".join("replace(" for _ in _MARKED) + "text" + "".join(
+    f", '{word}', ' ' || " + " || ".join(f"chr({ord(c)})" for c in marked) + " || '!')"
+    for word, marked in zip(("the ", "and ", "of ", "to ", "in ", "de ", "la ", "die ", "der ", "und ", "que ", "les ", "el ", "en "), _MARKED)) + ") AS text FROM documents")
+def _(s, d):
+    """Whole texts in which frequent words stand for letters with marks."""
+    t = F.col("text")
+    for word, marked in zip(("the ", "and ", "of ", "to ", "in ", "de ", "la ", "die ", "der ", "und ", "que ", "les ", "el ", "en "), _MARKED):
+        t = F.replace(t, F.lit(word), F.lit(f" {marked}!"))
+    return table(s, d, "documents").select("doc_id", composition.nfc_any(t).alias("text"))
+
+
 @query("nfc", """
     SELECT doc_id, nfc_normalize(replace(replace(replace(text, 'é', 'e' || chr(769)), 'ä', 'a' || chr(776)), 'Ü', 'U' || chr(776))) AS text FROM documents""")
 def _(s, d):

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from noticeworks import config
+from noticeworks.functions.composition import nfc_any
 from noticeworks.functions.text import SPACE, any_of, compose, fold, let, lookup, strip
 
 
@@ -17,10 +14,9 @@ def nfc(c: Column) -> Column:
     return compose(c)
 
 
-@F.pandas_udf(StringType())
-def nfc_any_script(values: pd.Series) -> pd.Series:
+def nfc_any_script(c: Column) -> Column:
     """Canonical composition beyond the letters ``nfc`` knows."""
-    return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
+    return nfc_any(c)
 
 
 def _without_suffixes(c: Column) -> Column:

@@ -1,8 +1,11 @@
 """Names, pages and URLs: spelling traps the test tables do not contain."""
 
+import random
+import unicodedata
+
 from pyspark.sql import functions as F
 
-from noticeworks.functions import html, names, urls
+from noticeworks.functions import composition, html, names, urls
 
 NBSP = "\u00a0"
 
@@ -74,3 +77,17 @@ def test_source_kinds(apply):
     given = ["https://a.example/#!/billboard/", "https://FORUM.ort.se/x", "https://www.netpublicator.com/bulletinboard/public/1", "https://b.example"]
     assert apply(lambda c: urls.source_kind(c, F.lit(False)), given) == ["ciceron", "meetingplus", "netpublicator", "http"]
     assert apply(lambda c: urls.source_kind(c, F.lit(True)), given[3:]) == ["browser"]
+
+
+def test_composition_of_any_script_is_that_of_the_library(spark):
+    rng = random.Random(1)
+    _, classes, pairs = composition._tables()
+    marks, starters = list(classes), [*"aouAÅÄn", *(p[0] for p in pairs), *map(chr, (0x1112, 0xAC00, 0xAC01, 0x3131, 0x212B, 0x2126, 0xF73, 0x1F71, 0xF900, 0x1D15E))]
+    joining = [p[1] for p in pairs] + [chr(0x1161), chr(0x11A8), chr(0x11A7)]
+    texts = ["", "abc", None, "é" * 3, "\r\né\x00", chr(0x323) + chr(0x302), "x" * 5000 + "e" + chr(0x301)]
+    texts += ["".join(rng.choice(rng.choice((starters, marks, joining))) for _ in range(rng.randint(1, 8))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    made = df.select("i", composition.nfc_any(F.col("t")).alias("t"))
+    assert "Python" not in made._jdf.queryExecution().executedPlan().toString()[:100_000].split("LocalTableScan")[0]
+    got = [r["t"] for r in made.orderBy("i").collect()]
+    assert got == [t if t is None else unicodedata.normalize("NFC", t) for t in texts]
