@@ -23,7 +23,7 @@ BYTES = np.arange(256, dtype=np.uint8)
 BYTES[65:91] += 32
 BYTES[[*b".,;:!?\n\x0b\x0c\r"]] = 10
 #: Rows of one Arrow batch that leaves a task; distinct phrases that a task sums up before it emits them.
-EMITTED, WAITING = 1 << 18, 1 << 22
+EMITTED, WAITING = 1 << 18, 3 << 19
 #: Bits of a key that hold the length of its phrase.
 LENGTH_BITS = 3
 TOKENS = "slice long, shard int, lang string, words array<string>, keys array<long>, counts array<long>, codes binary, places long"
