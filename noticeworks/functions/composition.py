@@ -1,30 +1,25 @@
-"""Unicode canonical composition (NFC) of any script, as native expressions.
-
-The tables come from Python's ``unicodedata`` when a column is built and are literals of the plan.
-Hangul is composed by arithmetic.
-"""
+"""Unicode canonical composition (NFC) of any script, as a native expression."""
 
 from __future__ import annotations
 
 import functools
-import json
 import sys
 import unicodedata
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from noticeworks.functions.text import let
-
 #: Nothing up to this one is a mark or has another composed form.
 _PLAIN = r"\x00-\x{2ff}"
-_L, _V, _T, _S = 0x1100, 0x1161, 0x11A7, 0xAC00
+_S = 0xAC00
 
 
 @functools.lru_cache(maxsize=1)
 def _tables() -> tuple[dict[str, str], dict[str, int], dict[str, str]]:
-    """Full decompositions, combining classes other than 0, and pairs with their composition; without Hangul."""
+    """Full decompositions, combining classes other than 0, and pairs with their composition; without Hangul.
+
+    Of Python's ``unicodedata``; what the composer gives is compared with them.
+    """
     apart, classes, pairs = {}, {}, {}
     for point in range(sys.maxunicode + 1):
         c = chr(point)
@@ -41,92 +36,8 @@ def _tables() -> tuple[dict[str, str], dict[str, int], dict[str, str]]:
     return apart, classes, pairs
 
 
-@functools.lru_cache(maxsize=1)
-def _segment() -> str:
-    """A stretch of plain characters, or one character with all that may be joined to it or move before it."""
-    apart, classes, pairs = _tables()
-    joining = sorted({*map(ord, classes), *(ord(c) for c, whole in apart.items() if whole[0] in classes), *(ord(pair[1]) for pair in pairs), *range(_V, _V + 21), *range(_T + 1, _T + 28)})
-    ranges, first = [], 0
-    for i, point in enumerate(joining):
-        if i + 1 == len(joining) or joining[i + 1] != point + 1:
-            ranges.append(rf"\x{{{joining[first]:x}}}-\x{{{point:x}}}")
-            first = i + 1
-    marks = "".join(ranges)
-    return rf"(?:[{_PLAIN}](?![{marks}])){{1,200}}+|(?s:.)[{marks}]*"
-
-
-def _paged(table: dict[str, object], kind: str) -> Callable[[Column, Column], Column]:
-    """A look-up in a literal table: of the page of a character, 256 code points, only the entries of that page are compared."""
-    pages: list[dict[str, object] | None] = [None] * (1 + max(ord(key[0]) >> 8 for key in table))
-    for key, value in table.items():
-        pages[ord(key[0]) >> 8] = {**(pages[ord(key[0]) >> 8] or {}), key: value}
-    literal = F.from_json(F.lit(json.dumps(pages)), f"array<map<string,{kind}>>")
-    return lambda first, key: F.try_element_at(F.get(literal, F.shiftright(F.ascii(first), 8)), key)
-
-
-def _hangul(first: Column, second: Column) -> Column:
-    """The syllable of a leading consonant and a vowel, or of a syllable and a final consonant; null for others."""
-    a, b = F.ascii(first), F.ascii(second)
-    open_ = a.between(_S, _S + 11171) & ((a - _S) % 28 == 0)
-    return _char(
-        F.when(a.between(_L, _L + 18) & b.between(_V, _V + 20), _S + ((a - _L) * 21 + (b - _V)) * 28)
-        .when(open_ & b.between(_T + 1, _T + 27), a + (b - _T)))
-
-
-def _char(point: Column) -> Column:
-    """The character of a code point beyond ASCII in the basic plane, from its three bytes."""
-    def byte(value: Column) -> Column:
-        return F.unhex(F.lpad(F.hex(value), 2, "0"))
-
-    three = F.concat(byte(0xE0 + F.shiftright(point, 12)), byte(0x80 + F.shiftright(point, 6) % 64), byte(0x80 + point % 64))
-    return F.decode(three, "UTF-8")
-
-
-def _composed(segment: Column) -> Column:
-    """One segment decomposed, its marks in canonical order, and composed again."""
-    apart, classes, pairs = _tables()
-    parts_of, class_of, pair_of = _paged(apart, "string"), _paged(classes, "int"), _paged(pairs, "string")
-
-    def of_class(c: Column) -> Column:
-        return F.coalesce(class_of(c, c), F.lit(0))
-
-    def characters_of(text: Column) -> Column:
-        return F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))
-
-    characters = characters_of(F.array_join(F.transform(characters_of(segment), lambda c: F.coalesce(parts_of(c, c), c)), ""))
-    # Each with the number of starters up to it, its class and its place: sorting puts marks in order between starters.
-    start = F.struct(F.lit(0).alias("run"), F.array().cast("array<struct<run:int,k:int,i:int,c:string>>").alias("out"))
-
-    def number(state: Column, c: Column) -> Column:
-        k = of_class(c)
-        run = state["run"] + F.when(k == 0, 1).otherwise(0)
-        item = F.struct(run.alias("run"), k.alias("k"), F.size(state["out"]).alias("i"), c.alias("c"))
-        return F.struct(run.alias("run"), F.concat(state["out"], F.array(item)).alias("out"))
-
-    ordered = F.array_sort(F.aggregate(characters, start, number, lambda s: s["out"]))
-    # before: what is finished; last: class of the last mark that stayed behind the starter, -1 if there is none
-    empty = F.struct(F.lit("").alias("before"), F.lit(None).cast("string").alias("starter"), F.lit("").alias("marks"), F.lit(-1).alias("last"))
-
-    def join(state: Column, item: Column) -> Column:
-        k, c = item["k"], item["c"]
-        reachable = state["starter"].isNotNull() & ((state["last"] == -1) | (state["last"] < k))
-        joined = F.when(reachable, F.coalesce(pair_of(state["starter"], F.concat(state["starter"], c)), _hangul(state["starter"], c)))
-        finished = F.concat(state["before"], F.coalesce(state["starter"], F.lit("")), state["marks"])
-        return let(joined, lambda found: F.when(
-            found.isNotNull(), F.struct(state["before"].alias("before"), found.alias("starter"), state["marks"].alias("marks"), state["last"].alias("last"))
-        ).when(
-            k == 0, F.struct(finished.alias("before"), c.alias("starter"), F.lit("").alias("marks"), F.lit(-1).alias("last"))
-        ).otherwise(
-            F.struct(state["before"].alias("before"), state["starter"].alias("starter"), F.concat(state["marks"], c).alias("marks"), k.alias("last"))))
-
-    return F.aggregate(ordered, empty, join, lambda s: F.concat(s["before"], F.coalesce(s["starter"], F.lit("")), s["marks"]))
-
-
 def nfc_any(c: Column) -> Column:
-    """Canonical composition. Text of plain letters is returned as it is, and in other text only
-    segments with marks or with characters beyond the plain ones are worked on. A segment takes time with the square of its
-    marks; no writing has more than a few."""
-    segments = F.regexp_extract_all(c, F.lit(_segment()), F.lit(0))
-    plain = rf"^[{_PLAIN}]*\z"
-    odd = F.array_join(F.transform(segments, lambda s: F.when(s.rlike(plain), s).otherwise(_composed(s))), "")
-    return F.when(c.rlike(rf"[^{_PLAIN}]"), odd).otherwise(c)
+    """Canonical composition. Text of plain letters is returned as it is, other text goes through the composer
+    of ICU, which Spark brings along for its collations: whole texts at once, one pass over each."""
+    composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
+    return F.when(c.rlike(rf"[^{_PLAIN}]"), composed).otherwise(c)

@@ -91,3 +91,12 @@ def test_composition_of_any_script_is_that_of_the_library(spark):
     assert "Python" not in made._jdf.queryExecution().executedPlan().toString()[:100_000].split("LocalTableScan")[0]
     got = [r["t"] for r in made.orderBy("i").collect()]
     assert got == [t if t is None else unicodedata.normalize("NFC", t) for t in texts]
+
+
+def test_composition_of_long_texts_takes_one_pass(spark):
+    """A stretch of many marks took time with its square, and every marked segment its own lambdas."""
+    texts = ["a" + chr(0x301) * 20_000 + chr(0x323), ("e" + chr(0x301) + " ") * 200_000, (chr(0x1112) + chr(0x1161) + chr(0x11AB)) * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    made = df.select("i", composition.nfc_any(F.col("t")).alias("t"))
+    assert "lambda" not in made._jdf.queryExecution().executedPlan().toString().split("LocalTableScan")[0]
+    assert [r["t"] for r in made.orderBy("i").collect()] == [unicodedata.normalize("NFC", t) for t in texts]
