@@ -41,8 +41,11 @@ def word_slices(texts: pa.Array, lower=pc.ascii_lower, limit: int = SLICE_BYTES)
         flat = pc.list_flatten(split)
         full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
         coded = flat.filter(pa.array(full)).dictionary_encode()
-        before = np.concatenate([[0], np.cumsum(full, dtype=np.int64)])
-        yield Words(first, last, coded.indices.to_numpy().astype(np.int64), before[ends - ends[0]], coded.dictionary)
+        offsets = np.concatenate([[0], np.cumsum(full, dtype=np.int64)])[ends - ends[0]]
+        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        del split, ends, flat, full, coded  # not held while the caller works on the slice
+        pa.default_memory_pool().release_unused()
+        yield Words(first, last, codes, offsets, words)
 
 
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from noticeworks.llm.common import stored
 from noticeworks.llm.ngram_join import _mix
 
 #: Bytes of text counted and scored together in one task, and of the text behind one partition of counts.
-SLICE_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+SLICE_BYTES, BUCKET_BYTES = 3 << 20, 8 << 20
 #: Counts up to this one are discounted by Good-Turing.
 DISCOUNTED = 5
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -65,23 +65,33 @@ class Slice(NamedTuple):
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Slice]]:
     for w in word_slices(batch["text"], limit=SLICE_BYTES):
-        rows = w.last - w.first
-        word = _word_keys(w.words)
+        rows, first, last = w.last - w.first, w.first, w.last
         counts = np.diff(w.offsets) + 1  # with the end
         row = np.repeat(np.arange(rows), counts)
         ends = np.cumsum(counts) - 1
         inside = np.ones(len(row), dtype=bool)
         inside[ends] = False
-        token = np.full(len(row), _even(END), dtype=np.uint64)
-        token[inside] = word[w.codes]
-        context = np.concatenate([[START], token[:-1]]).astype(np.uint64)
-        context[ends[:-1] + 1] = START
-        pair = _mix(context * np.uint64(3) + token) | np.uint64(1)
-        keys, place = np.unique(np.concatenate([token, pair]), return_inverse=True)
-        word_at, pair_at = place[:len(token)], place[len(token):]
-        before = np.concatenate([[-1], word_at[:-1]])
+        # Only the pairs are sorted token by token; words are by their dictionary.
+        words, of_word = np.unique(np.concatenate([_word_keys(w.words), [_even(END)]]), return_inverse=True)
+        token = np.full(len(row), of_word[-1], dtype=np.int32)
+        token[inside] = of_word[w.codes]
+        del w
+        pair = np.concatenate([[START], words[token[:-1]]]).astype(np.uint64)
+        pair[ends[:-1] + 1] = START
+        pair *= np.uint64(3)
+        pair += words[token]
+        pair = _mix(pair) | np.uint64(1)
+        pairs, of_pair = np.unique(pair, return_inverse=True)
+        del pair
+        of_pair = of_pair.astype(np.int32)
+        keys = np.concatenate([words, pairs])
+        order = np.argsort(keys)
+        keys, place = keys[order], np.empty(len(keys), dtype=np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        word_at, pair_at = place[token], place[len(words) + of_pair]
+        before = np.concatenate([np.array([-1], dtype=np.int32), word_at[:-1]])
         before[ends[:-1] + 1] = -1
-        yield w.first, w.last, Slice(row, word_at, before, pair_at, keys)
+        yield first, last, Slice(row, word_at, before, pair_at, keys)
 
 
 def _even(x: np.ndarray) -> np.ndarray:

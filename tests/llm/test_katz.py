@@ -2,9 +2,12 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from noticeworks.llm import katz
@@ -113,3 +116,19 @@ def test_discounts_of_uneven_counts():
     for n in ([0] * 6, [5, 0, 3, 0, 0, 1], [1, 1, 1, 1, 1, 1], [100, 40, 20, 12, 8, 6]):
         d = katz.Discounts.good_turing(n)
         assert all(0 < x < 1 for x in d.at[1:]) and 0 < d.loss < katz.DISCOUNTED
+
+
+def test_memory_of_a_slice_by_its_tokens():
+    """A slice sorts its pairs only, and the buffers of its words are gone by then."""
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(f"w{i}" for i in rng.zipf(1.3, 1000) % 50_000) for _ in range(500)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    tracemalloc.start()
+    slices = list(katz._slices(batch))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    (_, _, s), = slices
+    assert len(s.row) == 500_500 and peak < 100 * len(s.row)
+    words = s.keys & np.uint64(1) == 0
+    assert words[s.word].all() and not words[s.pair].any() and (np.diff(s.keys.astype(object)) > 0).all()
+    assert (s.before[1:][s.row[1:] == s.row[:-1]] == s.word[:-1][s.row[1:] == s.row[:-1]]).all() and (s.before[np.flatnonzero(np.diff(s.row)) + 1] == -1).all()
