@@ -7,14 +7,15 @@ unchanged pages adds its manifest only, and every run can be given back byte for
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeworks import session
 from noticeworks.operators.loading import overwrite_partitions
 
 ITEM = "kind string, source string, name string, part long"
-BLOBS = "hash string, content string, bytes long, run_id string, prefix string"
-MANIFEST = f"{ITEM}, hash string, run_id string"
+BLOBS = "hash binary, content string, bytes long, run_id string, prefix string"
+MANIFEST = f"{ITEM}, hash binary, run_id string"
 
 
 def page_items(pages: DataFrame) -> DataFrame:
@@ -47,14 +48,21 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, f"{path}/runs", MANIFEST)
 
 
+def _hash(content: str = "content") -> Column:
+    return F.unhex(F.sha2(content, 256))
+
+
 def missing_blobs(items: DataFrame, stored: DataFrame, run_id: str) -> DataFrame:
-    """One row per content that is not stored yet. Only hashes of stored blobs are read."""
-    hashed = items.select(F.sha2("content", 256).alias("hash"), "content")
+    """One row per content that is not stored yet.
+
+    Hashes alone are compared with those of stored blobs; contents are moved only if they are new.
+    """
+    new = session.stored(items.select(_hash().alias("hash")).distinct().join(stored.select("hash"), "hash", "left_anti"), "new-hashes")
+    hashed = items.select(_hash().alias("hash"), "content").join(new, "hash", "left_semi")
     # Spark keeps one row per hash and task before the shuffle, however often a content occurs.
-    once = hashed.dropDuplicates(["hash"])
-    return once.join(stored.select("hash"), "hash", "left_anti").select(
+    return hashed.dropDuplicates(["hash"]).select(
         "hash", "content", F.octet_length("content").cast("long").alias("bytes"), F.lit(run_id).alias("run_id"),
-        F.substring("hash", 1, 2).alias("prefix"))
+        F.lower(F.left(F.hex("hash"), F.lit(2))).alias("prefix"))
 
 
 def archive_run(items: DataFrame, path: str, run_id: str) -> None:
@@ -66,7 +74,7 @@ def archive_run(items: DataFrame, path: str, run_id: str) -> None:
     spark = items.sparkSession
     new = missing_blobs(items, blobs(spark, path), run_id)
     new.repartition("prefix").write.mode("append").partitionBy("prefix").parquet(f"{path}/blobs")
-    entries = items.select("kind", "source", "name", "part", F.sha2("content", 256).alias("hash"), F.lit(run_id).alias("run_id"))
+    entries = items.select("kind", "source", "name", "part", _hash().alias("hash"), F.lit(run_id).alias("run_id"))
     overwrite_partitions(entries, f"{path}/runs", "run_id")
 
 

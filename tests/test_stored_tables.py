@@ -101,3 +101,14 @@ def test_a_repeated_run_adds_nothing(spark, tmp_path):
     assert archive.blobs(spark, path).count() == 2 and archive.manifest(spark, path).count() == 2
     assert archive.rebuild(spark, path, "never").count() == 0
     assert archive.run_sizes(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_run_over_stored_contents_moves_hashes_only(spark, tmp_path):
+    """Contents that are stored already are not shuffled; hashes are 32 bytes, not 64 digits."""
+    path = str(tmp_path / "archive")
+    items = archive.page_items(spark.createDataFrame([("a", f"u{i}", f"text {i % 50}") for i in range(200)], "source string, url string, content string"))
+    archive.archive_run(items, path, "r")
+    assert archive.blobs(spark, path).count() == 50 and {len(r["hash"]) for r in archive.blobs(spark, path).collect()} == {32}
+    again = archive.missing_blobs(items, archive.blobs(spark, path), "s")
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert again.count() == 0 and "LeftSemi, BuildRight" in plan and "LeftAnti" not in plan
