@@ -101,7 +101,7 @@ def notice_filter(notices: DataFrame, categories: DataFrame, types: DataFrame) -
     building_types = types.where(F.col("name").rlike("(?iu)" + config.NOTICE_TEXT_PATTERN))
     flagged = in_set_flag(notices, "category_id", building_categories, "id", "is_building_category", ["board_id"])
     flagged = in_set_flag(flagged, "type_key", building_types, "type", "is_building_type", ["board_id"])
-    named = type_name_lookup(notice_text(flagged), types)
+    named = notice_text(type_name_lookup(flagged, types))  # after all joins: the rows that they sort are short, and sorted once for both look-ups of a type
     named = with_once(
         named, permit_type=records.classify_permit_type(F.concat_ws(" ", "all_text", "type_name")),
         has_keyword=F.col("all_text").rlike("(?iu)" + config.NOTICE_TEXT_PATTERN))

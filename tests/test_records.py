@@ -113,3 +113,16 @@ def test_notice_fields(spark):
 
 def test_dates(apply):
     assert apply(records.date_part, ["2026-03-05+01:00", "x", None]) == [date(2026, 3, 5), None, None]
+
+
+def test_notice_texts_are_made_after_the_joins(spark):
+    notice = spark.createDataFrame(
+        [("s", "b", "1", "c", "9", "2026-03-01", "Bygglov", "", [("Beskrivning", "x")], [("Bilaga",)])],
+        "source string, board_id string, id string, category_id string, type_key string, published string, title string, text string, "
+        "metadata array<struct<title:string,value:string>>, attachments array<struct<title:string>>")
+    categories = spark.createDataFrame([("b", "c", "Kultur")], "board_id string, id string, name string")
+    types = spark.createDataFrame([("b", "g", "9", "Kallelse")], "board_id string, id string, type string, name string")
+    made = boards.notice_permits(notice, categories, types, "https://x")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "all_text" in plan and "all_text" not in plan.split("Join", 1)[1]
+    assert made.count() == 1
