@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from noticeworks.session import shared_folder
 
+#: Spark's setting by which the shuffle files of a query go when it ends.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -16,10 +18,17 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written once to the shared folder and read back.
 
     This cuts the lineage: a lost executor costs its running tasks, not the steps before.
-    The size of the files is known to the optimizer, which broadcasts only small ones.
+    The size of the files is known to the optimizer, which broadcasts only small ones. The shuffle
+    files behind it are not needed again and go at once, so steps do not add up on the executors' disks.
     """
     path = f"{shared_folder(frame.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    conf = frame.sparkSession.conf
+    before = conf.get(SHUFFLES_GO, "false")
+    conf.set(SHUFFLES_GO, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        conf.set(SHUFFLES_GO, before)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

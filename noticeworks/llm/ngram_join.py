@@ -74,21 +74,17 @@ def _classes(largest: int, percent: int = 90) -> tuple[np.ndarray, np.ndarray]:
     return np.array(least[:-1]), _differ(2 * (np.array(least[1:]) - 1), percent)
 
 
-def fragment_keys(rows: np.ndarray, grams: np.ndarray, n_rows: int, percent: int = 90) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and keys of the fragments of all sets: linked sets have a key in common.
+def _class_keys(rows: np.ndarray, grams: np.ndarray, n_rows: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each step above the own class: rows and keys, ordered by row; of every row how many keys it shares with a set that it links with, and how many members both can differ in.
 
-    The global order of n-grams is cut into equal fragments, ``SPARE`` and one more than linked
-    sets of a class can differ in members, so they have ``SPARE`` + 1 equal fragments at least. The key
-    of a fragment is a hash of its members. A set takes part in its own class and in each greater one
-    that has sizes it can link with. Sets with over ``SPARE`` empty fragments give
-    keys for those too, as two of them could have no other equal fragment; two
-    sets of which one has fewer always share a fragment that is not empty. Classes in which
-    linked sets cannot differ need no keys: equal sets are known by their id.
+    See ``fragment_keys``. A linked pair of which the larger set is of the class has at most ``_differ`` unequal
+    fragments, for the greatest size the row's set can link with in it. All other keys of the row are keys of the other set
+    too, but for ``SPARE`` empty fragments that only the row gives keys for.
     """
     n = np.bincount(rows, minlength=n_rows)
     least, differ = _classes(int(n.max(initial=1)), percent)
+    most = np.append(least[1:] - 1, np.iinfo(np.int64).max)
     own = np.searchsorted(least, n, "right") - 1
-    out_rows, out_keys = [], []
     for step in range(len(least)):
         of = np.minimum(own + step, len(least) - 1)
         reaches = (n > 0) & ((step == 0) | (100 * n >= percent * least[of]))
@@ -105,16 +101,35 @@ def fragment_keys(rows: np.ndarray, grams: np.ndarray, n_rows: int, percent: int
         r, fragment = r[at], fragment[at].astype(np.int64)
         content = np.add.reduceat(_mix(g + np.uint64(7)), at)
         where = _mix((of * (1 << 32)).astype(np.uint64)[r] + fragment.astype(np.uint64) + np.uint64(1))
-        out_rows.append(r)
-        out_keys.append(_mix(content + where))
+        out_rows, out_keys = [r], [_mix(content + where)]
         full = np.bincount(r, minlength=n_rows)
+        can_differ = _differ(n + np.minimum(100 * n // percent, most[of]), percent)
+        needs = full - can_differ
         for row in np.flatnonzero(takes_part & (cuts - full > SPARE)):
             empty = np.setdiff1d(np.arange(cuts[row]), fragment[np.searchsorted(r, row):np.searchsorted(r, row, "right")])
             out_rows.append(np.full(len(empty), row))
             out_keys.append(_mix(_mix((np.full(len(empty), of[row]) * (1 << 32)).astype(np.uint64) + empty.astype(np.uint64) + np.uint64(1))))
-    if not out_rows:
+            needs[row] += len(empty) - SPARE
+        out_rows, out_keys = np.concatenate(out_rows), np.concatenate(out_keys)
+        order = np.argsort(out_rows, kind="stable")
+        yield out_rows[order], out_keys[order], needs, can_differ
+
+
+def fragment_keys(rows: np.ndarray, grams: np.ndarray, n_rows: int, percent: int = 90) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and keys of the fragments of all sets: linked sets have a key in common.
+
+    The global order of n-grams is cut into equal fragments, ``SPARE`` and one more than linked
+    sets of a class can differ in members, so they have ``SPARE`` + 1 equal fragments at least. The key
+    of a fragment is a hash of its members. A set takes part in its own class and in each greater one
+    that has sizes it can link with. Sets with over ``SPARE`` empty fragments give
+    keys for those too, as two of them could have no other equal fragment; two
+    sets of which one has fewer always share a fragment that is not empty. Classes in which
+    linked sets cannot differ need no keys: equal sets are known by their id.
+    """
+    steps = list(_class_keys(rows, grams, n_rows, percent))
+    if not steps:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    out_rows, out_keys = np.concatenate(out_rows), np.concatenate(out_keys)
+    out_rows, out_keys = (np.concatenate(x) for x in list(zip(*steps))[:2])
     order = np.argsort(out_rows, kind="stable")
     return out_rows[order], out_keys[order]
 
@@ -134,6 +149,21 @@ def _set_ids(rows: np.ndarray, grams: np.ndarray, n: np.ndarray) -> np.ndarray:
     return ids
 
 
+def _parts(rows: np.ndarray, grams: np.ndarray, n_rows: int, percent: int) -> pa.ListArray:
+    """The parts of each row: see ``_class_keys``."""
+    steps = list(_class_keys(rows, grams, n_rows, percent))
+    has = [np.bincount(r, minlength=n_rows) for r, *_ in steps]
+    at = [np.flatnonzero(h) for h in has]
+    row, needs, differ = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (at, *([s[c][i] for s, i in zip(steps, at)] for c in (2, 3))))
+    sizes = np.concatenate([np.zeros(0, np.int64), *(h[i] for h, i in zip(has, at))])
+    keys = np.concatenate([np.zeros(0, np.uint64), *(s[1] for s in steps)])
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    order = pa.array(np.argsort(row, kind="stable"))
+    parts = pa.StructArray.from_arrays([pa.array(needs), pa.array(differ), pa.ListArray.from_arrays(ends, pa.array(keys.view(np.int64)))], ["needs", "differ", "keys"])
+    of_row = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n_rows))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(of_row), parts.take(order))
+
+
 def _emit_sets(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,11 +172,11 @@ def _emit_sets(width: int, percent: int):
                 ids = _set_ids(rows, grams, n)
                 once = np.zeros(last - first, dtype=bool)
                 once[np.unique(ids, return_index=True)[1]] = True  # equal sets of one slice give keys once
-                key_rows, keys = fragment_keys(rows[once[rows]], grams[once[rows]], last - first, percent)
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["text_key"], pa.array(n, pa.int64()), pa.array(ids.view(np.int64)), _lists(key_rows, keys, last - first)],
-                    ["doc_id", "text_key", "n", "set_id", "keys"])
+                    [part["doc_id"], part["text_key"], pa.array(n, pa.int64()), pa.array(ids.view(np.int64)),
+                     _parts(rows[once[rows]], grams[once[rows]], last - first, percent)],
+                    ["doc_id", "text_key", "n", "set_id", "parts"])
     return run
 
 
@@ -161,17 +191,12 @@ def _emit_grams(width: int):
 
 
 def _compare(percent: int):
-    """Of each pair of sets: whether they link, in how many members they differ, and a prefix of those.
-
-    The overlap is counted in every fragment of the larger set's class, and summed. The members in
-    which ``b`` differs from ``a`` are ordered, those that ``a`` lacks first; the prefix has
-    one more than ``b`` can differ in from any set that it links with.
-    """
+    """The pairs of sets that link. The overlap is counted in every fragment of the larger set's class, and summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a_values, b_values = (batch[x].flatten().to_numpy().view(np.uint64) for x in ("grams_a", "grams_b"))
             a_ends, b_ends = (batch[x].offsets.to_numpy() for x in ("grams_a", "grams_b"))
-            linked, differ, prefixes = [], [], []
+            linked = []
             for i in range(len(batch)):
                 a, b = a_values[a_ends[i] - a_ends[0]:a_ends[i + 1] - a_ends[0]], b_values[b_ends[i] - b_ends[0]:b_ends[i + 1] - b_ends[0]]
                 in_a = np.isin(b, a, assume_unique=True)
@@ -180,27 +205,17 @@ def _compare(percent: int):
                 overlaps = np.bincount((((b[in_a] >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)).astype(np.int64), minlength=cuts)
                 common = int(overlaps.sum())
                 linked.append(100 * common >= percent * (len(a) + len(b) - common))
-                differ.append(len(a) + len(b) - 2 * common)
-                reach = _differ(len(b) + 100 * len(b) // percent, percent) + 1
-                prefix = b[~in_a][:reach]
-                if len(prefix) < reach:
-                    prefix = np.concatenate([prefix, a[~np.isin(a, b, assume_unique=True)][:reach - len(prefix)]])
-                prefixes.append(prefix)
-            rows = np.repeat(np.arange(len(batch)), [len(p) for p in prefixes])
-            yield pa.RecordBatch.from_arrays(
-                [batch["a"], batch["b"], pa.array(linked, pa.bool_()), pa.array(differ, pa.int64()),
-                 _lists(rows, np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64), len(batch))],
-                ["a", "b", "linked", "differ", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
     return run
 
 
-def _compared(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs that link; stored. Each pair carries the n-grams of one of its sets through a shuffle."""
     both = (
-        pairs.join(grams.select(F.col("set_id").alias("a"), F.col("grams").alias("grams_a")), "a")
-        .join(grams.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b")), "b")
+        pairs.join(grams.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b")).hint("merge"), "b")
+        .join(grams.select(F.col("set_id").alias("a"), F.col("grams").alias("grams_a")).hint("merge"), "a")
     )
-    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(
-        _compare(percent), "a long, b long, linked boolean, differ long, prefix array<long>")
+    return stored(both.select("a", "b", "grams_a", "grams_b").mapInArrow(_compare(percent), "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -228,6 +243,26 @@ def _several(members: DataFrame, by: list[str], value: str) -> DataFrame:
     return members.join(spread, by, "left_semi")
 
 
+def _enough(shared: DataFrame) -> DataFrame:
+    """The keys that several sets share, of those parts that share as many as a link needs."""
+    parts = Window.partitionBy("set_id", "step")
+    return stored(_several(
+        shared.withColumn("_keys", F.count("*").over(parts)).where("_keys >= needs").drop("_keys"), ["key"], "set_id"), "ngram-enough")
+
+
+def _rarest(shared: DataFrame) -> DataFrame:
+    """Of the keys of each part the rarest, one more than all without those that a link needs.
+
+    Keys of one set alone would come first of all and are no part of ``shared``. A linked pair shares as many keys as it needs, so
+    the rarest of those is among the keys that are left of both. ``room`` is negative where the pair may not differ in so
+    many members as keys come before: if it and the differences of a pair sum up to less than 0, this is not the rarest key of a pair that links.
+    """
+    sizes = shared.groupBy("key").agg(F.count("*").alias("_sets"))
+    parts = Window.partitionBy("set_id", "step")
+    ranked = shared.join(sizes, "key").withColumn("_left", F.count("*").over(parts) - F.col("needs") + 1 - F.row_number().over(parts.orderBy("_sets", "key")))
+    return _several(ranked.where("_left >= 0").select("key", "set_id", "n", (F.col("_left") - F.col("differ")).alias("room")), ["key"], "set_id")
+
+
 def ngram_components(
     docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text", percent: int = 90,
 ) -> DataFrame:
@@ -242,24 +277,27 @@ def ngram_components(
 
     1. Sets and fragment keys of every text are stored; rows with one key meet by one shuffle, in
        which neighbours of the sorted rows tell whether a key holds several sets.
-    2. In each key the set with most shared keys is the hub. Only pairs with a hub are compared, so a
+    2. Linked sets share all keys but as many as they can differ in. Sets that share fewer with others go, twice, and
+       of the rest of each set the rarest keys stay, so many that a linked pair still has one in common.
+    3. In each key the set with most shared keys is the hub. Pairs with a hub are compared first, so a
        group of n near copies costs n comparisons, and their links make components.
-    3. A linked pair that is left lies in two components of one key. Its sets differ from the
-       hub in common members: if x and y link and x and hub do not, then the differences from the
-       hub overlap by at least (dx + dy - d) / 2 members, which is over 0; d is what x and y can differ in. So
-       pairs are found by equal members of difference prefixes, those kept
-       whose counted overlap can still reach that bound, and compared.
+    4. A linked pair that is left lies in two components of one key. Pairs of those are compared whose place of the key
+       among the keys of both sets leaves room for a link.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
     sets = stored(texts.mapInArrow(
-        _emit_sets(width, percent), f"doc_id {id_type}, text_key long, n long, set_id long, keys array<long>"), "ngram-sets")
+        _emit_sets(width, percent),
+        f"doc_id {id_type}, text_key long, n long, set_id long, parts array<struct<needs long, differ long, keys array<long>>>"), "ngram-sets")
 
     by_key = Window.partitionBy("key").orderBy("set_id")
-    members = stored(
-        sets.select(F.explode("keys").alias("key"), "set_id", "n")
+    parts = sets.select("set_id", "n", F.posexplode("parts").alias("step", "part"))
+    shared = stored(
+        parts.select("set_id", "step", F.explode("part.keys").alias("key"))
         .withColumns({"_before": F.lag("set_id").over(by_key), "_after": F.lead("set_id").over(by_key)})
-        .where("_before <> set_id or _after <> set_id").select("key", "set_id", "n").distinct(), "ngram-members")
+        .where("_before <> set_id or _after <> set_id").select("key", "set_id", "step").distinct(), "ngram-shared")
+    needed = parts.select("set_id", "step", "n", "part.needs", "part.differ").dropDuplicates(["set_id", "step"])
+    members = stored(_rarest(_enough(_enough(shared.join(needed, ["set_id", "step"])))), "ngram-members")
 
     # the n-grams of sets that share a key, taken from the first of the texts of each
     wanted = members.select("set_id").distinct().join(sets.select("set_id", "text_key"), "set_id").groupBy("set_id").agg(
@@ -268,37 +306,22 @@ def ngram_components(
         texts.join(wanted.select("text_key").distinct().hint("merge"), "text_key", "left_semi").select("text")
         .mapInArrow(_emit_grams(width), "set_id long, grams array<long>").dropDuplicates(["set_id"]), "ngrams")
 
-    shared = members.groupBy("set_id").agg(F.count("*").alias("keys"))
-    hubs = members.join(shared, "set_id").groupBy("key").agg(F.max(F.struct("keys", "set_id"))["set_id"].alias("hub"))
-    spokes = stored(members.join(hubs, "key").select("hub", "set_id", "n", "key"), "spokes")
-    near = stored(_compared(
-        spokes.where("hub <> set_id").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct(), grams, percent), "hub-pairs")
-    links = near.where("linked").select("a", "b")
+    often = members.groupBy("set_id").agg(F.count("*").alias("keys"))
+    hubs = members.join(often, "set_id").groupBy("key").agg(F.max(F.struct("keys", "set_id", "n", "room")).alias("hub"))
+    spokes = stored(members.join(hubs.select("key", "hub.set_id", "hub.n", "hub.room").toDF("key", "hub", "n_hub", "room_hub"), "key"), "spokes")
+    may_link = "100 * least(n_x, n_y) >= {p} * greatest(n_x, n_y) and least(room_x, room_y) + (n_x + n_y) * {q} div {r} >= 0".format(
+        p=percent, q=100 - percent, r=100 + percent)
+    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("set_id", "n", "room", "component")] for side in "xy")
+    near = spokes.where("hub <> set_id").select(
+        "hub", "set_id", *[F.col(c).alias(f"{c}_y") for c in ("n", "room")], F.col("n_hub").alias("n_x"), F.col("room_hub").alias("room_x"))
+    links = _links(near.where(may_link).select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct(), grams, percent)
     first = components(links)
 
     grouped = spokes.join(first, F.col("set_id") == F.col("node"), "left").select(
-        "key", "hub", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
-    open_ = _several(grouped, ["key"], "component").where("hub <> set_id").select("hub", "set_id", "n", "component").distinct()
-    differences = (
-        open_.join(near.select(F.col("a").alias("hub"), F.col("b").alias("set_id"), "differ", "prefix"), ["hub", "set_id"])
-        .withColumn("rest", F.col("differ") - F.size("prefix"))
-        .select("hub", "set_id", "n", "component", "differ", "rest", F.explode("prefix").alias("member"))
-    )
-    held = _several(differences, ["hub", "member"], "component")
-    x = held.select("hub", "member", *[F.col(c).alias(f"{c}_x") for c in ("set_id", "n", "component", "differ", "rest")])
-    y = held.select("hub", "member", *[F.col(c).alias(f"{c}_y") for c in ("set_id", "n", "component", "differ", "rest")])
-    left = (
-        x.join(y, ["hub", "member"])
-        .where(f"component_x < component_y and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
-        .groupBy("hub", "set_id_x", "set_id_y").agg(
-            F.count("*").alias("common"), *[F.first(c).alias(c) for c in ("n_x", "n_y", "differ_x", "differ_y", "rest_x", "rest_y")])
-        # common members beyond a prefix are all in the rest of the set whose prefix ends first
-        .where(
-            "2 * least(common + greatest(rest_x, rest_y), differ_x, differ_y)"
-            f" >= differ_x + differ_y - (n_x + n_y) * {100 - percent} div {100 + percent}")
-        .select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b")).distinct()
-    )
-    more = _compared(left, grams, percent).where("linked").select("a", "b")
+        "key", "hub", "set_id", "n", "room", F.coalesce("component", "set_id").alias("component"))
+    open_ = stored(_several(grouped.where("hub <> set_id"), ["key"], "component"), "open")
+    left = open_.select("key", *x).join(open_.select("key", *y), "key").where(f"component_x < component_y and {may_link}")
+    more = _links(left.select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b")).distinct(), grams, percent)
     joined = components(links.union(more))
 
     of_set = sets.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id")).join(

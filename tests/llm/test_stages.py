@@ -69,6 +69,28 @@ def test_two_changed_words_in_a_hundred_are_a_near_copy(spark):
     assert len(corpus_pipeline.one_of_near_copies(spark, frame(spark, [(1, " ".join(words)), (2, " ".join(other))]), "").collect()) == 1
 
 
+def sizes_of_stored(monkeypatch):
+    """Rows of all that is stored from now on, by label."""
+    sizes, store = {}, ngram_join.stored
+
+    def counted(frame, label):
+        out = store(frame, label)
+        sizes[label] = sizes.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    return sizes
+
+
+def test_texts_with_a_shared_passage_are_not_compared(spark, monkeypatch):
+    """They share keys, but fewer than linked texts do, so none of their sets is sent to be compared."""
+    sizes = sizes_of_stored(monkeypatch)
+    passage = [f"p{i}" for i in range(120)]
+    rows = [(i, " ".join(passage + [f"t{i}w{j}" for j in range(240)])) for i in range(20)]
+    assert corpus_pipeline.one_of_near_copies(spark, frame(spark, rows), "").count() == 20
+    assert sizes["ngram-shared"] > 0 and sizes["ngrams"] == 0
+
+
 @pytest.mark.parametrize("width,percent", [(3, 90), (5, 80), (2, 50), (1, 35), (2, 100)])
 def test_join_of_other_bounds(spark, width, percent):
     rows = near_copies(7, 40)
