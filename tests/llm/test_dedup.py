@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeworks.llm import exact_dedup, line_dedup, ngram_join, ring_sharding
+from noticeworks.llm.common import stored
 from tests.llm.frames import SCHEMA, empty, odd
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -199,6 +201,36 @@ def test_ngram_join_of_near_copies(spark, seed, size):
     assert sorted(map(tuple, ngram_join.ngram_components(frame).collect()), key=repr) == brute_components(rows)
 
 
+def test_sets_of_one_hub_that_cannot_link_are_not_paired(spark, monkeypatch):
+    """Texts with two passages in common are no candidates for each other: no n-grams of them are read."""
+    read, store = {}, ngram_join.stored
+
+    def kept(frame, label):
+        read[label] = store(frame, label)
+        return read[label]
+
+    monkeypatch.setattr(ngram_join, "stored", kept)
+    a, b = ([f"{x}{i}" for i in range(80)] for x in "ab")
+    rows = [(i, " ".join(a + (b if i else []) + [f"t{i}w{j}" for j in range(80)])) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, ngram_join.ngram_components(docs).collect()), key=repr) == brute_components(rows)
+    assert read["ngrams"].count() == 0
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
+
+    counts = spark.range(1000).groupBy(F.col("id") % 10).count()
+    before = files()
+    stored(counts, "counts")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+
+
 def test_sets_with_empty_fragments_still_meet():
     """Linked sets always have a key in common, also where most fragments are empty."""
     rnd = np.random.default_rng(3)
