@@ -202,16 +202,16 @@ class Phrases(NamedTuple):
 def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int, log2: int) -> Phrases:
     """Dynamic itemset counting over the shards of a table made by ``tokenized``."""
     spark = tokens.sparkSession
-    history, words, complete, open_ = [Bits.empty(log2)], [], [], None
+    history, words, complete, open_ = [Bits.empty(log2).packed()], [], [], None  # packed, as the driver holds those of all scans
     sent: dict[int, Broadcast] = {}
 
     def bits(step: int) -> Broadcast:
         if step not in sent:
-            sent[step] = spark.sparkContext.broadcast(history[step].packed())
+            sent[step] = spark.sparkContext.broadcast(history[step])
         return sent[step]
 
     step = 0
-    while step < shards or not np.array_equal(history[step].bits, history[step - shards].bits):
+    while step < shards or history[step] != history[step - shards]:
         shard = tokens.where(F.col("shard") == step % shards)
         parts = [] if open_ is None else [open_]
         if step < shards:
@@ -227,13 +227,13 @@ def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int,
             F.sum("count").alias("count"), F.min("first").alias("first"), F.first("slice").alias("slice")), "phrase-counts")  # any slice will do
         length = F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1)
         often = F.col("count") >= threshold
-        history.append(history[step].plus(merged.where(often & (length < longest))))
+        history.append(Bits.unpacked(history[step], log2).plus(merged.where(often & (length < longest))).packed())
         # A phrase that was first found in this step of the last cycle or before has been through all shards.
         complete.append(merged.where(often & (F.col("first") == step - shards + 1)))
         open_ = merged.where(F.col("first") > step - shards + 1)
         step += 1
         if step > shards and step - shards - 1 in sent:
-            sent.pop(step - shards - 1).unpersist()
+            sent.pop(step - shards - 1).destroy()
     complete.append(open_.where(F.col("count") >= threshold))
     found = stored(functools.reduce(DataFrame.unionByName, complete).where(
         F.col("key").bitwiseAND((1 << LENGTH_BITS) - 1) > 1).select("key", "count", "first", "slice"), "phrase-frequent")
@@ -242,6 +242,8 @@ def count_phrases(tokens: DataFrame, threshold: int, longest: int, shards: int,
         _traced(bits(step), wanted, log2, longest), "key long, prefix long, suffix long").groupBy("key").agg(
         F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"))
     frequent = stored(found.join(traced, "key").select("key", "count", "prefix", "suffix", "first"), "phrase-parts")
+    for bitmap in (wanted, *sent.values()):
+        bitmap.destroy()  # all that reads them is stored
     every = functools.reduce(DataFrame.unionByName, words).groupBy("lang", "word", "key").agg(F.sum("count").alias("count"))
     return Phrases(stored(every, "phrase-vocabulary"), frequent, step)
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -80,6 +81,19 @@ def test_lengths_are_interleaved_and_every_cycle_is_whole(spark, texts):
     assert counted.steps <= 5 * 4
 
 
+def test_driver_holds_few_bitmaps(spark):
+    """However many scans there are: bitmaps of 8 MB are packed when the next one is made."""
+    docs = spark.createDataFrame([("en", "a b c d e f g") for _ in range(40)], "lang string, text string").repartition(4)
+    tokens = co.tokenized(docs, "text", "lang", 4)
+    tracemalloc.start()
+    try:
+        steps = co.count_phrases(tokens, 12, 5, 4, 26).steps
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert steps >= 6 and peak < 45e6
+
+
 def test_bits_hold_what_was_added(spark):
     rng = random.Random(5)
     keys = [rng.getrandbits(64) - 2**63 for _ in range(500)]
