@@ -263,6 +263,23 @@ def _rarest(shared: DataFrame) -> DataFrame:
     return _several(ranked.where("_left >= 0").select("key", "set_id", "n", (F.col("_left") - F.col("differ")).alias("room")), ["key"], "set_id")
 
 
+def _rarest_grams(open_: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """``gram, set_id, n, component, at``: of each of the sets ``set_id, n, component`` the n-grams of which one is the first in common with a linked set.
+
+    ``at`` members come before in one order of all n-grams: those of sets of one component alone, then the rarest. Linked
+    sets have at least ``percent`` of the larger one in common, so of both sets ``n - at`` is that at least for the first n-gram in common.
+    An edit gives a copy n-grams of its own, so few sets of a group of near copies have one of its base's among their first.
+    """
+    each = open_.join(grams, "set_id").select("set_id", "n", "component", F.explode("grams").alias("gram"))
+    spread = each.groupBy("gram").agg(F.count("*").alias("_sets"), F.min("component").alias("_low"), F.max("component").alias("_high")).where(
+        "_low <> _high").select("gram", "_sets")
+    of_set = Window.partitionBy("set_id")
+    ranked = each.join(spread, "gram").withColumn(
+        "at", F.col("n") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("_sets", "gram")) - 1)
+    first = stored(ranked.where(f"100 * at <= {100 - percent} * n").drop("_sets"), "rarest-grams")
+    return _several(first, ["gram"], "component")
+
+
 def ngram_components(
     docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text", percent: int = 90,
 ) -> DataFrame:
@@ -281,8 +298,8 @@ def ngram_components(
        of the rest of each set the rarest keys stay, so many that a linked pair still has one in common.
     3. In each key the set with most shared keys is the hub. Pairs with a hub are compared first, so a
        group of n near copies costs n comparisons, and their links make components.
-    4. A linked pair that is left lies in two components of one key. Pairs of those are compared whose place of the key
-       among the keys of both sets leaves room for a link.
+    4. A linked pair that is left lies in two components of one key. Of the sets of such keys the rarest n-grams are taken, and pairs
+       are compared that have one in common whose places in both sets leave room for a link.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -311,16 +328,18 @@ def ngram_components(
     spokes = stored(members.join(hubs.select("key", "hub.set_id", "hub.n", "hub.room").toDF("key", "hub", "n_hub", "room_hub"), "key"), "spokes")
     may_link = "100 * least(n_x, n_y) >= {p} * greatest(n_x, n_y) and least(room_x, room_y) + (n_x + n_y) * {q} div {r} >= 0".format(
         p=percent, q=100 - percent, r=100 + percent)
-    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("set_id", "n", "room", "component")] for side in "xy")
     near = spokes.where("hub <> set_id").select(
         "hub", "set_id", *[F.col(c).alias(f"{c}_y") for c in ("n", "room")], F.col("n_hub").alias("n_x"), F.col("room_hub").alias("room_x"))
     links = _links(near.where(may_link).select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct(), grams, percent)
     first = components(links)
 
-    grouped = spokes.join(first, F.col("set_id") == F.col("node"), "left").select(
-        "key", "hub", "set_id", "n", "room", F.coalesce("component", "set_id").alias("component"))
-    open_ = stored(_several(grouped.where("hub <> set_id"), ["key"], "component"), "open")
-    left = open_.select("key", *x).join(open_.select("key", *y), "key").where(f"component_x < component_y and {may_link}")
+    grouped = spokes.where("hub <> set_id").join(first, F.col("set_id") == F.col("node"), "left").select(
+        "key", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
+    open_ = stored(_several(grouped, ["key"], "component").select("set_id", "n", "component").distinct(), "open")
+    rare = stored(_rarest_grams(open_, grams, percent), "open-grams")
+    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("set_id", "n", "component", "at")] for side in "xy")
+    left = rare.select("gram", *x).join(rare.select("gram", *y), "gram").where(
+        f"component_x < component_y and least(n_x - at_x, n_y - at_y) * {100 + percent} >= {percent} * (n_x + n_y)")
     more = _links(left.select(F.col("set_id_x").alias("a"), F.col("set_id_y").alias("b")).distinct(), grams, percent)
     joined = components(links.union(more))
 

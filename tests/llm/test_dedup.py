@@ -217,6 +217,23 @@ def test_sets_of_one_hub_that_cannot_link_are_not_paired(spark, monkeypatch):
     assert read["ngrams"].count() == 0
 
 
+def test_copies_of_one_base_are_not_all_compared(spark, monkeypatch):
+    """Copies with three edits each share most of the base, but none links with another: few pairs are left to compare."""
+    pairs, link = [], ngram_join._links
+
+    def counted(frame, *others):
+        pairs.append(frame.count())
+        return link(frame, *others)
+
+    monkeypatch.setattr(ngram_join, "_links", counted)
+    rnd = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rnd, base, 1 if i < 20 else 3))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, ngram_join.ngram_components(docs).collect()), key=repr) == brute_components(rows)
+    assert len(pairs) == 2 and pairs[0] > 0 and pairs[1] < 2 * len(rows)
+
+
 def test_stored_tables_leave_no_shuffle_files(spark):
     def files():
         return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
