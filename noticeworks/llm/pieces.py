@@ -9,13 +9,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from noticeworks.llm.batches import slices
+
 SPACE = "▁"
 #: Segments of a text that no piece reaches across: line feeds, words with the spaces before them, last spaces.
 SEGMENTS = re.compile("\n| *[^ \n]+| +")
 #: Characters indexed at once; segments remembered at once; symbols up to which segments are merged side by side.
-INDEXED, REMEMBERED, SIDE_BY_SIDE = 1 << 20, 1 << 20, 48
+INDEXED, REMEMBERED, SIDE_BY_SIDE = 1 << 18, 1 << 19, 48
+#: Edges, or bytes of texts with their ids, that are laid out at once.
+LAID_OUT = 1 << 20
 
 
 class Vocabulary(NamedTuple):
@@ -92,12 +97,14 @@ class Matcher:
         first = self._bisect(padded, order, live, low[live], high[live], False)
         last = self._bisect(padded, order, live, low[live], high[live], True)
         found = last > first
-        piece, count = live[found], (last - first)[found]
-        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        place = order[np.repeat(first[found], count) + within]
+        piece, first, count = live[found], first[found], (last - first)[found]
         table = np.full((len(points), self.longest + 1), -1, dtype=np.int32)  # edges in the order of their place
-        piece = np.repeat(piece, count)
-        table[place, self.lengths[piece]] = piece
+        for some in np.split(np.arange(len(piece)), np.flatnonzero(np.diff(np.cumsum(count) // LAID_OUT)) + 1):
+            n = count[some]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            place = order[np.repeat(first[some], n) + within]
+            of = np.repeat(piece[some], n)
+            table[place, self.lengths[of]] = of
         return table
 
     def _bisect(self, padded, order, live, low, high, after: bool) -> np.ndarray:
@@ -146,6 +153,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after one another, and the number of ids of each text."""
+        codes, ends = self.read(texts)
+        return self.lay_out(codes, ends)
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the segments of all texts after one another, and ``ends``: those of text i are ``[ends[i], ends[i + 1])``. All are then known."""
         if len(self.number) > REMEMBERED:
             self.forget()
         codes, sizes = [], []
@@ -154,13 +166,15 @@ class Encoder:
             codes.append(np.fromiter(map(self.number.__getitem__, segments), np.int64, len(segments)))
             sizes.append(len(segments))
         self._learn()
-        codes = np.concatenate(codes) if codes else np.zeros(0, dtype=np.int64)
-        starts = np.cumsum(self.counts) - self.counts
+        return np.concatenate(codes) if codes else np.zeros(0, dtype=np.int64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+    def lay_out(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts between neighbouring ``ends`` after one another, and the number of ids of each."""
+        codes = codes[ends[0]:ends[-1]]
         counts = self.counts[codes]
         before = np.concatenate([[0], np.cumsum(counts)])
-        at = np.arange(before[-1]) + np.repeat(starts[codes] - before[:-1], counts)
-        ends = before[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
-        return self.ids[at], np.diff(ends)
+        at = np.arange(before[-1]) + np.repeat(self.starts[codes] - before[:-1], counts)
+        return self.ids[at], np.diff(before[ends - ends[0]])
 
     def _learn(self) -> None:
         batch, held = [], 0
@@ -176,6 +190,7 @@ class Encoder:
                 held += len(s) + 1
         self.number.new.clear()
         self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
+        self.starts = np.cumsum(self.counts) - self.counts
 
     def segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of segments after one another, and the number of ids of each.
@@ -301,19 +316,8 @@ class Decoder:
         return texts
 
 
-#: Characters and rows that a task encodes at once.
-ENCODED_CHARS = 8 << 20
-
-
-def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    first, held = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and held + len(t or "") > ENCODED_CHARS:
-            yield first, i
-            first, held = i, 0
-        held += len(t or "")
-    if first < len(texts):
-        yield first, len(texts)
+#: Bytes of texts whose segments a task reads at once.
+ENCODED_BYTES = 8 << 20
 
 
 def _with_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -339,15 +343,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", chec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(vocabulary), Decoder(vocabulary)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            for first, last in _groups(texts):
-                group = [t or "" for t in texts[first:last]]
-                ids, counts = encoder.encode(group)
-                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                added = {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)), "n_tokens": pa.array(counts, pa.int32())}
-                if check:
-                    added["round_trip"] = pa.array([a == b for a, b in zip(decoder.decode(ids, counts), group)], pa.bool_())
-                yield _with_columns(batch.slice(first, last - first), added)
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            for first, last in slices(texts, ENCODED_BYTES):
+                group = pc.fill_null(texts.slice(first, last - first), "").to_pylist()
+                codes, segments = encoder.read(group)
+                for a, b in slices(texts.slice(first, last - first), LAID_OUT):
+                    ids, counts = encoder.lay_out(codes, segments[a:b + 1])
+                    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    added = {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)), "n_tokens": pa.array(counts, pa.int32())}
+                    if check:
+                        added["round_trip"] = pa.array([x == y for x, y in zip(decoder.decode(ids, counts), group[a:b])], pa.bool_())
+                    yield _with_columns(batch.slice(first + a, b - a), added)
 
     return docs.mapInArrow(run, _schema(docs, new))
 

@@ -255,3 +255,20 @@ def test_pipeline_decisions_on_odd_rows(spark):
     assert [r["doc_id"] for r in kept] == [0]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), SF).count() == 0
+
+
+def test_memory_of_the_encoder_does_not_follow_its_batch():
+    """Ids of a batch are laid out in parts, in step with the bytes of its texts, and are the library's."""
+    class Task:
+        schema = []
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [None, "", "Ein Dokument äöü ▁ x\n y " * 20_000, "one two", "bb " * (pieces.LAID_OUT // 3 + 2), "three"] * 2
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    out = list(pieces.encode(Task(), pieces.Vocabulary.load(PIECE_MODEL), check=True)(iter([batch])))
+    assert len(out) > 2 and max(sum(len(t or "") for t in b["text"].to_pylist()) for b in out) <= pieces.LAID_OUT + 5
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    assert [i for b in out for i in b["ids"].to_pylist()] == [library.encode(t or "") for t in texts]
+    assert [t for b in out for t in b["text"].to_pylist()] == texts
