@@ -241,12 +241,21 @@ def task_summary(tasks: DataFrame) -> DataFrame:
     return tasks.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("completed", "failed", "skipped")])
 
 
-def excerpt_stats(signals: DataFrame, listing_url: str) -> DataFrame:
-    size = F.nullif(F.length("source_excerpt"), F.lit(0))
+def excerpt_stats(signals: DataFrame, listing_url: str, excerpt_length: str | None = None,
+                  empty_is_set: bool = False) -> DataFrame:
+    """Lengths of excerpts, summaries, different URLs and signals that have the URL of their listing.
+
+    An empty excerpt is not set and has no length; where none is set both lengths are 0. With ``empty_is_set`` it
+    has length 0, and where all excerpts are null both lengths are null. ``excerpt_length`` names a column of
+    lengths to take instead of ``source_excerpt``, so that joins before need not move the texts.
+    """
+    size = F.length("source_excerpt") if excerpt_length is None else F.col(excerpt_length)
+    longest, shortest = F.max(size), F.min(size if empty_is_set else F.nullif(size, F.lit(0)))
+    if not empty_is_set:
+        longest, shortest = F.coalesce(longest, F.lit(0)), F.coalesce(shortest, F.lit(0))
     summarised = F.coalesce(F.col("ai_summary") != "", F.lit(False))
     return signals.agg(
-        F.count("*").alias("signals"), F.coalesce(F.max(size), F.lit(0)).alias("longest"),
-        F.coalesce(F.min(size), F.lit(0)).alias("shortest"),
+        F.count("*").alias("signals"), longest.alias("longest"), shortest.alias("shortest"),
         F.count_if(summarised).alias("with_summary"), F.count_if(~summarised).alias("without_summary"),
         F.countDistinct("source_url").alias("distinct_urls"),
         F.count_if(F.col("source_url") == F.col(listing_url)).alias("listing_urls"))

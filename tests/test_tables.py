@@ -233,3 +233,13 @@ def test_duplicates_of_a_hot_name_are_counted_before_the_shuffle(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_count" in plan
     assert {r["members"] for r in got.where("name = 'Habo'").collect()} == {200}
+
+
+def test_empty_excerpts_are_not_set_by_default(spark):
+    def lengths(texts, **how):
+        df = spark.createDataFrame([(t, None, "u", "v") for t in texts], "source_excerpt string, ai_summary string, source_url string, listing string")
+        return tuple(quality.excerpt_stats(df.withColumn("n", F.length("source_excerpt")), "listing", **how).select("longest", "shortest").first())
+
+    assert lengths(["", "ab", "abc", None]) == lengths(["", "ab", "abc", None], excerpt_length="n") == (3, 2)
+    assert lengths(["", None]) == lengths([None]) == lengths([]) == (0, 0)
+    assert lengths(["", "ab"], empty_is_set=True) == (2, 0) and lengths([None], empty_is_set=True) == (None, None)
